@@ -34,6 +34,11 @@ def rr(expr: str, pattern: str, repl: str, flags: str = "g") -> str:
     return f"regexp_replace({expr}, {q(pattern)}, {q(repl)}, {q(flags)})"
 
 
+def upper(expr: str) -> str:
+    """Upper case as Java and Python do it: "ß" becomes "SS" (DuckDB gives "ẞ")."""
+    return f"upper(replace({expr}, 'ß', 'SS'))"
+
+
 def strip(expr: str) -> str:
     """Python ``str.strip()`` over the Java whitespace set."""
     return f"trim({expr}, {WS_CHARS})"

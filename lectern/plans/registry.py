@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from lectern.plans import block_queries as BQ
 from lectern.plans import text_queries as TQ
 
 QUERIES = {
@@ -11,6 +12,8 @@ QUERIES = {
     "normalise_question": TQ.q_normalise_question,
     "segment_lines": TQ.q_segment_lines,
     "section_info": TQ.q_section_info,
+    "attribute_blocks": BQ.q_attribute_blocks,
+    "answer_parse": BQ.q_answer_parse,
 }
 
 ORACLE = {
@@ -20,4 +23,6 @@ ORACLE = {
     "normalise_question": TQ.sql_normalise_question,
     "segment_lines": TQ.sql_segment_lines,
     "section_info": TQ.sql_section_info,
+    "attribute_blocks": BQ.sql_attribute_blocks,
+    "answer_parse": BQ.sql_answer_parse,
 }
