@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from lectern.plans import block_queries as BQ
+from lectern.plans import record_queries as RQ
 from lectern.plans import text_queries as TQ
 
 QUERIES = {
@@ -14,6 +15,12 @@ QUERIES = {
     "section_info": TQ.q_section_info,
     "attribute_blocks": BQ.q_attribute_blocks,
     "answer_parse": BQ.q_answer_parse,
+    "chat_records": RQ.q_chat_records,
+    "exam_records": RQ.q_exam_records,
+    "dim_lookup": RQ.q_dim_lookup,
+    "validate": RQ.q_validate,
+    "validate_records": RQ.q_validate_records,
+    "build_prompts": RQ.q_build_prompts,
 }
 
 ORACLE = {
@@ -25,4 +32,10 @@ ORACLE = {
     "section_info": TQ.sql_section_info,
     "attribute_blocks": BQ.sql_attribute_blocks,
     "answer_parse": BQ.sql_answer_parse,
+    "chat_records": RQ.sql_chat_records,
+    "exam_records": RQ.sql_exam_records,
+    "dim_lookup": RQ.sql_dim_lookup,
+    "validate": RQ.sql_validate,
+    "validate_records": RQ.sql_validate_records,
+    "build_prompts": RQ.sql_build_prompts,
 }
