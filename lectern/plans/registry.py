@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from lectern.plans import block_queries as BQ
 from lectern.plans import record_queries as RQ
+from lectern.plans import score_queries as SQ
 from lectern.plans import text_queries as TQ
 
 QUERIES = {
@@ -21,6 +22,9 @@ QUERIES = {
     "validate": RQ.q_validate,
     "validate_records": RQ.q_validate_records,
     "build_prompts": RQ.q_build_prompts,
+    "score_answers": SQ.q_score_answers,
+    "weighted_accuracy": SQ.q_weighted_accuracy,
+    "result_table": SQ.q_result_table,
 }
 
 ORACLE = {
@@ -38,4 +42,7 @@ ORACLE = {
     "validate": RQ.sql_validate,
     "validate_records": RQ.sql_validate_records,
     "build_prompts": RQ.sql_build_prompts,
+    "score_answers": SQ.sql_score_answers,
+    "weighted_accuracy": SQ.sql_weighted_accuracy,
+    "result_table": SQ.sql_result_table,
 }
