@@ -5,6 +5,7 @@ from __future__ import annotations
 from lectern.plans import block_queries as BQ
 from lectern.plans import record_queries as RQ
 from lectern.plans import score_queries as SQ
+from lectern.plans import table_queries as TBQ
 from lectern.plans import text_queries as TQ
 
 QUERIES = {
@@ -25,6 +26,11 @@ QUERIES = {
     "score_answers": SQ.q_score_answers,
     "weighted_accuracy": SQ.q_weighted_accuracy,
     "result_table": SQ.q_result_table,
+    "table_markdown": TBQ.q_table_markdown,
+    "table_csv": TBQ.q_table_csv,
+    "insert_tables": TBQ.q_insert_tables,
+    "unplaced_tables": TBQ.q_unplaced_tables,
+    "table_fixes": TBQ.q_table_fixes,
 }
 
 ORACLE = {
@@ -45,4 +51,9 @@ ORACLE = {
     "score_answers": SQ.sql_score_answers,
     "weighted_accuracy": SQ.sql_weighted_accuracy,
     "result_table": SQ.sql_result_table,
+    "table_markdown": TBQ.sql_table_markdown,
+    "table_csv": TBQ.sql_table_csv,
+    "insert_tables": TBQ.sql_insert_tables,
+    "unplaced_tables": TBQ.sql_unplaced_tables,
+    "table_fixes": TBQ.sql_table_fixes,
 }
