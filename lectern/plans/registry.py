@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from lectern.plans import asset_queries as AQ
 from lectern.plans import block_queries as BQ
 from lectern.plans import record_queries as RQ
 from lectern.plans import score_queries as SQ
@@ -31,6 +32,11 @@ QUERIES = {
     "insert_tables": TBQ.q_insert_tables,
     "unplaced_tables": TBQ.q_unplaced_tables,
     "table_fixes": TBQ.q_table_fixes,
+    "nearby_text": AQ.q_nearby_text,
+    "assign_by_position": AQ.q_assign_by_position,
+    "asset_override": AQ.q_asset_override,
+    "shared_assets": AQ.q_shared_assets,
+    "image_uri": AQ.q_image_uri,
 }
 
 ORACLE = {
@@ -56,4 +62,9 @@ ORACLE = {
     "insert_tables": TBQ.sql_insert_tables,
     "unplaced_tables": TBQ.sql_unplaced_tables,
     "table_fixes": TBQ.sql_table_fixes,
+    "nearby_text": AQ.sql_nearby_text,
+    "assign_by_position": AQ.sql_assign_by_position,
+    "asset_override": AQ.sql_asset_override,
+    "shared_assets": AQ.sql_shared_assets,
+    "image_uri": AQ.sql_image_uri,
 }
