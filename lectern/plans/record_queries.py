@@ -286,3 +286,28 @@ def q_build_prompts(spark: SparkSession, sf_dir: str):
 
 def sql_build_prompts() -> str:
     return f"SELECT item_id, replace({sql_str(T.COT_TEMPLATE)}, '{{prompt}}', text) AS prompt FROM benchmark"
+
+
+# ---------------------------------------------------------- jsonl_roundtrip
+# chat_records appended twice to a fresh folder under the session's checkpoint
+# folder (K2 create, K1 append twice), read back with the explicit schema.
+
+def q_jsonl_roundtrip(spark: SparkSession, sf_dir: str):
+    import uuid
+
+    from lectern.schemas import RECORD
+    from lectern.session import ensure_checkpoint_dir
+    from lectern.sources import readers, sinks
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/lectern-records-{uuid.uuid4().hex}"
+    sinks.create_dataset(spark, path)
+    recs = q_chat_records(spark, sf_dir).select(F.from_json("record", RECORD).alias("r")).select("r.*")
+    sinks.append_records(recs, path)
+    sinks.append_records(recs, path)
+    back = readers.read_records(spark, path)
+    return back.select("id", F.to_json(F.struct("input", "target", "id", "metadata")).alias("record"))
+
+
+def sql_jsonl_roundtrip() -> str:
+    one = sql_chat_records()
+    return f"SELECT * FROM ({one}) UNION ALL SELECT * FROM ({one})"

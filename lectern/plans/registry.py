@@ -24,6 +24,7 @@ QUERIES = {
     "validate": RQ.q_validate,
     "validate_records": RQ.q_validate_records,
     "build_prompts": RQ.q_build_prompts,
+    "jsonl_roundtrip": RQ.q_jsonl_roundtrip,
     "score_answers": SQ.q_score_answers,
     "weighted_accuracy": SQ.q_weighted_accuracy,
     "result_table": SQ.q_result_table,
@@ -54,6 +55,7 @@ ORACLE = {
     "validate": RQ.sql_validate,
     "validate_records": RQ.sql_validate_records,
     "build_prompts": RQ.sql_build_prompts,
+    "jsonl_roundtrip": RQ.sql_jsonl_roundtrip,
     "score_answers": SQ.sql_score_answers,
     "weighted_accuracy": SQ.sql_weighted_accuracy,
     "result_table": SQ.sql_result_table,
