@@ -6,11 +6,16 @@ order.  ``Window.partitionBy(doc)`` would put a whole document into one task;
 a document holding a third of the corpus would then run on one core.
 
 Here rows are cut into *chunks* (a column that never decreases along the
-order, e.g. ``line_no div 4096`` or the page number).  Per chunk a summary is
-aggregated (partial aggregation happens map-side), a small window over the
-summaries gives each chunk its carry-in, and the carry-in rows are unioned in
-front of their chunk.  The only window over the big side is partitioned by
-``(keys, chunk)``, so its tasks are bounded by the chunk size, not by the key.
+order, e.g. ``line_no div 4096`` or the page number):
+
+1. one shuffle by ``(keys, chunk)`` and a window inside each chunk give the
+   local running values; tasks are bounded by the chunk size, not the key;
+2. the chunk totals are aggregated from that output on the same partitioning
+   (no second shuffle of the big side);
+3. a window over the small table of chunk totals gives each chunk its
+   carry-in from the chunks before it;
+4. the carry-in is joined back on ``(keys, chunk)``; the big side keeps its
+   partitioning, only the small side moves (or is broadcast by AQE).
 """
 
 from __future__ import annotations
@@ -20,8 +25,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_SLOT = "__scan_slot"   # 0 = carry-in row, 1 = data row
-
 
 def prefix_scan(df: DataFrame, keys: Sequence[str], order: str | Column, chunk: str,
                 last: Mapping[str, Column] | None = None,
@@ -39,28 +42,25 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], order: str | Column, chunk:
     sums = dict(sums or {})
     order_col = F.col(order) if isinstance(order, str) else order
     keys = list(keys)
+    part = keys + [chunk]
 
+    # "latest non-null" is the running max of struct(order, value).
     marks = {f"__m_{n}": F.when(e.isNotNull(), F.struct(order_col.alias("o"), e.alias("v")))
              for n, e in last.items()}
     adds = {f"__s_{n}": e for n, e in sums.items()}
-    base = df.select("*", F.lit(1).alias(_SLOT), *[e.alias(n) for n, e in {**marks, **adds}.items()])
+    base = df.select("*", *[e.alias(n) for n, e in {**marks, **adds}.items()])
+
+    upto = Window.partitionBy(*part).orderBy(order_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = base.select("*", *[F.max(n).over(upto).alias(f"{n}_run") for n in marks],
+                        *[F.sum(n).over(upto).alias(f"{n}_run") for n in adds])
 
-    # Per chunk: the latest mark and the chunk total; then the carry-in of
-    # each chunk is the max / sum over the chunks before it.
-    summary = base.groupBy(*keys, chunk).agg(
-        *[F.max(n).alias(n) for n in marks], *[F.sum(n).alias(n) for n in adds])
+    totals = local.groupBy(*part).agg(*[F.max(n).alias(n) for n in marks], *[F.sum(n).alias(n) for n in adds])
     before = Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select(
-        *keys, chunk, F.lit(0).alias(_SLOT),
-        *[F.max(n).over(before).alias(n) for n in marks],
-        *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(n) for n in adds])
+    carry = totals.select(*part, *[F.max(n).over(before).alias(f"{n}_in") for n in marks],
+                          *[F.sum(n).over(before).alias(f"{n}_in") for n in adds])
 
-    rows = base.unionByName(carry, allowMissingColumns=True)
-    upto = (Window.partitionBy(*keys, chunk).orderBy(_SLOT, order_col)
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    out = rows.select(
-        "*",
-        *[F.max(f"__m_{n}").over(upto)["v"].alias(n) for n in last],
-        *[F.sum(f"__s_{n}").over(upto).alias(n) for n in sums],
-    ).where(F.col(_SLOT) == 1)
-    return out.drop(_SLOT, *marks, *adds)
+    out = local.join(carry, part, "left").select(
+        *df.columns,
+        *[F.coalesce(F.col(f"__m_{n}_run"), F.col(f"__m_{n}_in"))["v"].alias(n) for n in last],
+        *[(F.col(f"__s_{n}_run") + F.coalesce(F.col(f"__s_{n}_in"), F.lit(0))).alias(n) for n in sums])
+    return out

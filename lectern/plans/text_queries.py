@@ -115,9 +115,8 @@ DOC_RULES = SEG.SegmentRules(header=DOC_HEADER, item=DOC_ITEM)
 
 
 def _doc_classified(spark, sf_dir, line_chunk=SEG.LINE_CHUNK):
-    d = table(spark, sf_dir, "documents").select(
-        "doc_id", F.lit(1).alias("page_no"), "text")
-    return SEG.classify_lines(SEG.page_lines(d), DOC_RULES, line_chunk=line_chunk)
+    d = table(spark, sf_dir, "documents")
+    return SEG.classify_lines(SEG.document_lines(d), DOC_RULES, line_chunk=line_chunk)
 
 
 def q_segment_lines(spark: SparkSession, sf_dir: str, line_chunk: int = SEG.LINE_CHUNK):
