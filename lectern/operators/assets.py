@@ -46,10 +46,11 @@ def assign_by_position(images: DataFrame, position_map: DataFrame, exam_keys: li
     """The n-th image of an exam gets the question listed at position n.
     Images past the end of the list keep a NULL question (they are reported,
     not dropped).  ``position_map``: map_keys (default: exam_keys) + position,
-    question_id; it is a short fixed list and is broadcast."""
+    question_id.  No broadcast hint: the planner broadcasts it only when its
+    measured size is under the broadcast threshold."""
     numbered = images if "position" in images.columns else number_images(images, exam_keys)
     keys = (exam_keys if map_keys is None else map_keys) + ["position"]
-    return numbered.join(F.broadcast(position_map), keys, "left")
+    return numbered.join(position_map, keys, "left")
 
 
 def override_images(images: DataFrame, edited: DataFrame, keep_original_size: bool = False) -> DataFrame:

@@ -54,7 +54,11 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], order: str | Column, chunk:
     local = base.select("*", *[F.max(n).over(upto).alias(f"{n}_run") for n in marks],
                         *[F.sum(n).over(upto).alias(f"{n}_run") for n in adds])
 
-    totals = local.groupBy(*part).agg(*[F.max(n).alias(n) for n in marks], *[F.sum(n).alias(n) for n in adds])
+    # Totals are read off the running columns (not the inputs), so this branch
+    # shares the window and its exchange with ``local`` instead of re-reading
+    # the source; the grouping keys match the window's partitioning.
+    totals = local.groupBy(*part).agg(*[F.max(f"{n}_run").alias(n) for n in marks],
+                                      *[F.max_by(f"{n}_run", order_col).alias(n) for n in adds])
     before = Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select(*part, *[F.max(n).over(before).alias(f"{n}_in") for n in marks],
                           *[F.sum(n).over(before).alias(f"{n}_in") for n in adds])

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.functions.text import clean_text, normalise_question, strip
@@ -117,40 +117,53 @@ def _ordered_text(only=None):
     return F.array_join(F.transform(parts, lambda x: F.concat(x["t"], F.lit("\n"))), "")
 
 
-def items(classified: DataFrame, normalise: bool = True) -> DataFrame:
-    """A1 + A3: one row per (doc_id, section, question_id).
+def segments(classified: DataFrame) -> DataFrame:
+    """One row per segment: a header run's info block (kind 'H', its lines
+    after the header) or an item instance (kind 'Q').  ``raw`` is the
+    segment's lines, each followed by a newline.  Items and section info are
+    both derived from this one grouping."""
+    return (classified.groupBy("doc_id", "seg_start")
+            .agg(F.max("seg_kind").alias("seg_kind"), F.max("section").alias("section"),
+                 F.max("question_id").alias("question_id"), F.max("run_start").alias("run_start"),
+                 _ordered_text(~F.col("is_header")).alias("raw")))
+
+
+def items_of(segs: DataFrame, normalise: bool = True) -> DataFrame:
+    """A1 + A3 from segments: one row per (doc_id, section, question_id).
 
-    Each item instance is its lines joined; an id seen again in the same
-    section keeps the text of its last instance and the position of its first.
-    ``pos`` is the line number of the first instance.
+    An id seen again in the same section keeps the text of its last instance
+    and the position of its first; ``pos`` is the line number of the first
+    instance.
     """
-    inst = (classified.where(F.col("seg_kind") == "Q")
-            .groupBy("doc_id", "seg_start")
-            .agg(F.first("section").alias("section"), F.first("question_id").alias("question_id"),
-                 _ordered_text().alias("raw")))
-    won = (inst.groupBy("doc_id", "section", "question_id")
+    won = (segs.where(F.col("seg_kind") == "Q")
+           .groupBy("doc_id", "section", "question_id")
            .agg(F.max_by("raw", "seg_start").alias("raw"), F.min("seg_start").alias("pos")))
     text = normalise_question("raw") if normalise else F.col("raw")
     return won.select("doc_id", "section", "question_id", "pos", text.alias("text"))
 
 
-def section_info(classified: DataFrame) -> DataFrame:
-    """A2: section info folded over the header runs of a section, in order.
-
-    A run adds its info lines raw; when an item follows in that run, the
-    whole text so far is cleaned.  A run without info lines still triggers the
-    cleaning when it has an item.
-    """
-    runs = (classified.where(~F.col("is_header"))
-            .groupBy("doc_id", "run_start")
-            .agg(_ordered_text(F.col("seg_kind") == "H").alias("raw"),
+def section_info_of(segs: DataFrame) -> DataFrame:
+    """A2 from segments: section info folded over the header runs of a
+    section, in order.  A run adds its info lines raw; when an item follows in
+    that run, the whole text so far is cleaned (also when the run has no info
+    lines)."""
+    runs = (segs.groupBy("doc_id", "run_start")
+            .agg(F.max("section").alias("section"),
+                 F.max(F.when(F.col("seg_kind") == "H", F.col("raw"))).alias("raw"),
                  F.max((F.col("seg_kind") == "Q").cast("int")).alias("has_q")))
-    headers = classified.where(F.col("is_header")).select("doc_id", "run_start", "section")
-    runs = headers.join(runs, ["doc_id", "run_start"], "left")
     folded = (runs.groupBy("doc_id", "section")
               .agg(F.array_sort(F.collect_list(F.struct(
-                  "run_start", F.coalesce("raw", F.lit("")).alias("raw"),
-                  F.coalesce("has_q", F.lit(0)).alias("has_q")))).alias("runs")))
+                  "run_start", F.coalesce("raw", F.lit("")).alias("raw"), "has_q"))).alias("runs")))
     info = F.aggregate("runs", F.lit(""), lambda acc, r: F.when(
         r["has_q"] == 1, clean_text(F.concat(acc, r["raw"]))).otherwise(F.concat(acc, r["raw"])))
     return folded.select("doc_id", "section", info.alias("general_info"))
+
+
+def items(classified: DataFrame, normalise: bool = True) -> DataFrame:
+    """A1 + A3 from classified lines (see :func:`items_of`)."""
+    return items_of(segments(classified), normalise)
+
+
+def section_info(classified: DataFrame) -> DataFrame:
+    """A2 from classified lines (see :func:`section_info_of`)."""
+    return section_info_of(segments(classified))

@@ -73,9 +73,11 @@ def anchors(rows) -> tuple[Column, Column]:
 
 def apply_fixes(spark, tables: DataFrame, fixes: DataFrame, keys: list[str], col: str = "csv") -> DataFrame:
     """Literal replacements applied in ``seq`` order, each on the result of
-    the one before.  ``fixes``: keys + seq, from, to (a small table)."""
+    the one before.  ``fixes``: keys + seq, from, to.  The fixes are grouped
+    per key first, so the join is one-to-one; whether it is broadcast is left
+    to the planner's size check."""
     f = (fixes.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("seq", "from", "to"))).alias("_fx")))
-    j = tables.join(F.broadcast(f), keys, "left")
+    j = tables.join(f, keys, "left")
     fixed = F.aggregate(F.coalesce("_fx", F.array().cast("array<struct<seq:int,from:string,to:string>>")),
                         F.col(col), lambda acc, x: F.replace(acc, x["from"], x["to"]))
     return j.withColumn(col, fixed).drop("_fx")
@@ -83,7 +85,7 @@ def apply_fixes(spark, tables: DataFrame, fixes: DataFrame, keys: list[str], col
 
 def drop_tables(tables: DataFrame, excluded: DataFrame, keys: list[str]) -> DataFrame:
     """Remove named tables (anti join with a small exclusion table)."""
-    return tables.join(F.broadcast(excluded), keys, "left_anti")
+    return tables.join(excluded, keys, "left_anti")
 
 
 def _span_bounds(text: Column, a: Column, z: Column):

@@ -123,9 +123,9 @@ def _exam_inputs(spark, sf_dir):
                         F.element_at(F.array(*[F.lit(s) for s in SUBJECTS]), (F.col("doc_id") % 15 + 1).cast("int")).alias("subject"),
                         F.lit("2023").alias("year"),
                         F.when(F.col("lang").isin("en", "de"), "rus").otherwise("bel").alias("language"))
-    cls = TQ._doc_classified(spark, sf_dir)
-    questions = SEG.items(cls)
-    info = SEG.section_info(cls)
+    segs = SEG.segments(TQ._doc_classified(spark, sf_dir))
+    questions = SEG.items_of(segs)
+    info = SEG.section_info_of(segs)
     lab = table(spark, sf_dir, "labels")
     answers = lab.select(
         "doc_id",
