@@ -107,13 +107,16 @@ def place_tables(questions: DataFrame, tables: DataFrame) -> DataFrame:
     the changed text.  Returns ``(questions, unplaced)``: the questions with
     their final text, and ``(doc_id, table_no)`` of tables that matched none.
     """
-    qs = (questions.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct(
-        "section_order", "pos", "section", "question_id", "text"))).alias("qs")))
+    cols = ["section_order", "pos", "section", "question_id", "text"]
+    has_tables = tables.select("doc_id").distinct()
+    untouched = questions.join(has_tables, "doc_id", "left_anti").select("doc_id", *cols)
+    qs = (questions.join(has_tables, "doc_id", "left_semi")
+          .groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct(*cols))).alias("qs")))
     a, z = anchors("rows")
     ts = (tables.select("doc_id", F.col("table_no").cast("bigint").alias("table_no"), a.alias("a"), z.alias("z"),
                         markdown("rows").alias("md"))
           .groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("table_no", "a", "z", "md"))).alias("ts")))
-    j = qs.join(ts, "doc_id", "left")
+    j = qs.join(ts, "doc_id")
 
     def step(acc, t):
         hits = F.transform(acc["qs"], lambda q: _span_bounds(q["text"], t["a"], t["z"])[0])
@@ -129,8 +132,7 @@ def place_tables(questions: DataFrame, tables: DataFrame) -> DataFrame:
         return F.element_at(F.transform(F.array(F.array_position(hits, True)), with_first), 1)
 
     init = F.struct(F.col("qs").alias("qs"), F.array().cast("array<bigint>").alias("unplaced"))
-    tables_in = F.coalesce("ts", F.array().cast("array<struct<table_no:bigint,a:string,z:string,md:string>>"))
-    done = j.select("doc_id", F.aggregate(tables_in, init, step).alias("r"))
-    placed = done.select("doc_id", F.explode("r.qs").alias("q")).select("doc_id", "q.*")
+    done = j.select("doc_id", F.aggregate("ts", init, step).alias("r"))
+    placed = done.select("doc_id", F.explode("r.qs").alias("q")).select("doc_id", "q.*").unionByName(untouched)
     unplaced = done.select("doc_id", F.explode("r.unplaced").alias("table_no"))
     return placed, unplaced
