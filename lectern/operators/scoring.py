@@ -34,3 +34,15 @@ def result_table(scores: DataFrame, by: list[str]) -> DataFrame:
 def overall_accuracy(scores: DataFrame) -> DataFrame:
     """A7 over all scores: one row, 0.0 when there are none."""
     return scores.agg(weighted_accuracy().alias("weighted_accuracy"))
+
+
+def evaluate(records: DataFrame, completions: DataFrame, location: str = "end",
+             ignore_case: bool = True, by: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """The evaluation task: records (as read back, with ``metadata.points``)
+    joined with completions, scored, and reduced to the weighted accuracy per
+    ``by`` (default: per model).  Returns ``(scores, table)``."""
+    recs = records.select("id", F.array("target").alias("targets"),
+                          F.col("metadata.points").alias("points"),
+                          F.col("metadata.subject").alias("subject"), F.col("metadata.year").alias("year"))
+    scores = score(recs, completions, location, ignore_case)
+    return scores, result_table(scores, by or ["model"])
