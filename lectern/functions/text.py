@@ -30,8 +30,6 @@ BLOCK_QID_PATTERN = r"(?U)\A([АВ]\d+)\."
 # Java forms of the whitespace rules.
 _WS_RUNS = r"(?dmU)\s+$|^\s+|\s+(?=\s)"
 _UNWRAP = r"(?U)(?<!\n)\n(?!\n)(?![" + PROTECTED_MARKERS + r"]\))"
-_TRAILING_WS = r"(?U)\s+\z"
-_EDGE_WS = r"(?U)\A\s+|\s+\z"
 _TRAILING_NUMBER = r"(?U)\s*\d+\s*\z"
 _OPTION_PIECE = r"(?U)(\d+\)[\s\S]*?(?=\d+\)|\z))"
 
@@ -40,12 +38,18 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Unicode White_Space, the set Java's (?U)\s matches, as one string.
+WHITESPACE = "".join(chr(c) for c in [9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                                        0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
+
+
 def strip(c) -> Column:
     """Python ``str.strip()``: remove Unicode whitespace at both ends.
 
-    Spark's ``trim`` removes only the space character, so a regex is used.
+    Spark's one-argument ``trim`` removes only the space character; ``btrim``
+    with the whole whitespace set does what ``strip`` does, without a regex.
     """
-    return F.regexp_replace(_col(c), _EDGE_WS, "")
+    return F.btrim(_col(c), F.lit(WHITESPACE))
 
 
 def clean_text(c) -> Column:
@@ -60,7 +64,7 @@ def clean_text(c) -> Column:
     c = F.regexp_replace(_col(c), _WS_RUNS, "")
     c = F.replace(c, F.lit(E_GRAVE), F.lit(E_DIAERESIS))
     c = F.regexp_replace(c, _UNWRAP, " ")
-    return F.regexp_replace(c, _TRAILING_WS, "")
+    return F.rtrim(c, F.lit(WHITESPACE))
 
 
 def strip_footnotes(c) -> Column:

@@ -60,7 +60,7 @@ def page_lines(pages: DataFrame, doc_col: str = "doc_id", page_col: str = "page_
         "doc_id", "page_no", "_nl",
         (F.col("_nl_upto") - F.col("_nl")).alias("_offset"),
         F.posexplode(F.split("text", "\n", -1)).alias("idx", "frag"))
-    frags = frags.withColumn("line_no", F.col("_offset") + F.col("idx"))
+    frags = frags.withColumn("line_no", (F.col("_offset") + F.col("idx")).cast("bigint"))
     edge = (F.col("idx") == 0) | (F.col("idx") == F.col("_nl"))
     inner = frags.where(~edge).select("doc_id", "line_no", F.col("frag").alias("line"))
     joined = (frags.where(edge)
@@ -73,8 +73,9 @@ def page_lines(pages: DataFrame, doc_col: str = "doc_id", page_col: str = "page_
 
 def document_lines(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Lines of single-text documents: ``(doc_id, line_no, line)``."""
-    return docs.select(F.col(doc_col).alias("doc_id"),
-                       F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("line_no", "line"))
+    return (docs.select(F.col(doc_col).alias("doc_id"),
+                        F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("line_no", "line"))
+            .withColumn("line_no", F.col("line_no").cast("bigint")))
 
 
 def classify_lines(lines: DataFrame, rules: SegmentRules, line_chunk: int = LINE_CHUNK) -> DataFrame:
