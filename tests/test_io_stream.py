@@ -59,3 +59,37 @@ def test_streaming_append(spark):
     q = append_stream(spark, src, "doc_id string, text string", out, name="t" + src[-6:])
     q.awaitTermination(120)
     assert [r.text for r in spark.read.json(out).collect()] == ["А1. Question"]
+
+
+def test_image_files_and_sinks(spark):
+    import os
+
+    from lectern.operators import assets as AS
+    root = tempfile.mkdtemp(prefix="lectern-img-")
+    os.makedirs(f"{root}/13_geo_test_2023_rus")
+    for name, data in [("page1_img1.png", b"one"), ("page1_img2.jpeg", b"two"), ("page1_img2_edit.jpeg", b"TWO")]:
+        with open(f"{root}/13_geo_test_2023_rus/{name}", "wb") as f:
+            f.write(data)
+    imgs = readers.read_image_files(spark, root).where(~F.col("filename").contains("_edit"))
+    got = sorted((r.doc_id, r.filename, r.page_no, r.img_no, r.format, bytes(r.content)) for r in imgs.collect())
+    assert got == [("13_geo_test_2023_rus", "page1_img1.png", 1, 1, "png", b"one"),
+                   ("13_geo_test_2023_rus", "page1_img2.jpeg", 1, 2, "jpeg", b"two")]
+    edited = readers.read_image_files(spark, root, edited_only=True)
+    assert [(r.filename, bytes(r.content)) for r in edited.collect()] == [("page1_img2.jpeg", b"TWO")]
+    described = AS.override_images(AS.describe(imgs.drop("filename")), edited.select("doc_id", "filename", "content"))
+    urls = sorted((r.filename, r.image_url) for r in described.collect())
+    assert urls == [("page1_img1.png", "data:image/png;base64,b25l"), ("page1_img2.jpeg", "data:image/jpeg;base64,VFdP")]
+    out = tempfile.mkdtemp(prefix="lectern-out-")
+    sinks.save_images(AS.describe(imgs.drop("filename")), f"{out}/bytes")
+    sinks.save_image_info(described, f"{out}/info")
+    assert spark.read.parquet(f"{out}/bytes").count() == 2
+    assert sorted(r.filename for r in spark.read.json(f"{out}/info").collect()) == ["page1_img1.png", "page1_img2.jpeg"]
+    paths = spark.createDataFrame([("a/13_geo_test_2023_rus.pdf",), ("a/13_geo_test_2023_bel.pdf",), ("a/13_geo_consult_2023.pdf",)], "p string")
+    assert [r[0] for r in paths.select(AS.image_source_ok(F.col("p"))).collect()] == [True, True, False]
+
+
+def test_reference_order(spark):
+    df = spark.createDataFrame([(1, "d", 1, 5), (0, "d", 1, 2), (0, "d", 0, 9), (0, "d", 0, 3)],
+                               "lang_order int, doc_id string, section_order int, pos int")
+    got = [(r.lang_order, r.section_order, r.pos) for r in R.in_reference_order(df).collect()]
+    assert got == [(0, 0, 3), (0, 0, 9), (0, 1, 2), (1, 1, 5)]
