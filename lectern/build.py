@@ -25,6 +25,7 @@ from lectern.operators import blocks as BL
 from lectern.operators import records as R
 from lectern.operators import segment as SEG
 from lectern.operators import tables as TB
+from lectern.session import ensure_checkpoint_dir
 
 
 @dataclass
@@ -79,7 +80,15 @@ def _fix_cells(tables: DataFrame, fixes: DataFrame) -> DataFrame:
 
 
 def build_records(spark: SparkSession, inputs: ExamInputs, canary: str, profiles: Profiles | None = None,
-                  rules: SEG.SegmentRules = SEG.EXAM_RULES, bands: BL.Bands = BL.EXAM_BANDS) -> BuildResult:
+                  rules: SEG.SegmentRules = SEG.EXAM_RULES, bands: BL.Bands = BL.EXAM_BANDS,
+                  materialize: bool = True) -> BuildResult:
+    """Build records for every exam in ``inputs.exam_docs``.
+
+    With ``materialize`` the segments (the one intermediate read by both the
+    items and the section info) are written once with ``checkpoint()`` to the
+    session's checkpoint folder: the segmentation is not run twice, and a lost
+    executor later in the job does not send Spark back to the page text.
+    """
     profiles = profiles or Profiles()
     docs = inputs.exam_docs
     tests = docs.where(F.col("kind") == "test").select("doc_id", "subject", "year", "language")
@@ -88,6 +97,9 @@ def build_records(spark: SparkSession, inputs: ExamInputs, canary: str, profiles
     # Questions and section info of every test document.
     pages = inputs.page_text.join(tests.select("doc_id"), "doc_id", "left_semi")
     segs = SEG.segments(SEG.classify_lines(SEG.page_lines(pages), rules))
+    if materialize:
+        ensure_checkpoint_dir(spark)
+        segs = segs.checkpoint(eager=True)
     questions = SEG.items_of(segs)
     info = SEG.section_info_of(segs)
 
