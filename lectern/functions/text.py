@@ -12,26 +12,28 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # ---------------------------------------------------------------------------
-# Fixed values.  These must equal the source rules for equal results.
+# Fixed values.  These must equal the source rules for equal results; the
+# patterns are the source's, written in Java syntax with the flags that give
+# Python's meaning (U: Unicode \s and \d; d: only \n ends a line; m: ^ and $
+# per line).
 #   option markers that keep their preceding newline: 1 2 3 4 5 6 7 А Б В Г Д
 #   (the letters are Cyrillic U+0410, U+0411, U+0412, U+0413, U+0414)
 #   the e-grave fix: "ѐ" (U+0450) becomes "ё" (U+0451)
 #   exam footer: "ДРТ–<digits> г." with an en dash (U+2013)
 #   answer prefix in consult blocks: "Ответ:"
 #   question id at the start of a consult block: Cyrillic А or В, digits, a dot
-# ---------------------------------------------------------------------------
 PROTECTED_MARKERS = "1234567АБВГД"
 E_GRAVE = "ѐ"
 E_DIAERESIS = "ё"
+WS_RUNS_PATTERN = r"(?dmU)\s+$|^\s+|\s+(?=\s)"
+UNWRAP_PATTERN = r"(?U)(?<!\n)\n(?!\n)(?![1234567АБВГД]\))"
 FOOTER_PATTERN = r"(?U)\s*ДРТ–\d+\s*г\.\s*"
+TRAILING_NUMBER_PATTERN = r"(?U)\s*\d+\s*\z"
+OPTION_PIECE_PATTERN = r"(?U)(\d+\)[\s\S]*?(?=\d+\)|\z))"
+OPTION_END_PATTERN = "[;.]"
 ANSWER_PATTERN = r"(?dU)Ответ:\s*(.+)"
 BLOCK_QID_PATTERN = r"(?U)\A([АВ]\d+)\."
-
-# Java forms of the whitespace rules.
-_WS_RUNS = r"(?dmU)\s+$|^\s+|\s+(?=\s)"
-_UNWRAP = r"(?U)(?<!\n)\n(?!\n)(?![" + PROTECTED_MARKERS + r"]\))"
-_TRAILING_NUMBER = r"(?U)\s*\d+\s*\z"
-_OPTION_PIECE = r"(?U)(\d+\)[\s\S]*?(?=\d+\)|\z))"
+# ---------------------------------------------------------------------------
 
 
 def _col(c) -> Column:
@@ -61,9 +63,9 @@ def clean_text(c) -> Column:
       or ``А)`` follows it;
     * NULL stays NULL.
     """
-    c = F.regexp_replace(_col(c), _WS_RUNS, "")
+    c = F.regexp_replace(_col(c), WS_RUNS_PATTERN, "")
     c = F.replace(c, F.lit(E_GRAVE), F.lit(E_DIAERESIS))
-    c = F.regexp_replace(c, _UNWRAP, " ")
+    c = F.regexp_replace(c, UNWRAP_PATTERN, " ")
     return F.rtrim(c, F.lit(WHITESPACE))
 
 
@@ -71,7 +73,7 @@ def strip_footnotes(c) -> Column:
     """drop every ``ДРТ–n г.`` footer with its surrounding whitespace, then
     any trailing number (``"Question 1"`` -> ``"Question"``)."""
     c = F.regexp_replace(_col(c), FOOTER_PATTERN, "")
-    return F.regexp_replace(c, _TRAILING_NUMBER, "")
+    return F.regexp_replace(c, TRAILING_NUMBER_PATTERN, "")
 
 
 def reorder_options(c) -> Column:
@@ -87,10 +89,10 @@ def reorder_options(c) -> Column:
     start = F.instr(c, "1)")
     stem = strip(c.substr(F.lit(1), start - 1))
     opts = strip(c.substr(start, F.lit(1 << 30)))
-    pieces = F.regexp_extract_all(opts, F.lit(_OPTION_PIECE), 1)
+    pieces = F.regexp_extract_all(opts, F.lit(OPTION_PIECE_PATTERN), 1)
     last_idx = F.size(pieces) - 1
     last = F.element_at(pieces, -1)
-    cut = F.regexp_instr(last, F.lit("[;.]"))
+    cut = F.regexp_instr(last, F.lit(OPTION_END_PATTERN))
     head = F.when(cut > 0, last.substr(F.lit(1), cut)).otherwise(last)
     tail = F.when(cut > 0, strip(last.substr(cut + 1, F.lit(1 << 30)))).otherwise(F.lit(""))
     keyed = F.transform(

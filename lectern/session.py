@@ -51,7 +51,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     it is.  Only when it is unset (local runs, tests) a fresh scratch folder is
     created and set.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (sessions without a SparkContext)
+        return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lectern-ckpt-")
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
         current = tempfile.mkdtemp(prefix="lectern-ckpt-")
