@@ -18,7 +18,7 @@ from lectern.operators.scan import prefix_scan
 
 GRID = 64.0          # cell size of the grid used by the range join
 MARGIN = 20.0        # how far around an image "near" reaches
-PAGE_CHUNK = 16      # pages per scan chunk when numbering images
+IMG_CHUNK = 4096     # images per scan chunk within a page when numbering images
 
 
 def describe(images: DataFrame) -> DataFrame:
@@ -29,14 +29,16 @@ def describe(images: DataFrame) -> DataFrame:
                          F.octet_length("content").alias("size"))
 
 
-def number_images(images: DataFrame, exam_keys: list[str], page_chunk: int = PAGE_CHUNK) -> DataFrame:
+def number_images(images: DataFrame, exam_keys: list[str], img_chunk: int = IMG_CHUNK) -> DataFrame:
     """``position`` = 1-based rank of an image in its exam by (page, image).
 
-    A running count through :func:`prefix_scan`, so an exam with very many
-    images is still numbered by many tasks.
+    A running count through :func:`prefix_scan` with chunks of (page, image
+    number div ``img_chunk``), so an exam or a page with very many images is
+    still numbered by many tasks.
     """
     df = images.withColumn("_ord", F.struct("page_no", "img_no")) \
-        .withColumn("_chunk", F.floor(F.col("page_no") / page_chunk))
+        .withColumn("_chunk", F.struct(F.col("page_no").alias("p"),
+                                       F.floor(F.col("img_no") / img_chunk).alias("i")))
     out = prefix_scan(df, exam_keys, "_ord", "_chunk", sums={"position": F.lit(1)})
     return out.drop("_ord", "_chunk")
 

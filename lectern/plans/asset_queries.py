@@ -54,13 +54,13 @@ def sql_nearby_text() -> str:
 # embeddings as images of the exam `label`, page vec_id div 10, image
 # vec_id % 10; a 26-entry position map (position n -> "Q<7n mod 26 + 1>").
 
-def q_assign_by_position(spark: SparkSession, sf_dir: str, page_chunk: int = AS.PAGE_CHUNK):
+def q_assign_by_position(spark: SparkSession, sf_dir: str, img_chunk: int = AS.IMG_CHUNK):
     e = table(spark, sf_dir, "embeddings")
     images = e.select("vec_id", "label", F.floor(F.col("vec_id") / 10).alias("page_no"),
                       (F.col("vec_id") % 10).alias("img_no"))
     pmap = spark.range(1, 27).select(F.col("id").cast("int").alias("position"),
                                      F.concat(F.lit("Q"), ((F.col("id") * 7) % 26 + 1).cast("string")).alias("question_id"))
-    numbered = AS.number_images(images, ["label"], page_chunk=page_chunk)
+    numbered = AS.number_images(images, ["label"], img_chunk=img_chunk)
     out = AS.assign_by_position(numbered, pmap, ["label"], map_keys=[])
     return out.select("vec_id", "label", F.col("position").cast("bigint").alias("position"), "question_id")
 

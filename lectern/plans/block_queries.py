@@ -33,8 +33,8 @@ def _event_blocks(spark, sf_dir):
                     F.col("value").alias("y0"), text.alias("text"))
 
 
-def q_attribute_blocks(spark: SparkSession, sf_dir: str, page_chunk: int = BL.PAGE_CHUNK):
-    return BL.attribute_blocks(_event_blocks(spark, sf_dir), page_chunk=page_chunk)
+def q_attribute_blocks(spark: SparkSession, sf_dir: str, y_band: float = BL.Y_BAND):
+    return BL.attribute_blocks(_event_blocks(spark, sf_dir), y_band=y_band)
 
 
 def sql_attribute_blocks() -> str:

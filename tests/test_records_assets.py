@@ -77,3 +77,11 @@ def test_override_and_share(spark):
     img = spark.createDataFrame([("r", "page1_img1.png")], "doc_id string, filename string")
     got = sorted((x.doc_id, x.filename) for x in AS.shared_images(exams, img, ["subject"]).collect())
     assert got == [("b", "page1_img1.png"), ("r", "page1_img1.png")]
+
+
+def test_numbering_chunk_invariance(spark):
+    from conftest import SF_SMALL
+    from lectern.plans import asset_queries as AQ
+    a = sorted(map(tuple, AQ.q_assign_by_position(spark, SF_SMALL).collect()))
+    b = sorted(map(tuple, AQ.q_assign_by_position(spark, SF_SMALL, img_chunk=2).collect()))
+    assert a == b and len(a) > 0
