@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lectern.functions.text import strip
+from lectern.functions.text import let, strip
 
 LOCATIONS = ("begin", "end", "any", "exact")
 
@@ -52,12 +52,17 @@ def match_targets(completion, targets, location: str = "end", ignore_case: bool
     """
     comp = completion if isinstance(completion, Column) else F.col(completion)
     tg = targets if isinstance(targets, Column) else F.col(targets)
-    v = _norm(comp, ignore_case)
-    hits = F.transform(tg, lambda t: _matches(v, _norm(t, ignore_case), location))
-    first = F.array_position(hits, True)
-    chosen = F.when(first > 0, F.element_at(tg, first.cast("int"))).otherwise(F.element_at(tg, -1))
-    return F.struct((first > 0).alias("matched"),
-                    _answer(v, _norm(chosen, ignore_case), location).alias("answer"))
+
+    def on_value(v):            # the normalised completion, computed once
+        hits = F.transform(tg, lambda t: _matches(v, _norm(t, ignore_case), location))
+
+        def on_first(first):
+            chosen = F.when(first > 0, F.element_at(tg, first.cast("int"))).otherwise(
+                F.try_element_at(tg, F.lit(-1)))
+            return F.struct((first > 0).alias("matched"),
+                            _answer(v, _norm(chosen, ignore_case), location).alias("answer"))
+        return let(F.array_position(hits, True), on_first)
+    return let(_norm(comp, ignore_case), on_value)
 
 
 def point_value(matched: Column, points: Column) -> Column:

@@ -76,6 +76,16 @@ def strip_footnotes(c) -> Column:
     return F.regexp_replace(c, TRAILING_NUMBER_PATTERN, "")
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and hand it to ``body`` as a lambda variable.
+
+    Spark does not share repeated subexpressions inside lambdas or
+    conditional branches, so an input used several times (a cleaned text, an
+    array of pieces) would be recomputed for every use.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def reorder_options(c) -> Column:
     """Sort numbered options ``n)`` by number.
 
@@ -85,30 +95,30 @@ def reorder_options(c) -> Column:
     the rest becomes a tail on its own line.  Pieces are sorted by number,
     stably, and joined by newlines.  Text without ``1)`` is returned as is.
     """
-    c = _col(c)
-    start = F.instr(c, "1)")
-    stem = strip(c.substr(F.lit(1), start - 1))
-    opts = strip(c.substr(start, F.lit(1 << 30)))
-    pieces = F.regexp_extract_all(opts, F.lit(OPTION_PIECE_PATTERN), 1)
-    last_idx = F.size(pieces) - 1
-    last = F.element_at(pieces, -1)
-    cut = F.regexp_instr(last, F.lit(OPTION_END_PATTERN))
-    head = F.when(cut > 0, last.substr(F.lit(1), cut)).otherwise(last)
-    tail = F.when(cut > 0, strip(last.substr(cut + 1, F.lit(1 << 30)))).otherwise(F.lit(""))
-    keyed = F.transform(
-        pieces,
-        lambda x, i: F.struct(
-            F.regexp_extract(x, r"(?U)\d+", 0).try_cast("bigint").alias("num"),
-            i.alias("pos"),
-            strip(F.when(i == last_idx, head).otherwise(x)).alias("text"),
-        ),
-    )
-    body = F.array_join(F.transform(F.array_sort(keyed), lambda s: s["text"]), "\n")
-    result = F.concat(
-        stem, F.lit("\n"), body,
-        F.when(tail != "", F.concat(F.lit("\n"), tail)).otherwise(F.lit("")),
-    )
-    return F.when(start == 0, c).otherwise(result)
+    def on_text(t):
+        start = F.instr(t, "1)")
+        stem = strip(t.substr(F.lit(1), start - 1))
+        opts = strip(t.substr(start, F.lit(1 << 30)))
+
+        def on_pieces(pieces):
+            last_idx = F.size(pieces) - 1
+
+            def on_last(last):
+                cut = F.regexp_instr(last, F.lit(OPTION_END_PATTERN))
+                head = F.when(cut > 0, last.substr(F.lit(1), cut)).otherwise(last)
+                tail = F.when(cut > 0, strip(last.substr(cut + 1, F.lit(1 << 30)))).otherwise(F.lit(""))
+                keyed = F.transform(pieces, lambda x, i: F.struct(
+                    F.regexp_extract(x, r"(?U)\d+", 0).try_cast("bigint").alias("num"),
+                    i.alias("pos"),
+                    strip(F.when(i == last_idx, head).otherwise(x)).alias("text")))
+                body = F.array_join(F.transform(F.array_sort(keyed), lambda o: o["text"]), "\n")
+                return F.concat(stem, F.lit("\n"), body,
+                                F.when(tail != "", F.concat(F.lit("\n"), tail)).otherwise(F.lit("")))
+            return let(F.try_element_at(pieces, F.lit(-1)), on_last)
+
+        return F.when(start == 0, t).otherwise(
+            let(F.regexp_extract_all(opts, F.lit(OPTION_PIECE_PATTERN), 1), on_pieces))
+    return let(_col(c), on_text)
 
 
 def normalise_question(c) -> Column:
