@@ -24,8 +24,8 @@ def exam_documents(spark: SparkSession, requests: DataFrame) -> DataFrame:
     """J7 + S6: each requested ``(subject, year)`` in both languages, with the
     test and consult file paths.  Unknown subjects are dropped here and
     reported by :func:`catalogue_rejects`."""
-    langs = dims.languages(spark)
-    r = requests.join(dims.subject_codes(spark), "subject").crossJoin(langs)   # 2-row dimension
+    langs = F.posexplode(F.array(*[F.lit(lang) for lang in dims.LANGUAGES])).alias("lang_order", "language")
+    r = requests.join(dims.subject_codes(spark), "subject").select("*", langs)   # each row in both languages
     folder = F.concat_ws("_", "code", "subject")
     stem = F.concat_ws("_", "code", "subject")
     return r.select(
