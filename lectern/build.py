@@ -137,7 +137,10 @@ def build_records(spark: SparkSession, inputs: ExamInputs, canary: str, profiles
         else:
             meta = meta.withColumn("question_id", F.lit(None).cast("string"))
         if inputs.edited_images is not None:
-            meta = AS.override_images(meta, inputs.edited_images)
+            # only images that got a question are looked up for a replacement
+            assigned = meta.where(F.col("question_id").isNotNull())
+            meta = AS.override_images(assigned, inputs.edited_images).unionByName(
+                meta.where(F.col("question_id").isNull()).withColumn("edited", F.lit(False)))
         image_info = meta.select("doc_id", "subject", "year", "page_no", "img_no", "filename", "format",
                                  "question_id", "image_url", "size", "nearby_text")
 

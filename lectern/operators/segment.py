@@ -39,7 +39,7 @@ class SegmentRules:
 # The exam profile.  A header line is "Часть А", "Часть В",
 # "Частка А" or "Частка В" (Cyrillic letters); the section is the letter.  An
 # item starts with a Cyrillic А or В followed by digits.
-EXAM_RULES = SegmentRules(header=r"^(?:Часть|Частка) ([АВ])$", item=r"^([АВ]\d+)")
+EXAM_RULES = SegmentRules(header=r"^(?:Часть|Частка) ([АВ])$", item=r"(?U)^([АВ]\d+)")
 
 
 def page_lines(pages: DataFrame, doc_col: str = "doc_id", page_col: str = "page_no",
