@@ -63,7 +63,8 @@ def test_nearby_margin(spark):
                                    (1, 2, 3, 150.0, 150.0, 150.0, 150.0, "other page")],
                                   "doc_id int, page_no int, span_id int, x0 double, y0 double, x1 double, y1 double, text string")
     for grid in (7.0, 64.0, 1000.0):
-        assert [r.nearby_text for r in AS.nearby_text(images, spans, grid=grid).collect()] == ["near"]
+        for cells in (1, 256):           # 1: every image takes the per-page path
+            assert [r.nearby_text for r in AS.nearby_text(images, spans, grid=grid, max_cells=cells).collect()] == ["near"]
 
 
 def test_override_and_share(spark):
@@ -85,3 +86,13 @@ def test_numbering_chunk_invariance(spark):
     a = sorted(map(tuple, AQ.q_assign_by_position(spark, SF_SMALL).collect()))
     b = sorted(map(tuple, AQ.q_assign_by_position(spark, SF_SMALL, img_chunk=2).collect()))
     assert a == b and len(a) > 0
+
+
+def test_nearby_paths_agree(spark):
+    from conftest import SF_SMALL
+    from lectern.plans import asset_queries as AQ
+    images, spans = AQ._emb_boxes(spark, SF_SMALL)
+    a = sorted(map(tuple, AS.nearby_text(images, spans).collect()))
+    b = sorted(map(tuple, AS.nearby_text(images, spans, max_cells=1).collect()))
+    c = sorted(map(tuple, AS.nearby_text(images, spans, grid=5.0, max_cells=4).collect()))
+    assert a == b == c and any(r[3] for r in a)
