@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern import dims
-from lectern.functions.text import strip  # noqa: F401  (re-exported for callers)
 
 
 # ------------------------------------------------------------------ catalogue

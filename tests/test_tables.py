@@ -1,6 +1,5 @@
 """Table operators: rows, Markdown, CSV, fixes, placement."""
 
-from pyspark.sql import functions as F
 
 from lectern.operators import tables as TB
 
