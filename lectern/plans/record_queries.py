@@ -12,6 +12,7 @@ from lectern.operators import segment as SEG
 from lectern.plans import oracle_text as O
 from lectern.plans import text_queries as TQ
 from lectern.plans.tables import sql_str, table
+from lectern.session import ensure_checkpoint_dir
 
 CANARY = "lectern test canary"
 SUBJECTS = [s for s, _ in dims.SUBJECT_CODES]
@@ -117,13 +118,16 @@ def sql_chat_records() -> str:
 # page_id = doc_id, assigned to the document's first question, bytes = html.
 
 
-def _exam_inputs(spark, sf_dir):
+def _exam_inputs(spark, sf_dir, materialize: bool = True):
     docs = table(spark, sf_dir, "documents")
     exams = docs.select("doc_id",
                         F.element_at(F.array(*[F.lit(s) for s in SUBJECTS]), (F.col("doc_id") % 15 + 1).cast("int")).alias("subject"),
                         F.lit("2023").alias("year"),
                         F.when(F.col("lang").isin("en", "de"), "rus").otherwise("bel").alias("language"))
     segs = SEG.segments(TQ._doc_classified(spark, sf_dir))
+    if materialize:   # read by questions, section info and the image assignment
+        ensure_checkpoint_dir(spark)
+        segs = segs.checkpoint(eager=True)
     questions = SEG.items_of(segs)
     info = SEG.section_info_of(segs)
     lab = table(spark, sf_dir, "labels")
