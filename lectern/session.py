@@ -48,8 +48,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder named by the session.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    it is.  Only when it is unset (local runs, tests) a fresh scratch folder is
-    created and set.
+    it is; a cluster session without it is an error (a machine-local folder
+    would not survive the loss of that machine).  Only in local mode, when it
+    is unset (local runs, tests), a fresh scratch folder is created and set.
     """
     try:
         sc = spark.sparkContext
@@ -57,6 +58,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lectern-ckpt-")
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set; on a cluster it must name a shared folder")
         current = tempfile.mkdtemp(prefix="lectern-ckpt-")
     sc.setCheckpointDir(current)
     return sc.getCheckpointDir() or current
