@@ -39,3 +39,13 @@ def test_score_join(spark):
     assert got == [("r1", 1), ("r2", 0)]
     (row,) = SC.result_table(s, ["model"]).collect()
     assert row.questions == 2 and abs(row.weighted_accuracy - 1 / 3) < 1e-12
+
+
+def test_prompts_from_records(spark):
+    from lectern import schemas
+    recs = spark.createDataFrame(
+        [([("system", [("text", "info", None)]), ("user", [("text", "А1. Q", None), ("image", None, "data:x")])],
+          "1", "r1", ("c", "phy", "2023", "rus", "A", 1, "k"))], schemas.RECORD)
+    (row,) = SC.prompts(recs).collect()
+    assert row.system == "info" and row.images == ["data:x"] and row.target == "1"
+    assert row.prompt.startswith("А1. Q\n\nBefore answering") and row.prompt.endswith("to the question.")
