@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from lectern.functions.text import clean_text, normalise_question, strip
 from lectern.operators.scan import prefix_scan
 
-LINE_CHUNK = 4096     # lines per scan chunk; bounds the task size of one document
+LINE_CHUNK = 65536    # lines per scan chunk (a few MB of text): bounds the task size of one document
 PAGE_CHUNK = 64       # pages per scan chunk for the page-offset sum
 
 
