@@ -25,7 +25,7 @@ from lectern.operators import blocks as BL
 from lectern.operators import records as R
 from lectern.operators import segment as SEG
 from lectern.operators import tables as TB
-from lectern.session import ensure_checkpoint_dir
+from lectern.session import materialize as write_table
 
 
 @dataclass
@@ -85,9 +85,9 @@ def build_records(spark: SparkSession, inputs: ExamInputs, canary: str, profiles
     """Build records for every exam in ``inputs.exam_docs``.
 
     With ``materialize`` the segments (the one intermediate read by both the
-    items and the section info) are written once with ``checkpoint()`` to the
-    session's checkpoint folder: the segmentation is not run twice, and a lost
-    executor later in the job does not send Spark back to the page text.
+    items and the section info) are written once as Parquet to the session's
+    checkpoint folder and read back: the segmentation is not run twice, and a
+    lost executor later in the job does not send Spark back to the page text.
     """
     profiles = profiles or Profiles()
     docs = inputs.exam_docs
@@ -98,8 +98,7 @@ def build_records(spark: SparkSession, inputs: ExamInputs, canary: str, profiles
     pages = inputs.page_text.join(tests.select("doc_id"), "doc_id", "left_semi")
     segs = SEG.segments(SEG.classify_lines(SEG.page_lines(pages), rules))
     if materialize:
-        ensure_checkpoint_dir(spark)
-        segs = segs.checkpoint(eager=True)
+        segs = write_table(spark, segs, "segments")
     questions = SEG.items_of(segs)
     info = SEG.section_info_of(segs)
 

@@ -12,7 +12,7 @@ from lectern.operators import segment as SEG
 from lectern.plans import oracle_text as O
 from lectern.plans import text_queries as TQ
 from lectern.plans.tables import sql_str, table
-from lectern.session import ensure_checkpoint_dir
+from lectern.session import materialize as write_table
 
 CANARY = "lectern test canary"
 SUBJECTS = [s for s, _ in dims.SUBJECT_CODES]
@@ -126,8 +126,7 @@ def _exam_inputs(spark, sf_dir, materialize: bool = True):
                         F.when(F.col("lang").isin("en", "de"), "rus").otherwise("bel").alias("language"))
     segs = SEG.segments(TQ._doc_classified(spark, sf_dir))
     if materialize:   # read by questions, section info and the image assignment
-        ensure_checkpoint_dir(spark)
-        segs = segs.checkpoint(eager=True)
+        segs = write_table(spark, segs, "segments")
     questions = SEG.items_of(segs)
     info = SEG.section_info_of(segs)
     lab = table(spark, sf_dir, "labels")
@@ -300,7 +299,7 @@ def q_jsonl_roundtrip(spark: SparkSession, sf_dir: str):
     import uuid
 
     from lectern.schemas import RECORD
-    from lectern.session import ensure_checkpoint_dir
+    from lectern.session import materialize
     from lectern.sources import readers, sinks
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/lectern-records-{uuid.uuid4().hex}"

@@ -63,3 +63,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         current = tempfile.mkdtemp(prefix="lectern-ckpt-")
     sc.setCheckpointDir(current)
     return sc.getCheckpointDir() or current
+
+
+def materialize(spark: SparkSession, df, name: str):
+    """Write ``df`` once as Parquet under the checkpoint folder and read it
+    back: lineage is cut (a lost executor later does not rerun the plan) and,
+    unlike ``checkpoint()``, the plan is computed only once."""
+    import uuid
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lectern-{name}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
