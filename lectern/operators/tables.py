@@ -12,9 +12,6 @@ from pyspark.sql import functions as F
 
 from lectern.functions.text import clean_text, strip
 
-QuestionArray = "array<struct<section:string,pos:bigint,question_id:string,text:string>>"
-
-
 def table_rows(cells: DataFrame, clean: bool = True) -> DataFrame:
     """``(doc_id, table_no, row_no, col_no, text)`` -> ``(doc_id, table_no,
     rows)`` with rows and cells in order.  Rows are grouped first, so no

@@ -18,7 +18,8 @@ CANARY = "lectern test canary"
 SUBJECTS = [s for s, _ in dims.SUBJECT_CODES]
 
 
-def _record_json(df):
+def _record_json():
+    """The record as one JSON string, as the sink writes it."""
     return F.to_json(F.struct("input", "target", "id", "metadata"))
 
 
@@ -90,7 +91,7 @@ def q_chat_records(spark: SparkSession, sf_dir: str):
                             F.col("text"), None, F.coalesce("reply", F.lit("")), rid,
                             F.lit(None).cast("string"), F.lit("chat"), F.lit("2024"), F.col("language"),
                             section, CANARY)
-    return u.select(*cols).select("id", _record_json(None).alias("record"))
+    return u.select(*cols).select("id", _record_json().alias("record"))
 
 
 def sql_chat_records() -> str:
@@ -147,7 +148,7 @@ def q_exam_records(spark: SparkSession, sf_dir: str):
     exams, questions, info, answers, images = _exam_inputs(spark, sf_dir)
     rec = R.assemble_records(spark, exams, questions, info, answers, images, CANARY,
                              answer_keys=("doc_id",), image_keys=("doc_id", "question_id"))
-    return rec.select("doc_id", "id", _record_json(None).alias("record"))
+    return rec.select("doc_id", "id", _record_json().alias("record"))
 
 
 def sql_exam_records() -> str:
