@@ -53,7 +53,7 @@ def page_lines(pages: DataFrame, doc_col: str = "doc_id", page_col: str = "page_
     """
     p = pages.select(F.col(doc_col).alias("doc_id"), F.col(page_col).alias("page_no"),
                      F.col(text_col).alias("text"))
-    p = p.withColumn("_nl", F.size(F.split("text", "\n", -1)) - 1)
+    p = p.withColumn("_nl", F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))))
     p = prefix_scan(p.withColumn("_chunk", F.floor(F.col("page_no") / page_chunk)),
                     ["doc_id"], "page_no", "_chunk", sums={"_nl_upto": F.col("_nl")})
     frags = p.select(

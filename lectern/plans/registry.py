@@ -16,6 +16,7 @@ QUERIES = {
     "normalise_question": TQ.q_normalise_question,
     "segment_lines": TQ.q_segment_lines,
     "section_info": TQ.q_section_info,
+    "page_lines": TQ.q_page_lines,
     "attribute_blocks": BQ.q_attribute_blocks,
     "answer_parse": BQ.q_answer_parse,
     "chat_records": RQ.q_chat_records,
@@ -47,6 +48,7 @@ ORACLE = {
     "normalise_question": TQ.sql_normalise_question,
     "segment_lines": TQ.sql_segment_lines,
     "section_info": TQ.sql_section_info,
+    "page_lines": TQ.sql_page_lines,
     "attribute_blocks": BQ.sql_attribute_blocks,
     "answer_parse": BQ.sql_answer_parse,
     "chat_records": RQ.sql_chat_records,

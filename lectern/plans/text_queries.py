@@ -178,3 +178,26 @@ def sql_section_info() -> str:
     fold = (f"list_reduce(list(struct_pack(raw := raw, has_q := has_q) ORDER BY run_start), "
             f"lambda acc, r: CASE WHEN r.has_q THEN {step} ELSE acc || r.raw END, '')")
     return f"WITH {_LINES_SQL} SELECT doc_id, section, {fold} AS general_info FROM ({runs}) GROUP BY doc_id, section"
+
+
+# --------------------------------------------------------------- page_lines
+# S1 on real text: each document is cut into pages of 1,000 characters (so
+# lines run across page breaks, and some pages hold no newline at all); the
+# lines rebuilt from the pages must be the lines of the uncut text.
+
+PAGE_CHARS = 1000
+
+
+def q_page_lines(spark: SparkSession, sf_dir: str):
+    d = table(spark, sf_dir, "documents")
+    n_pages = F.greatest(F.ceil(F.length("text") / PAGE_CHARS), F.lit(1)).cast("int")
+    pages = d.select("doc_id", F.posexplode(F.transform(
+        F.sequence(F.lit(0), n_pages - 1),
+        lambda i: F.substring("text", i * PAGE_CHARS + 1, PAGE_CHARS))).alias("i", "text")) \
+        .select("doc_id", (F.col("i") + 1).alias("page_no"), "text")
+    return SEG.page_lines(pages)
+
+
+def sql_page_lines() -> str:
+    return ("SELECT doc_id, CAST(generate_subscripts(parts, 1) - 1 AS BIGINT) AS line_no, unnest(parts) AS line "
+            "FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents)")
