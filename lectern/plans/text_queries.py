@@ -129,14 +129,17 @@ def q_section_info(spark: SparkSession, sf_dir: str, line_chunk: int = SEG.LINE_
     return SEG.section_info(_doc_classified(spark, sf_dir, line_chunk))
 
 
-_LINES_SQL = f"""
+def lines_sql(source: str = "documents", header: str = DOC_HEADER, item: str = DOC_ITEM) -> str:
+    """CTEs ``lines``, ``marked``, ``cls``: classified lines of ``source``
+    (doc_id, text) with a whole-document window (the plain form)."""
+    return f"""
 lines AS (
   SELECT doc_id, line_no, line,
-         regexp_full_match(line, {O.q(DOC_HEADER)}) AS is_header,
-         regexp_extract(line, {O.q(DOC_HEADER)}, 1) AS hdr,
-         regexp_extract(line, {O.q(DOC_ITEM)}, 1) AS qid
+         regexp_full_match(line, {O.q(header)}) AS is_header,
+         regexp_extract(line, {O.q(header)}, 1) AS hdr,
+         regexp_extract(line, {O.q(item)}, 1) AS qid
   FROM (SELECT doc_id, generate_subscripts(parts, 1) - 1 AS line_no, {O.strip('unnest(parts)')} AS line
-        FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents))
+        FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM {source}))
 ),
 marked AS (
   SELECT *,
@@ -154,18 +157,21 @@ cls AS (
 )"""
 
 
-def sql_segment_lines() -> str:
+_LINES_SQL = lines_sql()
+
+
+def sql_segment_lines(lines_cte: str | None = None) -> str:
     inst = """SELECT doc_id, seg_start, any_value(section) AS section, any_value(question_id) AS question_id,
                      string_agg(line || chr(10), '' ORDER BY line_no) AS raw
               FROM cls WHERE seg_kind = 'Q' AND NOT is_header GROUP BY doc_id, seg_start"""
     won = f"""SELECT doc_id, section, question_id, arg_max(raw, seg_start) AS raw, min(seg_start) AS pos
               FROM ({inst}) GROUP BY doc_id, section, question_id"""
     src = f"SELECT doc_id, section, question_id, pos, {O.clean_text(O.strip_footnotes('raw'))} AS t FROM ({won})"
-    return (f"WITH {_LINES_SQL} SELECT doc_id, section, question_id, pos, text FROM "
+    return (f"WITH {lines_cte or _LINES_SQL} SELECT doc_id, section, question_id, pos, text FROM "
             f"({O.reorder_options(src, 't', 'text')})")
 
 
-def sql_section_info() -> str:
+def sql_section_info(lines_cte: str | None = None) -> str:
     runs = """SELECT h.doc_id, h.section, h.run_start,
                      coalesce(r.raw, '') AS raw, coalesce(r.has_q, false) AS has_q
               FROM (SELECT doc_id, section, run_start FROM cls WHERE is_header) h
@@ -177,7 +183,8 @@ def sql_section_info() -> str:
     step = O.clean_text("(acc || r.raw)")
     fold = (f"list_reduce(list(struct_pack(raw := raw, has_q := has_q) ORDER BY run_start), "
             f"lambda acc, r: CASE WHEN r.has_q THEN {step} ELSE acc || r.raw END, '')")
-    return f"WITH {_LINES_SQL} SELECT doc_id, section, {fold} AS general_info FROM ({runs}) GROUP BY doc_id, section"
+    return (f"WITH {lines_cte or _LINES_SQL} SELECT doc_id, section, {fold} AS general_info "
+            f"FROM ({runs}) GROUP BY doc_id, section")
 
 
 # --------------------------------------------------------------- page_lines

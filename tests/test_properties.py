@@ -42,3 +42,27 @@ def test_results_do_not_depend_on_partitioning(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert base == again
+
+
+LINE_KINDS = ["Часть А", "Частка В", "Часть  А", "Часть A", "Вступление", "Инфо строка", "", "  ",
+              "А1. Раз", "А2. Два", "В1. Три", "В12 без точки", "A3. латинская", "1) вариант;", "2) другой.",
+              "3)", "ДРТ–2023 г. 5", "текст  с   пробелами", "всѐ", "Б) буква"]
+docs_st = st.lists(st.lists(st.sampled_from(LINE_KINDS), max_size=25).map("\n".join), min_size=1, max_size=12)
+
+
+@settings(max_examples=4, deadline=None)
+@given(docs_st)
+def test_segmentation_matches_plain_window_form(spark, texts):
+    from lectern.operators import segment as SEG
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    cls = SEG.classify_lines(SEG.document_lines(df), SEG.EXAM_RULES, line_chunk=2)
+    segs = SEG.segments(cls)
+    got_items = sorted(map(tuple, SEG.items_of(segs).collect()))
+    got_info = sorted(map(tuple, SEG.section_info_of(segs).collect()))
+    con = duckdb.connect()
+    con.register("exam_src", pd.DataFrame({"doc_id": list(range(len(texts))), "text": texts}))
+    cte = TQ.lines_sql("exam_src", r"^(?:Часть|Частка) ([АВ])$", r"^([АВ]\p{Nd}+)")
+    want_items = sorted(con.execute(TQ.sql_segment_lines(cte)).fetchall())
+    want_info = sorted(con.execute(TQ.sql_section_info(cte)).fetchall())
+    assert got_items == want_items
+    assert got_info == want_info
