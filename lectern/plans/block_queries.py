@@ -48,6 +48,13 @@ def sql_attribute_blocks() -> str:
                 WHEN event_type = 'purchase' THEN 'итог' || chr(10) || 'Ответ: ' || event_type || ' ' || props
                 ELSE props || ' ' END AS text
     FROM events"""
+    return attribution_sql(blocks)
+
+
+def attribution_sql(blocks: str) -> str:
+    """The plain whole-document form of block attribution over ``blocks``
+    (doc_id, page_no, block_no, x0, y0, text)."""
+    S = O.S
     band = f"""
     SELECT *, x0 > 140 AND x0 < 142 AS in_q,
            CASE WHEN x0 > 140 AND x0 < 142 THEN nullif(regexp_extract(text, {O.q('^([АВ]' + O.D + r'+)\.')}, 1), '') END AS qid_here,

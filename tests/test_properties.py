@@ -66,3 +66,24 @@ def test_segmentation_matches_plain_window_form(spark, texts):
     want_info = sorted(con.execute(TQ.sql_section_info(cte)).fetchall())
     assert got_items == want_items
     assert got_info == want_info
+
+
+block_st = st.tuples(st.integers(1, 3), st.sampled_from([100.0, 100.5, 101.5, 102.4, 150.0, 150.5, 300.0]),
+                     st.sampled_from([140.0, 141.0, 141.5, 142.0, 402.0, 410.0, 439.9, 440.0]),
+                     st.sampled_from(["А1. Вопрос", "А2. Другой\nОтвет: да", "В1. x", "Ответ: 7", "Ответ: чад ",
+                                      "комментарий", " ещё  текст ", "А3 без точки", "Ответ:", ""]))
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(st.lists(block_st, max_size=30), min_size=1, max_size=6))
+def test_attribution_matches_plain_window_form(spark, docs):
+    from lectern.operators import blocks as BL
+    from lectern.plans import block_queries as BQ
+    rows = [(d, p, i, x, y, t) for d, blocks in enumerate(docs) for i, (p, y, x, t) in enumerate(blocks)]
+    pdf = pd.DataFrame(rows, columns=["doc_id", "page_no", "block_no", "x0", "y0", "text"])
+    df = spark.createDataFrame(rows, "doc_id long, page_no int, block_no int, x0 double, y0 double, text string")
+    got = sorted(map(tuple, BL.attribute_blocks(df, y_band=1.0).collect()))
+    con = duckdb.connect()
+    con.register("blk", pdf)
+    want = sorted(con.execute(BQ.attribution_sql("SELECT * FROM blk")).fetchall())
+    assert got == want
