@@ -32,15 +32,11 @@ def _inputs(spark, sf_dir):
 
 
 def q_score_answers(spark: SparkSession, sf_dir: str):
+    """All four locations ignoring case, and "end" with case, from one join."""
     records, completions = _inputs(spark, sf_dir)
-    out = None
-    for loc in LOCATIONS:
-        s = SC.score(records, completions, location=loc).select(
-            "doc_id", F.lit(loc).alias("location"), "value", "answer")
-        out = s if out is None else out.unionByName(s)
-    cs = SC.score(records, completions, location="end", ignore_case=False).select(
-        "doc_id", F.lit("end_case").alias("location"), "value", "answer")
-    return out.unionByName(cs)
+    variants = [(loc, loc, True) for loc in LOCATIONS] + [("end_case", "end", False)]
+    return SC.score_variants(records, completions, variants).select(
+        "doc_id", F.col("variant").alias("location"), "value", "answer")
 
 
 def _score_sql(loc: str, ignore_case: bool) -> str:
