@@ -64,13 +64,13 @@ def sql_score_answers() -> str:
 
 
 def q_weighted_accuracy(spark: SparkSession, sf_dir: str):
-    """A7 per language and overall (lang = 'all')."""
+    """A7 per language and overall (lang = 'all'), in one aggregation."""
     records, completions = _inputs(spark, sf_dir)
     s = SC.score(records, completions)
-    per = SC.result_table(s, ["lang"]).select("lang", "questions", "weighted_accuracy")
-    allr = s.agg(F.lit("all").alias("lang"), F.count(F.lit(1)).alias("questions"),
-                 SC.weighted_accuracy().alias("weighted_accuracy"))
-    return per.unionByName(allr)
+    out = s.rollup("lang").agg(F.grouping("lang").alias("_all"), F.count(F.lit(1)).alias("questions"),
+                               SC.weighted_accuracy().alias("weighted_accuracy"))
+    return out.select(F.when(F.col("_all") == 1, F.lit("all")).otherwise(F.col("lang")).alias("lang"),
+                      "questions", "weighted_accuracy")
 
 
 def q_result_table(spark: SparkSession, sf_dir: str):
