@@ -143,8 +143,13 @@ def assemble_records(spark: SparkSession, exams: DataFrame, questions: DataFrame
 
 
 def in_reference_order(records: DataFrame) -> DataFrame:
-    """O3: language, then section, then question position."""
-    return records.orderBy("lang_order", "doc_id", "section_order", "pos")
+    """O3: exam by exam (subject, year), then language (rus before bel), then
+    section, then question position.  A distributed sort; used only when the
+    output order matters (writing the data set)."""
+    keys = ["lang_order", "doc_id", "section_order", "pos"]
+    if "metadata" in records.columns:
+        keys = [F.col("metadata.subject"), F.col("metadata.year")] + keys
+    return records.orderBy(*keys)
 
 
 def sample_columns(records: DataFrame) -> DataFrame:
