@@ -105,15 +105,25 @@ def place_tables(questions: DataFrame, tables: DataFrame) -> DataFrame:
     their final text, and ``(doc_id, table_no)`` of tables that matched none.
     """
     cols = ["section_order", "pos", "section", "question_id", "text"]
-    has_tables = tables.select("doc_id").distinct()
-    untouched = questions.join(has_tables, "doc_id", "left_anti").select("doc_id", *cols)
-    qs = (questions.join(has_tables, "doc_id", "left_semi")
-          .groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct(*cols))).alias("qs")))
     a, z = anchors("rows")
     ts = (tables.select("doc_id", F.col("table_no").cast("bigint").alias("table_no"), a.alias("a"), z.alias("z"),
                         markdown("rows").alias("md"))
           .groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("table_no", "a", "z", "md"))).alias("ts")))
-    j = qs.join(ts, "doc_id")
+    # A question that matches none of its document's tables on its own text
+    # is never changed, so it can never match a later table either: only
+    # candidates go into the per-document fold, the rest pass through.
+    anc = ts.select("doc_id", F.transform("ts", lambda t: F.struct(t["a"].alias("a"), t["z"].alias("z"))).alias("anc"))
+    q = questions.select("doc_id", F.col("section_order").cast("int").alias("section_order"),
+                         F.col("pos").cast("bigint").alias("pos"), "section", "question_id", "text") \
+        .join(anc, "doc_id", "left")
+    cand = F.coalesce(F.exists("anc", lambda t: _span_bounds(F.col("text"), t["a"], t["z"])[0]), F.lit(False))
+    q = q.withColumn("_cand", cand)
+    untouched = q.where(~F.col("_cand")).select("doc_id", *cols)
+    qs = (q.where(F.col("_cand")).groupBy("doc_id")
+          .agg(F.array_sort(F.collect_list(F.struct(*cols))).alias("qs")))
+    j = ts.join(qs, "doc_id", "left").withColumn(
+        "qs", F.coalesce("qs", F.array().cast(
+            "array<struct<section_order:int,pos:bigint,section:string,question_id:string,text:string>>")))
 
     def step(acc, t):
         hits = F.transform(acc["qs"], lambda q: _span_bounds(q["text"], t["a"], t["z"])[0])
