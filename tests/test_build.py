@@ -78,3 +78,24 @@ def test_write_and_evaluate(spark):
     _, table = SC.evaluate(back, comp)
     (row,) = table.collect()
     assert row.questions == 3 and abs(row.weighted_accuracy - 3 / 4) < 1e-12
+
+
+def test_build_keeps_exams_apart(spark):
+    docs = spark.createDataFrame(
+        [("p-rus", "phy", "2023", "rus", "test"), ("p-c", "phy", "2023", None, "consult"),
+         ("g-rus", "geo", "2024", "rus", "test"), ("g-bel", "geo", "2024", "bel", "test"),
+         ("g-c", "geo", "2024", None, "consult")],
+        "doc_id string, subject string, year string, language string, kind string")
+    pages = spark.createDataFrame([("p-rus", 1, "Часть А\nА1. физика"), ("g-rus", 1, "Часть А\nА1. география"),
+                                   ("g-bel", 1, "Частка А\nА1. геаграфія")], "doc_id string, page_no int, text string")
+    blocks = spark.createDataFrame(
+        [("p-c", 1, 0, 141.0, 10.0, 0.0, 0.0, "А1. x\nОтвет: 3"), ("g-c", 1, 0, 141.0, 10.0, 0.0, 0.0, "А1. y\nОтвет: 5")],
+        "doc_id string, page_no int, block_no int, x0 double, y0 double, x1 double, y1 double, text string")
+    images = spark.createDataFrame([("g-rus", 1, 1, "png", b"g", 0.0, 0.0, 1.0, 1.0)],
+                                   "doc_id string, page_no int, img_no int, format string, content binary, "
+                                   "x0 double, y0 double, x1 double, y1 double")
+    pmap = spark.createDataFrame([("geo", "2024", 1, "А1")], "subject string, year string, position int, question_id string")
+    res = build_records(spark, ExamInputs(docs, pages, blocks, images), "c", Profiles(position_map=pmap))
+    got = {r.id: (r.target, len(r.input[1].content)) for r in res.records.collect()}
+    assert got == {"03-phy-2023-rus-A1": ("3", 1), "13-geo-2024-rus-A1": ("5", 2), "13-geo-2024-bel-A1": ("5", 2)}
+    assert sorted((r.doc_id, r.problem) for r in res.problems.collect()) == [("p-rus", "no images")]
