@@ -6,7 +6,7 @@ order.  ``Window.partitionBy(doc)`` would put a whole document into one task;
 a document holding a third of the corpus would then run on one core.
 
 Here rows are cut into *chunks* (a column that never decreases along the
-order, e.g. ``line_no div 4096`` or the page number):
+order, e.g. ``line_no div 65536``, or (page, band of y) for positioned blocks):
 
 1. one shuffle by ``(keys, chunk)`` and a window inside each chunk give the
    local running values; tasks are bounded by the chunk size, not the key;
