@@ -10,8 +10,9 @@ order, e.g. ``line_no div 65536``, or (page, band of y) for positioned blocks):
 
 1. one shuffle by ``(keys, chunk)`` and a window inside each chunk give the
    local running values; tasks are bounded by the chunk size, not the key;
-2. the chunk totals are aggregated from that output on the same partitioning
-   (no second shuffle of the big side);
+2. the chunk totals are aggregated from the running columns, grouped by the
+   same ``(keys, chunk)``; like any two-pass parallel scan this branch reads
+   the source a second time, but only the narrow marker columns travel;
 3. a window over the small table of chunk totals gives each chunk its
    carry-in from the chunks before it;
 4. the carry-in is joined back on ``(keys, chunk)``; the big side keeps its
