@@ -121,27 +121,33 @@ def build_records(spark: SparkSession, inputs: ExamInputs, canary: str, profiles
     attributed = BL.attribute_blocks(inputs.blocks.join(consults.select("doc_id"), "doc_id", "left_semi"), bands)
     answers = attributed.join(consults, "doc_id").select("subject", "year", "question_id", "answer", "comment")
 
-    # Images of the Russian test document, assigned by position and replaced.
+    # Images of the Russian test document: numbered, placed near text and
+    # assigned on metadata only; the bytes are joined once at the end to build
+    # the URIs, and images that got a question are replaced where an edited
+    # copy exists.
     image_info = None
     if inputs.images is not None:
         rus = tests.where(F.col("language") == "rus").select("doc_id", "subject", "year")
-        meta = AS.describe(inputs.images.join(rus, "doc_id"))
+        meta = inputs.images.drop("content").join(rus, "doc_id").withColumn(
+            "filename", AS.image_file_name("page_no", "img_no", "format"))
         spans = inputs.blocks.select("doc_id", "page_no", F.col("block_no").alias("span_id"),
                                      "x0", "y0", "x1", "y1", "text")
         near = AS.nearby_text(meta.select("doc_id", "page_no", F.col("img_no").alias("img_id"),
                                           "x0", "y0", "x1", "y1"), spans)
-        meta = meta.drop("content").join(near.withColumnRenamed("img_id", "img_no"), ["doc_id", "page_no", "img_no"], "left")
+        meta = meta.join(near.withColumnRenamed("img_id", "img_no"), ["doc_id", "page_no", "img_no"], "left")
         if profiles.position_map is not None:
             meta = AS.assign_by_position(meta, profiles.position_map, ["subject", "year"])
         else:
             meta = meta.withColumn("question_id", F.lit(None).cast("string"))
+        meta = AS.attach_uris(meta, inputs.images)
+        assigned = meta.where(F.col("question_id").isNotNull())
         if inputs.edited_images is not None:
             # only images that got a question are looked up for a replacement
-            assigned = meta.where(F.col("question_id").isNotNull())
-            meta = AS.override_images(assigned, inputs.edited_images).unionByName(
-                meta.where(F.col("question_id").isNull()).withColumn("edited", F.lit(False)))
-        image_info = meta.select("doc_id", "subject", "year", "page_no", "img_no", "filename", "format",
-                                 "question_id", "image_url", "size", "nearby_text")
+            assigned = AS.override_images(assigned, inputs.edited_images)
+        unassigned = meta.where(F.col("question_id").isNull())
+        cols = ["doc_id", "subject", "year", "page_no", "img_no", "filename", "format",
+                "question_id", "image_url", "size", "nearby_text"]
+        image_info = assigned.select(*cols).unionByName(unassigned.select(*cols))
 
     records = R.assemble_records(
         spark, tests, questions, info, answers,

@@ -30,6 +30,17 @@ def describe(images: DataFrame) -> DataFrame:
                          F.octet_length("content").alias("size"))
 
 
+def attach_uris(meta: DataFrame, images: DataFrame,
+                keys: tuple[str, ...] = ("doc_id", "page_no", "img_no")) -> DataFrame:
+    """P16 + P18, done last: join the bytes once to the (already assigned)
+    image metadata and build the data URI and byte size.  Everything before
+    this runs on metadata, so the bytes cross a shuffle only here."""
+    b = images.select(*keys, "content")
+    return (meta.join(b, list(keys))
+            .withColumn("image_url", data_uri("content", "format"))
+            .withColumn("size", F.octet_length("content")).drop("content"))
+
+
 def number_images(images: DataFrame, exam_keys: list[str], img_chunk: int = IMG_CHUNK) -> DataFrame:
     """``position`` = 1-based rank of an image in its exam by (page, image).
 
