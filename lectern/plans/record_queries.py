@@ -23,7 +23,8 @@ def _record_json():
     return F.to_json(F.struct("input", "target", "id", "metadata"))
 
 
-def _subjects_sql_case(key: str, values: list[str]) -> str:
+def _pick_sql(key: str, values: list[str]) -> str:
+    """SQL form of picking ``values[key % len(values)]``."""
     arms = " ".join(f"WHEN {i} THEN {sql_str(v)}" for i, v in enumerate(values))
     return f"(CASE ({key}) % {len(values)} {arms} END)"
 
@@ -154,7 +155,7 @@ def q_exam_records(spark: SparkSession, sf_dir: str):
 def sql_exam_records() -> str:
     items = TQ.sql_segment_lines()
     info = TQ.sql_section_info()
-    subj = _subjects_sql_case("d.doc_id", SUBJECTS)
+    subj = _pick_sql("d.doc_id", SUBJECTS)
     sec = _section_lat_sql("q.section")
     rid = f"codes.code || '-' || e.subject || '-2023-' || e.language || '-' || {sec} || substr(q.question_id, 2)"
     img = "'{\"type\":\"image\",\"image\":' || to_json('data:image/png;base64,' || to_base64(encode(p.html))) || '}'"
@@ -217,7 +218,7 @@ def sql_dim_lookup() -> str:
     ans = ("CASE WHEN c_mktsegment = 'BUILDING' THEN 'ПОЛИТИКА' WHEN c_mktsegment = 'MACHINERY' THEN 'МЕЖЛЕДНИКОВЬЕ' "
            f"ELSE {O.upper('c_mktsegment')} END")
     lang = "CASE WHEN c_nationkey % 2 = 0 THEN 'rus' ELSE 'bel' END"
-    subj = _subjects_sql_case("c_nationkey", SUBJECTS)
+    subj = _pick_sql("c_nationkey", SUBJECTS)
     return f"""
     SELECT c_custkey, codes.code || '-' || {subj} || '-2023-' || {lang} || '-' || {lat} || CAST(c_custkey % 40 + 1 AS VARCHAR) AS id,
            coalesce(tr.translated, {ans}) AS target, {lat} AS section,
@@ -245,8 +246,8 @@ def q_validate(spark: SparkSession, sf_dir: str):
 
 
 def sql_validate() -> str:
-    subj = _subjects_sql_case("c_custkey", _REQ_SUBJECTS)
-    lang = _subjects_sql_case("c_custkey", _REQ_LANGS)
+    subj = _pick_sql("c_custkey", _REQ_SUBJECTS)
+    lang = _pick_sql("c_custkey", _REQ_LANGS)
     known = "(" + ", ".join(f"'{s}'" for s in SUBJECTS) + ")"
     return f"""
     SELECT c_custkey, CASE WHEN s NOT IN {known} THEN 'Subject ''' || s || ''' is not a valid subject code.'
