@@ -105,7 +105,7 @@ def classify_lines(lines: DataFrame, rules: SegmentRules, line_chunk: int = LINE
             .select("doc_id", "line_no", "line", "is_header",
                     F.col("_run.start").alias("run_start"), F.col("_run.section").alias("section"),
                     F.col("_seg.start").alias("seg_start"), F.col("_seg.m.kind").alias("seg_kind"),
-                    F.col("_seg.m.qid").alias("question_id")))
+                    F.col("_seg.m.qid").alias("question_id"), F.col("_chunk").alias("chunk")))
 
 
 def _ordered_text(only=None):
@@ -123,10 +123,19 @@ def segments(classified: DataFrame) -> DataFrame:
     after the header) or an item instance (kind 'Q').  ``raw`` is the
     segment's lines, each followed by a newline.  Items and section info are
     both derived from this one grouping."""
-    return (classified.groupBy("doc_id", "seg_start")
+    # Two steps: the lines of a segment inside one scan chunk are joined where
+    # they already are (the rows are partitioned by document and chunk), then
+    # the per-chunk pieces are joined; a segment spanning many chunks is not
+    # assembled line by line in one task.
+    pieces = (classified.groupBy("doc_id", "seg_start", "chunk")
+              .agg(F.max("seg_kind").alias("seg_kind"), F.max("section").alias("section"),
+                   F.max("question_id").alias("question_id"), F.max("run_start").alias("run_start"),
+                   _ordered_text(~F.col("is_header")).alias("raw")))
+    return (pieces.groupBy("doc_id", "seg_start")
             .agg(F.max("seg_kind").alias("seg_kind"), F.max("section").alias("section"),
                  F.max("question_id").alias("question_id"), F.max("run_start").alias("run_start"),
-                 _ordered_text(~F.col("is_header")).alias("raw")))
+                 F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk", "raw"))),
+                                          lambda x: x["raw"]), "").alias("raw")))
 
 
 def items_of(segs: DataFrame, normalise: bool = True) -> DataFrame:
