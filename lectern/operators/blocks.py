@@ -61,10 +61,18 @@ def attribute_blocks(blocks: DataFrame, bands: Bands = EXAM_BANDS,
     scanned = prefix_scan(b, ["doc_id"], "ord", "_chunk", last={"question_id": F.col("qid_here")})  # W4
     scanned = scanned.where(F.col("question_id").isNotNull())
     ans = F.when(F.col("in_q"), answer_text("text"))
-    grouped = scanned.groupBy("doc_id", "question_id").agg(
+    # Per scan chunk first (rows already sit by document and chunk), then per
+    # question: a question with very many comment blocks is not assembled
+    # block by block in one task.
+    per_chunk = scanned.groupBy("doc_id", "question_id", "_chunk").agg(
         F.max(F.when(ans.isNotNull(), F.struct(F.col("ord").alias("o"), ans.alias("a")))).alias("_ans"),  # A4
         F.array_sort(F.collect_list(F.when(~F.col("in_q"), F.struct(
-            F.col("ord").alias("o"), strip("text").alias("t"))))).alias("_com"))                    # A5
+            F.col("ord").alias("o"), strip("text").alias("t"))))).alias("_com"))
+    piece = F.when(F.size("_com") > 0, F.array_join(F.transform("_com", lambda c: c["t"]), " "))
+    grouped = per_chunk.groupBy("doc_id", "question_id").agg(
+        F.max("_ans").alias("_ans"),
+        F.array_sort(F.collect_list(F.when(piece.isNotNull(), F.struct(
+            F.col("_chunk").alias("k"), piece.alias("t"))))).alias("_com"))                           # A5
     comment = clean_text(strip(F.array_join(F.transform("_com", lambda c: c["t"]), " ")))
     return grouped.select("doc_id", "question_id",
                           F.coalesce(F.col("_ans.a"), F.lit("")).alias("answer"),
