@@ -31,10 +31,17 @@ def create_dataset(spark, path: str, rewrite: bool = False) -> str:
     return path
 
 
-def append_records(records: DataFrame, path: str) -> None:
+def append_records(records: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
     """K1 + U1: append records as JSON lines (UTF-8, not escaped); adding the
-    same records twice stores them twice."""
-    records.select(*RECORD_COLUMNS).write.mode("append").json(path)
+    same records twice stores them twice.  With ``partition_by`` (e.g.
+    ``("subject", "year")``, taken from the metadata) the folder is laid out
+    by those values, so readers can prune whole exams."""
+    out = records.select(*RECORD_COLUMNS)
+    if partition_by:
+        out = out.select("*", *[F.col(f"metadata.{c}").alias(f"_{c}") for c in partition_by])
+        out.write.mode("append").partitionBy(*[f"_{c}" for c in partition_by]).json(path)
+    else:
+        out.write.mode("append").json(path)
 
 
 def save_images(images: DataFrame, path: str, partition_by=("doc_id",)) -> None:

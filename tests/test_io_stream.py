@@ -111,3 +111,13 @@ def test_streaming_accuracy(spark):
     q.awaitTermination(180)
     got = {r.model: (r.questions, r.weighted_accuracy) for r in spark.read.parquet(out).collect()}
     assert got == {"m": (3, 3 / 5), "n": (1, 0.0)}
+
+
+def test_partitioned_records(spark):
+    path = tempfile.mkdtemp(prefix="lectern-ds-") + "/data"
+    recs = spark.createDataFrame(
+        [([("user", [("text", "q", None)])], "1", f"id{i}", ("c", subj, "2023", "rus", "A", 1, "k"))
+         for i, subj in enumerate(["geo", "phy", "geo"])], schemas.RECORD)
+    sinks.append_records(recs, path, partition_by=("subject", "year"))
+    back = spark.read.json(path).where(F.col("_subject") == "geo")
+    assert sorted(r.id for r in back.collect()) == ["id0", "id2"]
