@@ -84,7 +84,8 @@ def classify_lines(lines: DataFrame, rules: SegmentRules, line_chunk: int = LINE
 
     Adds ``run_start`` (line of the header), ``section``, ``seg_start`` (line
     of the header or item start the line belongs to), ``seg_kind`` ('H' for
-    section info, 'Q' for an item) and ``question_id``.
+    section info, 'Q' for an item), ``question_id`` and ``chunk`` (the scan
+    chunk, which :func:`segments` uses to assemble text in two steps).
     """
     ln = lines.withColumn("line", strip("line"))
     sec = F.regexp_extract("line", rules.header, 1)
