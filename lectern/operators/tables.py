@@ -111,17 +111,34 @@ def place_tables(questions: DataFrame, tables: DataFrame) -> DataFrame:
           .groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("table_no", "a", "z", "md"))).alias("ts")))
     # A question that matches none of its document's tables on its own text
     # is never changed, so it can never match a later table either: only
-    # candidates go into the per-document fold, the rest pass through.
-    anc = ts.select("doc_id", F.transform("ts", lambda t: F.struct(t["a"].alias("a"), t["z"].alias("z"))).alias("anc"))
+    # candidates are placed, the rest pass through.
+    anc = ts.select("doc_id", F.size("ts").alias("_n"),
+                    F.transform("ts", lambda t: F.struct(t["a"].alias("a"), t["z"].alias("z"))).alias("anc"))
     q = questions.select("doc_id", F.col("section_order").cast("int").alias("section_order"),
                          F.col("pos").cast("bigint").alias("pos"), "section", "question_id", "text") \
         .join(anc, "doc_id", "left")
     cand = F.coalesce(F.exists("anc", lambda t: _span_bounds(F.col("text"), t["a"], t["z"])[0]), F.lit(False))
     q = q.withColumn("_cand", cand)
     untouched = q.where(~F.col("_cand")).select("doc_id", *cols)
-    qs = (q.where(F.col("_cand")).groupBy("doc_id")
+
+    # One table in the document: no table sees another's edits, so the first
+    # candidate (W6) is found by an aggregate and no per-document array forms.
+    one = ts.where(F.size("ts") == 1).select("doc_id", F.element_at("ts", 1).alias("t"))
+    c1 = q.where(F.col("_cand") & (F.col("_n") == 1)).select("doc_id", *cols)
+    first = c1.groupBy("doc_id").agg(F.min(F.struct("section_order", "pos")).alias("_first"))
+    c1 = c1.join(first, "doc_id").join(one, "doc_id")
+    ok1, p1, n1 = _span_bounds(F.col("text"), F.col("t.a"), F.col("t.z"))
+    is_first = F.struct("section_order", "pos") == F.col("_first")
+    placed_one = c1.select("doc_id", "section_order", "pos", "section", "question_id",
+                           F.when(is_first, F.replace("text", F.col("text").substr(p1, n1), F.col("t.md")))
+                           .otherwise(F.col("text")).alias("text"))
+    unplaced_one = one.join(first, "doc_id", "left_anti").select("doc_id", F.col("t.table_no").alias("table_no"))
+
+    # Several tables: each sees the text changed by the ones before it, so
+    # they are folded in order over the document's candidates.
+    qs = (q.where(F.col("_cand") & (F.col("_n") > 1)).groupBy("doc_id")
           .agg(F.array_sort(F.collect_list(F.struct(*cols))).alias("qs")))
-    j = ts.join(qs, "doc_id", "left").withColumn(
+    j = ts.where(F.size("ts") > 1).join(qs, "doc_id", "left").withColumn(
         "qs", F.coalesce("qs", F.array().cast(
             "array<struct<section_order:int,pos:bigint,section:string,question_id:string,text:string>>")))
 
@@ -140,6 +157,7 @@ def place_tables(questions: DataFrame, tables: DataFrame) -> DataFrame:
 
     init = F.struct(F.col("qs").alias("qs"), F.array().cast("array<bigint>").alias("unplaced"))
     done = j.select("doc_id", F.aggregate("ts", init, step).alias("r"))
-    placed = done.select("doc_id", F.explode("r.qs").alias("q")).select("doc_id", "q.*").unionByName(untouched)
-    unplaced = done.select("doc_id", F.explode("r.unplaced").alias("table_no"))
+    placed = (done.select("doc_id", F.explode("r.qs").alias("q")).select("doc_id", "q.*")
+              .unionByName(placed_one).unionByName(untouched))
+    unplaced = done.select("doc_id", F.explode("r.unplaced").alias("table_no")).unionByName(unplaced_one)
     return placed, unplaced
