@@ -72,10 +72,11 @@ def override_images(images: DataFrame, edited: DataFrame, keep_original_size: bo
 
     ``images`` must carry ``filename``, ``format``, ``image_url`` and ``size``;
     ``edited``: doc_id, filename (of the original), content.  The URI uses
-    the original format; ``size`` is recomputed unless ``keep_original_size``.
+    the original format; ``size`` is recomputed unless ``keep_original_size``;
+    ``original_size`` always keeps the size before replacement.
     """
     e = edited.select("doc_id", "filename", F.col("content").alias("_edit"))
-    j = images.join(e, ["doc_id", "filename"], "left")
+    j = images.join(e, ["doc_id", "filename"], "left").withColumn("original_size", F.col("size"))
     url = F.when(F.col("_edit").isNotNull(), data_uri("_edit", "format")).otherwise(F.col("image_url"))
     size = F.col("size") if keep_original_size else F.coalesce(F.octet_length("_edit"), F.col("size"))
     return j.withColumn("image_url", url).withColumn("size", size).withColumn(

@@ -94,10 +94,8 @@ def _part_images(spark, sf_dir):
 def q_asset_override(spark: SparkSession, sf_dir: str):
     imgs, edited = _part_images(spark, sf_dir)
     out = AS.override_images(imgs.drop("content"), edited)
-    kept = AS.override_images(imgs.drop("content"), edited, keep_original_size=True).select(
-        "doc_id", "filename", F.col("size").alias("size_kept"))
-    return out.join(kept, ["doc_id", "filename"]).select(
-        F.col("img_no").alias("p_partkey"), "filename", "image_url", "size", "size_kept", "edited")
+    return out.select(F.col("img_no").alias("p_partkey"), "filename", "image_url", "size",
+                      F.col("original_size").alias("size_kept"), "edited")
 
 
 def sql_asset_override() -> str:
