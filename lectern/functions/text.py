@@ -129,9 +129,8 @@ def normalise_question(c) -> Column:
 def answer_text(c) -> Column:
     """text after ``Ответ:`` to the end of its line, stripped, upper-cased
     and cleaned; NULL when the block holds no answer."""
-    raw = F.regexp_extract(_col(c), ANSWER_PATTERN, 1)
-    found = _col(c).rlike(ANSWER_PATTERN)
-    return F.when(found, clean_text(strip(F.upper(strip(raw)))))
+    raw = F.regexp_extract(_col(c), ANSWER_PATTERN, 1)   # "" when absent; the group is never empty
+    return F.when(raw != "", clean_text(strip(F.upper(strip(raw)))))
 
 
 def block_question_id(c, pattern: str = BLOCK_QID_PATTERN) -> Column:
