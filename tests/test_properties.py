@@ -104,3 +104,22 @@ def test_results_do_not_depend_on_session_settings(spark):
         for k, v in old.items():
             spark.conf.set(k, v)
     assert base == again
+
+
+def test_results_do_not_depend_on_row_order(spark):
+    from pyspark.sql import functions as F
+
+    from lectern.operators import blocks as BL
+    from lectern.operators import segment as SEG
+    from lectern.plans import block_queries as BQ
+    from lectern.plans.tables import table
+    docs = table(spark, SF_SMALL, "documents")
+    shuffled = docs.orderBy(F.rand(7)).repartition(5)
+
+    def seg(d):
+        return sorted(map(tuple, SEG.items(SEG.classify_lines(SEG.document_lines(d), TQ.DOC_RULES, line_chunk=4)).collect()))
+    assert seg(docs) == seg(shuffled)
+    blocks = BQ._event_blocks(spark, SF_SMALL)
+    a = sorted(map(tuple, BL.attribute_blocks(blocks).collect()))
+    b = sorted(map(tuple, BL.attribute_blocks(blocks.orderBy(F.rand(3)).repartition(6)).collect()))
+    assert a == b and a
