@@ -73,3 +73,14 @@ def test_prompt_keeps_dollar(spark):
     (p,) = one_col(spark, ["cost $1 \\1"], T.prompt_text)
     assert p.startswith("cost $1 \\1\n\nBefore answering")
     assert p.endswith("where $ANSWER is the answer to the question.")
+
+
+def test_fixed_letters_are_cyrillic():
+    from lectern import dims
+    from lectern.operators import segment as SEG
+    assert [hex(ord(c)) for c in T.PROTECTED_MARKERS[7:]] == ["0x410", "0x411", "0x412", "0x413", "0x414"]
+    assert [hex(ord(c)) for c, _ in dims.SECTION_LATIN] == ["0x410", "0x412"]
+    assert [lat for _, lat in dims.SECTION_LATIN] == ["A", "B"]
+    assert "А" in SEG.EXAM_RULES.item and "В" in SEG.EXAM_RULES.item and "A" not in SEG.EXAM_RULES.item
+    assert dims.LETTER_EXAMPLES[0][1][0] == "O" and dims.LETTER_EXAMPLES[0][1][1] == "б"
+    assert "–" in T.FOOTER_PATTERN and dims.GEO_2023_IMAGE_QUESTIONS[0][0] == "А"
