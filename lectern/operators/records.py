@@ -35,6 +35,20 @@ def exam_documents(spark: SparkSession, requests: DataFrame) -> DataFrame:
                     F.concat(stem, F.lit("_consult_"), F.col("year"), F.lit(".pdf"))).alias("consult_path"))
 
 
+def exam_catalogue(spark: SparkSession, requests: DataFrame) -> DataFrame:
+    """The ``exam_docs`` table for ``(subject, year)`` requests: both test
+    documents (one per language) and the shared consult document, with the
+    file path as ``doc_id``.  Layout tables keyed by path plug straight into
+    :func:`lectern.build.build_records`."""
+    docs = exam_documents(spark, requests)
+    tests = docs.select(F.col("test_path").alias("doc_id"), "subject", "year", "language",
+                        F.lit("test").alias("kind"))
+    consults = docs.where(F.col("lang_order") == 0).select(
+        F.col("consult_path").alias("doc_id"), "subject", "year",
+        F.lit(None).cast("string").alias("language"), F.lit("consult").alias("kind"))
+    return tests.unionByName(consults)
+
+
 def catalogue_rejects(spark: SparkSession, requests: DataFrame) -> DataFrame:
     """V1/V5: rows of ``(subject, language, year)`` requests that are invalid,
     with the message; the subject is checked before the language."""

@@ -121,3 +121,11 @@ def test_partitioned_records(spark):
     sinks.append_records(recs, path, partition_by=("subject", "year"))
     back = spark.read.json(path).where(F.col("_subject") == "geo")
     assert sorted(r.id for r in back.collect()) == ["id0", "id2"]
+
+
+def test_exam_catalogue(spark):
+    req = spark.createDataFrame([("geo", "2023"), ("nope", "2023")], "subject string, year string")
+    got = sorted((r.doc_id, r.language, r.kind) for r in R.exam_catalogue(spark, req).collect())
+    assert got == [("data/13_geo/13_geo_consult_2023.pdf", None, "consult"),
+                   ("data/13_geo/13_geo_test_2023_bel.pdf", "bel", "test"),
+                   ("data/13_geo/13_geo_test_2023_rus.pdf", "rus", "test")]
