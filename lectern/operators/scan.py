@@ -37,7 +37,9 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], order: str | Column, chunk:
     ``order``) at or before the current one within ``keys``.
     ``sums``: name -> numeric expression; the output is its running sum.
     ``order`` must be orderable and unique within ``keys``; ``chunk`` must not
-    decrease along ``order``.
+    decrease along ``order``; ``keys`` must not be NULL (the carry-in is
+    joined back with plain equality, which keeps the big side's partitioning;
+    a null-safe join would re-shuffle it).
     """
     last = dict(last or {})
     sums = dict(sums or {})
