@@ -51,39 +51,47 @@ MSG_FILE_EXISTS = "Output file already exists. Use rewrite=True to overwrite it.
 
 
 def subject_codes(spark: SparkSession) -> DataFrame:
+    """Subject -> two-digit code (15 rows, broadcast)."""
     return F.broadcast(spark.createDataFrame(SUBJECT_CODES, "subject string, code string"))
 
 
 def languages(spark: SparkSession) -> DataFrame:
+    """The two record languages with their output order."""
     return F.broadcast(spark.createDataFrame(
         [(lang, i) for i, lang in enumerate(LANGUAGES)], "language string, lang_order int"))
 
 
 def section_letters(spark: SparkSession) -> DataFrame:
+    """Cyrillic section letter -> Latin letter and section order."""
     return F.broadcast(spark.createDataFrame(
         [(c, lat, i) for i, (c, lat) in enumerate(SECTION_LATIN)],
         "section string, section_lat string, section_order int"))
 
 
 def answer_translations(spark: SparkSession) -> DataFrame:
+    """The Belarusian answer dictionary."""
     return F.broadcast(spark.createDataFrame(ANSWER_TRANSLATIONS, "language string, answer string, translated string"))
 
 
 def letter_examples(spark: SparkSession) -> DataFrame:
+    """The letter example appended to the system text, per language."""
     return F.broadcast(spark.createDataFrame(LETTER_EXAMPLES, "language string, letters string"))
 
 
 def geo_2023_position_map(spark: SparkSession) -> DataFrame:
+    """Image position -> question id for the geography 2023 exam."""
     rows = [("geo", "2023", i + 1, q) for i, q in enumerate(GEO_2023_IMAGE_QUESTIONS)]
     return F.broadcast(spark.createDataFrame(rows, "subject string, year string, position int, question_id string"))
 
 
 def geo_2023_excluded_tables(spark: SparkSession) -> DataFrame:
+    """Tables dropped for the geography 2023 exam."""
     return F.broadcast(spark.createDataFrame(
         [("geo", "2023", t) for t in GEO_2023_EXCLUDED_TABLES], "subject string, year string, table_no int"))
 
 
 def geo_2023_text_fixes(spark: SparkSession) -> DataFrame:
+    """Ordered text fixes for the geography 2023 exam."""
     return F.broadcast(spark.createDataFrame(
         [("geo", "2023", t, s, a, b) for t, s, a, b in GEO_2023_TEXT_FIXES],
         "subject string, year string, table_no int, seq int, `from` string, `to` string"))

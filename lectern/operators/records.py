@@ -95,10 +95,12 @@ def image_arrays(images: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def text_part(text) -> Column:
+    """A ``{"type": "text", "text": ...}`` content part."""
     return F.struct(F.lit("text").alias("type"), text.alias("text"), F.lit(None).cast("string").alias("image"))
 
 
 def image_part(url) -> Column:
+    """A ``{"type": "image", "image": ...}`` content part."""
     return F.struct(F.lit("image").alias("type"), F.lit(None).cast("string").alias("text"), url.alias("image"))
 
 

@@ -16,22 +16,27 @@ from lectern.operators.records import parse_document_path
 
 
 def read_table(spark: SparkSession, path: str, schema, fmt: str = "parquet") -> DataFrame:
+    """Any layout table with an explicit schema (Parquet by default)."""
     return spark.read.schema(schema).format(fmt).load(path)
 
 
 def read_page_text(spark, path, fmt="parquet"):        # S1 input
+    """S1 input: doc_id, page_no, text."""
     return read_table(spark, path, schemas.PAGE_TEXT, fmt)
 
 
 def read_blocks(spark, path, fmt="parquet"):           # S2
+    """Positioned text blocks."""
     return read_table(spark, path, schemas.BLOCKS, fmt)
 
 
 def read_images(spark, path, fmt="parquet"):           # S3
+    """S3: embedded images with bytes and boxes."""
     return read_table(spark, path, schemas.IMAGES, fmt)
 
 
 def read_table_cells(spark, path, fmt="parquet"):      # S4
+    """Table cells."""
     return read_table(spark, path, schemas.TABLE_CELLS, fmt)
 
 
@@ -64,4 +69,5 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_completions(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
+    """Model completions for scoring: id, model, completion."""
     return read_table(spark, path, schemas.COMPLETIONS, fmt)
