@@ -7,8 +7,12 @@ one and only reads settings from the session it is handed.
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -55,12 +59,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001  (sessions without a SparkContext)
-        return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lectern-ckpt-")
-    current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared:
+            raise ValueError("spark.checkpoint.dir is not set; it must name a shared folder") from None
+        return shared
+    if sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    current = sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
             raise ValueError("spark.checkpoint.dir is not set; on a cluster it must name a shared folder")
         current = tempfile.mkdtemp(prefix="lectern-ckpt-")
+        atexit.register(shutil.rmtree, current, ignore_errors=True)
     sc.setCheckpointDir(current)
     return sc.getCheckpointDir() or current
 
@@ -69,7 +79,6 @@ def materialize(spark: SparkSession, df, name: str):
     """Write ``df`` once as Parquet under the checkpoint folder and read it
     back: lineage is cut (a lost executor later does not rerun the plan) and,
     unlike ``checkpoint()``, the plan is computed only once."""
-    import uuid
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lectern-{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
