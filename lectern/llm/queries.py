@@ -5,13 +5,73 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import mixing
+from lectern.llm import mixing, quality_rules
 from lectern.llm.common import documents
 
 # Word count of a text in DuckDB, the words of the contract.
 _SQL_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rule and adaptive fences for every document."""
+    j = quality_rules.judge(documents(spark, sf_dir))
+    return j.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                    "base_failed", "kept")
+
+
+def sql_op1() -> str:
+    Q = quality_rules
+    ms = {"symbols": "n_symbols * 1000", "word_length": "word_chars * 100",
+          "dup_lines": "n_dup_lines * 1000", "repeats": "n_repeat_words * 1000"}
+    melted = " UNION ALL ".join(f"SELECT lang, source, '{m}' AS measure, {e} // n_words AS v FROM b "
+                                f"WHERE NOT base_failed AND n_words > 0" for m, e in ms.items())
+    least = "CASE measure " + " ".join(f"WHEN '{m}' THEN {d}" for m, (_, d) in Q.MEASURES.items()) + " END"
+
+    def quart(keys: str) -> str:
+        by = f"{keys}, measure" if keys else "measure"
+        return f"""SELECT {by}, max(docs) AS docs, min(bucket) FILTER (upto * 4 >= docs) AS q1,
+                          min(bucket) FILTER (upto * 4 >= docs * 3) AS q3
+                   FROM (SELECT *, sum(n) OVER (PARTITION BY {by} ORDER BY bucket) AS upto,
+                                sum(n) OVER (PARTITION BY {by}) AS docs
+                         FROM (SELECT {by}, bucket, sum(n) AS n FROM sk GROUP BY {by}, bucket)) GROUP BY {by}"""
+
+    def pick(c: str) -> str:
+        return (f"CASE WHEN a.docs >= {Q.MIN_DOCS} THEN a.{c} WHEN g.docs >= {Q.MIN_DOCS} THEN g.{c} ELSE o.{c} END")
+    return rf"""
+WITH t AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS text, {_SQL_WORDS} AS w,
+                  list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^ 	-
+]')) AS l
+           FROM documents),
+p AS (SELECT rid, unnest(range(1, len(w) - {Q.WINDOW - 2})) AS i FROM t WHERE len(w) > {Q.WINDOW}),
+k AS (SELECT p.rid, i, array_to_string(list_slice(w, i, i + {Q.WINDOW - 1}), ' ') AS key FROM p JOIN t USING (rid)),
+d AS (SELECT rid, i FROM (SELECT *, count(*) OVER (PARTITION BY rid, key) AS c FROM k) WHERE c > 1),
+r AS (SELECT rid, sum(step)::BIGINT AS n FROM (
+        SELECT rid, least({Q.WINDOW}, coalesce(i - lag(i) OVER (PARTITION BY rid ORDER BY i), {Q.WINDOW})) AS step FROM d)
+      GROUP BY rid),
+s AS (SELECT rid, doc_id, lang, source, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+             (length(text) - length(regexp_replace(text, '{Q.SYMBOLS}', '', 'g')))::BIGINT AS n_symbols,
+             (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words
+      FROM t LEFT JOIN r USING (rid)),
+b AS (SELECT *, n_words < {Q.MIN_WORDS} OR 100 * n_repeat_words > {Q.MAX_REPEAT_PCT} * n_words AS base_failed FROM s),
+m AS ({melted}),
+x AS (SELECT *, (2 ** greatest(length(bin(v)) - {Q.SKETCH_BITS}, 0))::BIGINT AS step FROM m),
+sk AS (SELECT lang, source, measure, v // step * step AS bucket, count(*) AS n FROM x GROUP BY ALL),
+f AS (SELECT a.lang, a.source, a.measure, {pick('q1')} AS q1, {pick('q3')} AS q3
+      FROM ({quart('lang, source')}) a JOIN ({quart('lang')}) g ON a.lang IS NOT DISTINCT FROM g.lang AND a.measure = g.measure
+      JOIN ({quart('')}) o ON a.measure = o.measure),
+v AS (SELECT lang, source, measure, q1 - greatest((q3 - q1) * {Q.SPREAD}, {least}) AS lo,
+             q3 + greatest((q3 - q1) * {Q.SPREAD}, {least}) AS hi FROM f),
+e AS (SELECT b.rid, bool_or(q < lo OR q > hi) AS outside
+      FROM (SELECT rid, lang, source, unnest([{', '.join(f"'{m}'" for m in ms)}]) AS measure,
+                   unnest([{', '.join(f'{x} // n_words' for x in ms.values())}]) AS q
+            FROM b WHERE NOT base_failed AND n_words > 0) b
+      JOIN v ON b.lang IS NOT DISTINCT FROM v.lang AND b.source IS NOT DISTINCT FROM v.source AND b.measure = v.measure
+      GROUP BY b.rid)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT coalesce(outside, false) AS kept
+FROM b LEFT JOIN e USING (rid)"""
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed; words taken from each."""
     m = mixing.plan_mix(documents(spark, sf_dir))
@@ -41,9 +101,11 @@ SELECT doc_id, size, source_size, target, size * copies AS taken, copies, rate F
 
 
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
     "op3_mix_sources": op3_mix_sources,
 }
 
 ORACLE = {
+    "op1_quality_rules": sql_op1,
     "op3_mix_sources": sql_op3,
 }
