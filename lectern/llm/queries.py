@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import mixing, quality_rules
+from lectern.llm import bpe, mixing, quality_rules, token_output
 from lectern.llm.common import documents
 
 # Word count of a text in DuckDB, the words of the contract.
@@ -72,6 +72,11 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b LEFT JOIN e USING (rid)"""
 
 
+def op2_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids written as ORC in id order and read back."""
+    return token_output.store_and_check(documents(spark, sf_dir))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed; words taken from each."""
     m = mixing.plan_mix(documents(spark, sf_dir))
@@ -100,9 +105,16 @@ c AS (SELECT doc_id, size, source_size, target, rate,
 SELECT doc_id, size, source_size, target, size * copies AS taken, copies, rate FROM c"""
 
 
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded through the built sentencepiece model and decoded."""
+    return bpe.digests(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_token_orc": op2_token_orc,
     "op3_mix_sources": op3_mix_sources,
+    "op9_byte_bpe": op9_byte_bpe,
 }
 
 ORACLE = {
