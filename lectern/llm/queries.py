@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import bpe, mixing, quality_rules, token_output
+from lectern.llm import bpe, mixing, pii, quality_rules, token_output
 from lectern.llm.common import documents
 
 # Word count of a text in DuckDB, the words of the contract.
@@ -105,6 +105,13 @@ c AS (SELECT doc_id, size, source_size, target, rate,
 SELECT doc_id, size, source_size, target, size * copies AS taken, copies, rate FROM c"""
 
 
+def op7_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every document; counts and digest of the base rules."""
+    f = pii.find(documents(spark, sf_dir))
+    count = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return f.select("doc_id", *count, F.sha2(pii.tagged("base"), 256).alias("base_sha256"), pii.tagged("spans").alias("spans"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded through the built sentencepiece model and decoded."""
     return bpe.digests(documents(spark, sf_dir))
@@ -114,6 +121,7 @@ QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_orc": op2_token_orc,
     "op3_mix_sources": op3_mix_sources,
+    "op7_pii_spans": op7_pii_spans,
     "op9_byte_bpe": op9_byte_bpe,
 }
 
