@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import bpe, mixing, pii, quality_rules, token_output
-from lectern.llm.common import documents
+from lectern.llm import bpe, mixing, pii, quality_rules, token_output, topk
+from lectern.llm.common import documents, read_table
 
 # Word count of a text in DuckDB, the words of the contract.
 _SQL_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -108,10 +108,27 @@ SELECT doc_id, size, source_size, target, size * copies AS taken, copies, rate F
 def op7_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of personal data in every document; counts and digest of the base rules."""
     f = pii.find(documents(spark, sf_dir))
-    count = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    kinds = F.transform("base", lambda s: s["kind"])
+    count = [(F.size("base") - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in pii.KINDS]
     return f.select("doc_id", *count, F.sha2(pii.tagged("base"), 256).alias("base_sha256"), pii.tagged("spans").alias("spans"))
 
 
+def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best candidates of every hundredth vector."""
+    return topk.search(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+def sql_op8() -> str:
+    return f"""
+WITH e AS (SELECT vec_id, [floor({topk.SCALE} * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum([x[1] * x[2] FOR x IN list_zip(q.v, c.v)])::BIGINT AS score
+      FROM e q JOIN e c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10"""
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded through the built sentencepiece model and decoded."""
     return bpe.digests(documents(spark, sf_dir))
@@ -122,10 +139,12 @@ QUERIES = {
     "op2_token_orc": op2_token_orc,
     "op3_mix_sources": op3_mix_sources,
     "op7_pii_spans": op7_pii_spans,
+    "op8_exact_topk": op8_exact_topk,
     "op9_byte_bpe": op9_byte_bpe,
 }
 
 ORACLE = {
     "op1_quality_rules": sql_op1,
     "op3_mix_sources": sql_op3,
+    "op8_exact_topk": sql_op8,
 }
