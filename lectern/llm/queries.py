@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import bpe, mixing, pii, quality_rules, token_output, topk
+from lectern.llm import bpe, langid, mixing, pii, quality_rank, quality_rules, token_output, topk
 from lectern.llm.common import documents, read_table
 
 # Word count of a text in DuckDB, the words of the contract.
@@ -105,6 +105,18 @@ c AS (SELECT doc_id, size, source_size, target, rate,
 SELECT doc_id, size, source_size, target, size * copies AS taken, copies, rate FROM c"""
 
 
+def op4_quality_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bradley-Terry quality score of every document."""
+    docs = documents(spark, sf_dir)
+    return quality_rank.score(docs, quality_rank.train(docs, read_table(spark, sf_dir, "labels")))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, family first."""
+    docs = documents(spark, sf_dir)
+    return langid.identify(docs, langid.train(docs))
+
+
 def op7_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of personal data in every document; counts and digest of the base rules."""
     f = pii.find(documents(spark, sf_dir))
@@ -138,6 +150,8 @@ QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_orc": op2_token_orc,
     "op3_mix_sources": op3_mix_sources,
+    "op4_quality_rank": op4_quality_rank,
+    "op5_language_id": op5_language_id,
     "op7_pii_spans": op7_pii_spans,
     "op8_exact_topk": op8_exact_topk,
     "op9_byte_bpe": op9_byte_bpe,
