@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import bpe, langid, mixing, pii, quality_rank, quality_rules, token_output, topk
+from lectern.llm import bpe, jaccard, langid, mixing, pii, quality_rank, quality_rules, token_output, topk
 from lectern.llm.common import documents, read_table
 
 # Word count of a text in DuckDB, the words of the contract.
@@ -146,6 +146,26 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents(spark, sf_dir))
 
 
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of every document: three-word n-grams, similarity 0.9."""
+    return jaccard.near_duplicates(documents(spark, sf_dir), n=3, num=90, den=100)
+
+
+def sql_op10() -> str:
+    w = _SQL_WORDS.replace("coalesce(text, '')", "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
+    return f"""
+WITH RECURSIVE d AS (SELECT doc_id, {w} AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+             ELSE [array_to_string(list_slice(w, i, i + 2), ' ') FOR i IN range(1, len(w) - 1)] END) AS g FROM d),
+t AS (SELECT doc_id, unnest(g) AS token, len(g) AS n FROM s),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b FROM t x JOIN t y ON x.token = y.token AND x.doc_id <> y.doc_id
+        AND 100 * least(x.n, y.n) >= 90 * greatest(x.n, y.n)
+      GROUP BY x.doc_id, y.doc_id, x.n, y.n HAVING 100 * count(*) >= 90 * (x.n + y.n - count(*))),
+r AS (SELECT doc_id AS id, doc_id AS to_id FROM d UNION SELECT r.id, p.b FROM r JOIN p ON r.to_id = p.a),
+c AS (SELECT id, min(to_id) AS component_id FROM r GROUP BY id)
+SELECT s.doc_id, len(g)::BIGINT AS n_shingles, component_id FROM s JOIN c ON c.id = s.doc_id"""
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_orc": op2_token_orc,
@@ -155,10 +175,12 @@ QUERIES = {
     "op7_pii_spans": op7_pii_spans,
     "op8_exact_topk": op8_exact_topk,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_ngram_jaccard": op10_ngram_jaccard,
 }
 
 ORACLE = {
     "op1_quality_rules": sql_op1,
     "op3_mix_sources": sql_op3,
     "op8_exact_topk": sql_op8,
+    "op10_ngram_jaccard": sql_op10,
 }
