@@ -24,6 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from lectern.llm.chunks import ChunkCache, groups, pre_token_cutter
 
@@ -145,6 +146,25 @@ def decode(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {id_type}, text binary")
 
 
+def with_ids(docs: DataFrame, keep: list[str], vocabulary: str = VOCABULARY, text_col: str = "text") -> DataFrame:
+    """The named columns with ids array<int>, n_tokens and decoded_sha256, the
+    digest of the bytes that the ids decode to."""
+    schema = T.StructType([docs.schema[c] for c in keep]).add("ids", "array<int>").add("n_tokens", "long").add("decoded_sha256", "string")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = worker_model(vocabulary_path(vocabulary), pretoken_pattern())
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                ids = [i.astype("int32") for i in model.encode(part.column(len(keep)).to_pylist())]
+                ends = np.cumsum([0] + [len(i) for i in ids], dtype="int32")
+                back = [hashlib.sha256(model.decode(i.tolist())).hexdigest() for i in ids]
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:-1], pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids))),
+                     pa.array(np.diff(ends).astype("int64")), pa.array(back, pa.string())], [*keep, "ids", "n_tokens", "decoded_sha256"])
+    return docs.select(*[docs[c] for c in keep], docs[text_col].cast("string").alias("_bpe_text")).mapInArrow(run, schema)
+
+
 def digests(docs: DataFrame, vocabulary: str = VOCABULARY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): encode, then decode the
     ids, in one pass so that neither ids nor bytes leave the worker."""

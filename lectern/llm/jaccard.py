@@ -430,5 +430,11 @@ def keep_one(docs: DataFrame, n: int, num: int, den: int = 100, id_col: str = "d
     least id, and of rows with that id one.  Rows with NULL id stay."""
     drop = (near_duplicates(docs, n, num, den, id_col, text_col).where("doc_id <> component_id")
             .select(F.col("doc_id").alias("_dropped")).distinct())
-    kept = docs.join(drop, docs[id_col] == drop["_dropped"], "left_anti")
-    return kept.where(F.col(id_col).isNull()).union(kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]))
+    kept = docs.join(written(drop, "jaccard-dropped"), F.col(id_col) == F.col("_dropped"), "left_anti")
+    # ids that occur in several rows are few: only their rows are compared again
+    again = written(docs.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_again")).count().where("count > 1")
+                    .select("_again"), "jaccard-repeated")
+    if again.isEmpty():
+        return kept
+    same = F.col(id_col) == F.col("_again")
+    return kept.join(again, same, "left_anti").union(kept.join(again, same, "left_semi").dropDuplicates([id_col]))

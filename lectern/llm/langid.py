@@ -196,11 +196,16 @@ def identify(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
 
 
 def keep_identified(docs: DataFrame, model: dict, least: float = 0.5, text_col: str = "text") -> DataFrame:
-    """The documents, columns unchanged, whose language is determined with at least that score."""
+    """The documents, columns unchanged, whose language is determined with at
+    least that score; with no language learned, those with a letter."""
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = predict(model, batch.column(at).to_pylist())
-            yield batch.filter(pa.array([lang != UNDETERMINED and s >= least for lang, s in got], pa.bool_()))
+            texts = batch.column(at).to_pylist()
+            if model["langs"]:
+                ok = [lang != UNDETERMINED and s >= least for lang, s in predict(model, texts)]
+            else:
+                ok = [bool(t and _LETTER.search(t)) for t in texts]
+            yield batch.filter(pa.array(ok, pa.bool_()))
     return docs.mapInArrow(run, docs.schema)

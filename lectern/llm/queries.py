@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import bpe, jaccard, langid, mixing, pii, quality_rank, quality_rules, token_output, topk
+from lectern.llm import bpe, jaccard, langid, license_scan, mixing, pii, quality_rank, quality_rules, token_output, topk
 from lectern.llm.common import documents, read_table
 
 # Word count of a text in DuckDB, the words of the contract.
@@ -117,6 +117,25 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, langid.train(docs))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License of every document, its own or its nearest directory's.
+
+    The table has no paths: a document lies at ``source/thousand/hundred/doc_id.txt``,
+    those divisible by 100 one directory higher and by 1,000 two.  A document
+    whose first line is a license notice speaks for its directory.
+    """
+    d = documents(spark, sf_dir)
+    k = F.col("doc_id")
+    folder = F.concat_ws("/", F.coalesce("source", F.lit("none")),
+                         F.when(k % 1000 != 0, F.floor(k / 1000)), F.when(k % 100 != 0, F.floor(k / 100)))
+    first = F.element_at(F.split("text", "\n"), 1).rlike(license_scan.LANGUAGE)
+    d = d.select("doc_id", "text", F.concat_ws("/", folder, F.when(F.coalesce(first, F.lit(False)), F.concat(F.lit("LICENSE."), k))
+                                               .otherwise(F.concat(k, F.lit(".txt")))).alias("path"))
+    s = license_scan.scan(d)
+    return s.select(F.col("id").alias("doc_id"), "path", "own", F.round("cosine", 6).alias("cosine"), "license", "license_dir",
+                    F.col("distance").cast("long").alias("distance"))
+
+
 def op7_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of personal data in every document; counts and digest of the base rules."""
     f = pii.find(documents(spark, sf_dir))
@@ -172,6 +191,7 @@ QUERIES = {
     "op3_mix_sources": op3_mix_sources,
     "op4_quality_rank": op4_quality_rank,
     "op5_language_id": op5_language_id,
+    "op6_license_scan": op6_license_scan,
     "op7_pii_spans": op7_pii_spans,
     "op8_exact_topk": op8_exact_topk,
     "op9_byte_bpe": op9_byte_bpe,
