@@ -149,7 +149,7 @@ def decode(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
 def with_ids(docs: DataFrame, keep: list[str], vocabulary: str = VOCABULARY, text_col: str = "text") -> DataFrame:
     """The named columns with ids array<int>, n_tokens and decoded_sha256, the
     digest of the bytes that the ids decode to."""
-    schema = T.StructType([docs.schema[c] for c in keep]).add("ids", "array<int>").add("n_tokens", "long").add("decoded_sha256", "string")
+    schema = T.StructType([docs.schema[c] for c in keep]).add("ids", T.ArrayType(T.IntegerType())).add("n_tokens", "long").add("decoded_sha256", "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = worker_model(vocabulary_path(vocabulary), pretoken_pattern())
