@@ -68,17 +68,6 @@ class BuildResult:
     images: DataFrame | None  # image info: subject, year, filename, question_id, image_url, size, nearby_text
 
 
-def _fix_cells(tables: DataFrame, fixes: DataFrame) -> DataFrame:
-    """J8 on cells: every fix of the table, in order, on every cell."""
-    f = fixes.groupBy("subject", "year", "table_no").agg(
-        F.array_sort(F.collect_list(F.struct("seq", "from", "to"))).alias("_fx"))
-    j = tables.join(f, ["subject", "year", "table_no"], "left")
-    fixed = F.transform("rows", lambda r: F.transform(r, lambda c: F.aggregate(
-        F.coalesce(F.col("_fx"), F.array().cast("array<struct<seq:int,from:string,to:string>>")),
-        c, lambda acc, x: F.replace(acc, x["from"], x["to"]))))
-    return j.withColumn("rows", fixed).drop("_fx")
-
-
 def build_records(spark: SparkSession, inputs: ExamInputs, canary: str, profiles: Profiles | None = None,
                   rules: SEG.SegmentRules = SEG.EXAM_RULES, bands: BL.Bands = BL.EXAM_BANDS,
                   materialize: bool = True) -> BuildResult:
@@ -91,8 +80,10 @@ def build_records(spark: SparkSession, inputs: ExamInputs, canary: str, profiles
     """
     profiles = profiles or Profiles()
     docs = inputs.exam_docs
-    tests = docs.where(F.col("kind") == "test").select("doc_id", "subject", "year", "language")
-    consults = docs.where(F.col("kind") == "consult").select("doc_id", "subject", "year")
+    # A document listed n times is processed once; its records are repeated n times at the end.
+    tests = (docs.where(F.col("kind") == "test").groupBy("doc_id", "subject", "year", "language")
+             .agg(F.count(F.lit(1)).cast("int").alias("times")))
+    consults = docs.where(F.col("kind") == "consult").select("doc_id", "subject", "year").distinct()
 
     # Questions and section info of every test document.
     pages = inputs.page_text.join(tests.select("doc_id"), "doc_id", "left_semi")
@@ -110,7 +101,7 @@ def build_records(spark: SparkSession, inputs: ExamInputs, canary: str, profiles
         if profiles.excluded_tables is not None:
             tabs = TB.drop_tables(tabs, profiles.excluded_tables, ["subject", "year", "table_no"])
         if profiles.text_fixes is not None:
-            tabs = _fix_cells(tabs, profiles.text_fixes)
+            tabs = TB.fix_tables(spark, tabs, profiles.text_fixes, ["subject", "year", "table_no"])
         qs = questions.join(dims.section_letters(spark).select("section", "section_order"), "section", "left") \
             .withColumn("section_order", F.coalesce("section_order", F.lit(99))) \
             .withColumn("pos", F.col("pos").cast("bigint"))
@@ -122,12 +113,11 @@ def build_records(spark: SparkSession, inputs: ExamInputs, canary: str, profiles
     answers = attributed.join(consults, "doc_id").select("subject", "year", "question_id", "answer", "comment")
 
     # Images of the Russian test document: numbered, placed near text and
-    # assigned on metadata only; the bytes are joined once at the end to build
-    # the URIs, and images that got a question are replaced where an edited
-    # copy exists.
+    # assigned on metadata only; then the bytes are joined, edited copies in
+    # place of the originals they replace, and each URI is built once.
     image_info = None
     if inputs.images is not None:
-        rus = tests.where(F.col("language") == "rus").select("doc_id", "subject", "year")
+        rus = tests.where(F.col("language") == "rus").select("doc_id", "subject", "year").distinct()
         meta = inputs.images.drop("content").join(rus, "doc_id").withColumn(
             "filename", AS.image_file_name("page_no", "img_no", "format"))
         spans = inputs.blocks.select("doc_id", "page_no", F.col("block_no").alias("span_id"),
@@ -139,23 +129,23 @@ def build_records(spark: SparkSession, inputs: ExamInputs, canary: str, profiles
             meta = AS.assign_by_position(meta, profiles.position_map, ["subject", "year"])
         else:
             meta = meta.withColumn("question_id", F.lit(None).cast("string"))
-        meta = AS.attach_uris(meta, inputs.images)
-        assigned = meta.where(F.col("question_id").isNotNull())
-        if inputs.edited_images is not None:
-            # only images that got a question are looked up for a replacement
-            assigned = AS.override_images(assigned, inputs.edited_images)
-        unassigned = meta.where(F.col("question_id").isNull())
-        cols = ["doc_id", "subject", "year", "page_no", "img_no", "filename", "format",
-                "question_id", "image_url", "size", "nearby_text"]
-        image_info = assigned.select(*cols).unionByName(unassigned.select(*cols))
+        image_info = AS.attach_uris(meta, inputs.images, edited=inputs.edited_images).select(
+            "doc_id", "subject", "year", "page_no", "img_no", "filename", "format",
+            "question_id", "image_url", "size", "nearby_text")
 
     records = R.assemble_records(
         spark, tests, questions, info, answers,
         image_info.where(F.col("question_id").isNotNull()) if image_info is not None else None, canary)
-    problems = R.validation_report(tests, questions, answers, image_info)
+    problems = R.validation_report(tests.drop("times"), questions, answers, meta if image_info is not None else None)
+    none = F.lit(None).cast("string").alias("question_id")
+    problems = problems.unionByName(R.catalogue_rejects(spark, tests.select("doc_id", "subject", "language", "year"))
+                                    .select("doc_id", none, F.col("error").alias("problem")))          # V1, V5
     if image_info is not None:
-        problems = problems.unionByName(image_info.where(F.col("question_id").isNull()).select(
+        problems = problems.unionByName(meta.where(F.col("question_id").isNull()).select(
             "doc_id", F.col("filename").alias("question_id"), F.lit("image without question").alias("problem")))
+        sources = inputs.images.select("doc_id").distinct().where(
+            F.col("doc_id").endswith(".pdf") & ~AS.image_source_ok(F.col("doc_id")))
+        problems = problems.unionByName(sources.select("doc_id", none, F.lit("unsupported image source").alias("problem")))  # V6
     if unplaced is None:
         unplaced = spark.createDataFrame([], "doc_id string, table_no bigint")
     return BuildResult(records, problems, unplaced, image_info)

@@ -25,13 +25,14 @@ from pyspark.sql import functions as F
 PROTECTED_MARKERS = "1234567АБВГД"
 E_GRAVE = "ѐ"
 E_DIAERESIS = "ё"
-WS_RUNS_PATTERN = r"(?dmU)\s+$|^\s+|\s+(?=\s)"
-UNWRAP_PATTERN = r"(?U)(?<!\n)\n(?!\n)(?![1234567АБВГД]\))"
-FOOTER_PATTERN = r"(?U)\s*ДРТ–\d+\s*г\.\s*"
-TRAILING_NUMBER_PATTERN = r"(?U)\s*\d+\s*\z"
+WS_CLASS = r"[\s\x1c-\x1f]"      # Python's \s: Unicode white space and the four separators U+001C-U+001F
+WS_RUNS_PATTERN = rf"(?dmU){WS_CLASS}+$|^{WS_CLASS}+|{WS_CLASS}+(?={WS_CLASS})"
+UNWRAP_PATTERN = rf"(?U)(?<!\n)\n(?!\n)(?![{PROTECTED_MARKERS}]\))"
+FOOTER_PATTERN = rf"(?U){WS_CLASS}*ДРТ–\d+{WS_CLASS}*г\.{WS_CLASS}*"
+TRAILING_NUMBER_PATTERN = rf"(?U){WS_CLASS}*\d+{WS_CLASS}*\z"
 OPTION_PIECE_PATTERN = r"(?U)(\d+\)[\s\S]*?(?=\d+\)|\z))"
 OPTION_END_PATTERN = "[;.]"
-ANSWER_PATTERN = r"(?dU)Ответ:\s*(.+)"
+ANSWER_PATTERN = rf"(?dU)Ответ:{WS_CLASS}*(.+)"
 BLOCK_QID_PATTERN = r"(?U)\A([АВ]\d+)\."
 # ---------------------------------------------------------------------------
 
@@ -40,8 +41,8 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-# Unicode White_Space, the set Java's (?U)\s matches, as one string.
-WHITESPACE = "".join(chr(c) for c in [9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+# The characters of WS_CLASS as one string.
+WHITESPACE = "".join(chr(c) for c in [9, 10, 11, 12, 13, 0x1C, 0x1D, 0x1E, 0x1F, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
                                         0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
 
 
@@ -86,6 +87,18 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+# Decimal digits of other scripts and the ASCII digits they stand for.
+OTHER_DIGITS = "".join(ch for ch in map(chr, range(0x80, 0x110000)) if ch.isdecimal())
+ASCII_DIGITS = "".join(str(int(ch)) for ch in OTHER_DIGITS)
+
+
+def number_key(digits: Column) -> Column:
+    """A sort key for a run of decimal digits of any length and script that
+    orders like the number: (digits without leading zeros, counted; digits)."""
+    plain = F.when(digits.rlike(r"\A[0-9]*\z"), digits).otherwise(F.translate(digits, OTHER_DIGITS, ASCII_DIGITS))
+    return let(F.ltrim(plain, F.lit("0")), lambda d: F.struct(F.length(d).alias("len"), d.alias("digits")))
+
+
 def reorder_options(c) -> Column:
     """Sort numbered options ``n)`` by number.
 
@@ -98,7 +111,7 @@ def reorder_options(c) -> Column:
     def on_text(t):
         start = F.instr(t, "1)")
         stem = strip(t.substr(F.lit(1), start - 1))
-        opts = strip(t.substr(start, F.lit(1 << 30)))
+        opts = strip(t.substr(start, F.length(t)))
 
         def on_pieces(pieces):
             last_idx = F.size(pieces) - 1
@@ -106,9 +119,9 @@ def reorder_options(c) -> Column:
             def on_last(last):
                 cut = F.regexp_instr(last, F.lit(OPTION_END_PATTERN))
                 head = F.when(cut > 0, last.substr(F.lit(1), cut)).otherwise(last)
-                tail = F.when(cut > 0, strip(last.substr(cut + 1, F.lit(1 << 30)))).otherwise(F.lit(""))
+                tail = F.when(cut > 0, strip(last.substr(cut + 1, F.length(last)))).otherwise(F.lit(""))
                 keyed = F.transform(pieces, lambda x, i: F.struct(
-                    F.regexp_extract(x, r"(?U)\d+", 0).try_cast("bigint").alias("num"),
+                    number_key(F.regexp_extract(x, r"(?U)\d+", 0)).alias("num"),
                     i.alias("pos"),
                     strip(F.when(i == last_idx, head).otherwise(x)).alias("text")))
                 body = F.array_join(F.transform(F.array_sort(keyed), lambda o: o["text"]), "\n")

@@ -30,12 +30,21 @@ def describe(images: DataFrame) -> DataFrame:
                          F.octet_length("content").alias("size"))
 
 
-def attach_uris(meta: DataFrame, images: DataFrame,
-                keys: tuple[str, ...] = ("doc_id", "page_no", "img_no")) -> DataFrame:
-    """P16 + P18, done last: join the bytes once to the (already assigned)
-    image metadata and build the data URI and byte size.  Everything before
-    this runs on metadata, so the bytes cross a shuffle only here."""
+def attach_uris(meta: DataFrame, images: DataFrame, keys: tuple[str, ...] = ("doc_id", "page_no", "img_no"),
+                edited: DataFrame | None = None) -> DataFrame:
+    """P16 + P18 (+ J6), done last: join the bytes to the (already assigned)
+    image metadata and build the data URI and byte size, once per image.
+
+    ``edited`` (doc_id, filename, content) replaces the bytes of images that
+    have a question.  Which images those are is settled on keys first, so the
+    replaced originals are dropped before their bytes move.
+    """
     b = images.select(*keys, "content")
+    if edited is not None:
+        swapped = meta.where(F.col("question_id").isNotNull()).select(*keys, "filename").join(
+            edited.select("doc_id", "filename"), ["doc_id", "filename"], "left_semi")
+        new = swapped.join(edited.select("doc_id", "filename", "content"), ["doc_id", "filename"]).select(*keys, "content")
+        b = b.join(swapped.select(*keys), list(keys), "left_anti").unionByName(new)
     return (meta.join(b, list(keys))
             .withColumn("image_url", data_uri("content", "format"))
             .withColumn("size", F.octet_length("content")).drop("content"))

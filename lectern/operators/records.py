@@ -21,8 +21,8 @@ from lectern import dims
 
 def exam_documents(spark: SparkSession, requests: DataFrame) -> DataFrame:
     """J7 + S6: each requested ``(subject, year)`` in both languages, with the
-    test and consult file paths.  Unknown subjects are dropped here and
-    reported by :func:`catalogue_rejects`."""
+    test and consult file paths.  An unknown subject has no code, so no path:
+    it is left out here, and :func:`catalogue_rejects` of the requests lists it."""
     langs = F.posexplode(F.array(*[F.lit(lang) for lang in dims.LANGUAGES])).alias("lang_order", "language")
     r = requests.join(dims.subject_codes(spark), "subject").select("*", langs)   # each row in both languages
     folder = F.concat_ws("_", "code", "subject")
@@ -61,10 +61,12 @@ def catalogue_rejects(spark: SparkSession, requests: DataFrame) -> DataFrame:
 
 
 def raise_on_rejects(rejects: DataFrame) -> None:
-    """Strict mode: fail with the first message, like the source constructor."""
-    first = rejects.select("error").limit(1).collect()
+    """Strict mode: fail with one of the messages, like the source does; takes
+    the rejects of the catalogue (``error``) or a problem report (``problem``)."""
+    column = "error" if "error" in rejects.columns else "problem"
+    first = rejects.select(column).limit(1).collect()
     if first:
-        raise ValueError(first[0]["error"])
+        raise ValueError(first[0][0])
 
 
 def parse_document_path(path: Column) -> Column:
@@ -128,12 +130,14 @@ def assemble_records(spark: SparkSession, exams: DataFrame, questions: DataFrame
                      image_keys: tuple[str, ...] = ("subject", "year", "question_id")) -> DataFrame:
     """J1 + J2 + P1-P9 over a whole corpus.
 
-    ``exams``: doc_id, subject, year, language.  ``questions``: doc_id, section,
+    ``exams``: doc_id, subject, year, language, and optionally ``times``, how
+    often each record is given (R28).  ``questions``: doc_id, section,
     question_id, pos, text.  ``section_info``: doc_id, section, general_info.
     ``answers``: answer_keys + answer, comment (one consult per subject and
     year serves both languages).  ``images``: image_keys + page_no, img_no,
     image_url.  Questions without an answer are left out here and listed by
-    :func:`validation_report`.  Output: the record columns plus ordering
+    :func:`validation_report`, exams of an unknown subject or language by
+    :func:`catalogue_rejects`.  Output: the record columns plus ordering
     columns (doc_id, lang_order, section_order, pos).
     """
     q = (questions.join(exams, "doc_id")
@@ -154,8 +158,11 @@ def assemble_records(spark: SparkSession, exams: DataFrame, questions: DataFrame
     cols = record_columns(system, F.col("text"), F.col("images") if images is not None else None,
                           F.col("target"), rid, F.col("comment"), F.col("subject"), F.col("year"),
                           F.col("language"), section_lat, canary)
-    return q.select(*cols, "doc_id", "lang_order",
-                    F.coalesce("section_order", F.lit(99)).alias("section_order"), "pos")
+    order = ["doc_id", "lang_order", F.coalesce("section_order", F.lit(99)).alias("section_order"), "pos"]
+    if "times" in exams.columns:
+        return (q.select(*cols, *order, F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy"))
+                .drop("copy"))
+    return q.select(*cols, *order)
 
 
 def in_reference_order(records: DataFrame) -> DataFrame:

@@ -1,8 +1,8 @@
 """Tables: cells -> rows, Markdown and CSV text, corrections, placement.
 
 A6, P14, P15, J5, J8, W6, K5, V4 of the survey.  Rows are kept as
-``ARRAY<ARRAY<STRING>>`` (cells cleaned with F1); the CSV string is an output
-format only, since Spark cannot parse a multi-row CSV string back.
+``ARRAY<ARRAY<STRING>>`` (cells cleaned with F1); the CSV text is written and
+read back by expressions.
 """
 
 from __future__ import annotations
@@ -80,6 +80,36 @@ def apply_fixes(spark, tables: DataFrame, fixes: DataFrame, keys: list[str], col
     return j.withColumn(col, fixed).drop("_fx")
 
 
+_CSV_CELL = r'("(?:[^"]|"")*"|[^,\n"]*)(,|\n)'
+
+
+def csv_rows(csv) -> Column:
+    """The rows of a CSV text written by :func:`csv_text`: cells matched one
+    after another with the comma or newline that ends each, then gathered."""
+    csv = F.col(csv) if isinstance(csv, str) else csv
+    cells = F.zip_with(F.regexp_extract_all(csv, F.lit(_CSV_CELL), 1), F.regexp_extract_all(csv, F.lit(_CSV_CELL), 2),
+                       lambda c, e: F.struct(F.when(F.startswith(c, F.lit('"')), F.replace(
+                           c.substr(F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))).otherwise(c).alias("cell"), e.alias("end")))
+    none = F.array().cast("array<string>")
+    start = F.struct(F.array().cast("array<array<string>>").alias("rows"), none.alias("row"))
+
+    def add(acc, x):
+        row = F.array_append(acc["row"], x["cell"])
+        ends = x["end"] == "\n"
+        return F.struct(F.when(ends, F.array_append(acc["rows"], row)).otherwise(acc["rows"]).alias("rows"),
+                        F.when(ends, none).otherwise(row).alias("row"))
+    return F.aggregate(cells, start, add)["rows"]
+
+
+def fix_tables(spark, tables: DataFrame, fixes: DataFrame, keys: list[str]) -> DataFrame:
+    """J8 on tables kept as rows: the fixes work on a table's CSV text (so one
+    can reach across cells), and the text becomes rows again.  Tables without
+    fixes are not touched."""
+    mine = tables.join(fixes.select(*keys).distinct(), keys, "left_semi").withColumn("csv", csv_text("rows"))
+    fixed = apply_fixes(spark, mine, fixes, keys).withColumn("rows", csv_rows("csv")).select(*tables.columns)
+    return tables.join(fixes.select(*keys).distinct(), keys, "left_anti").unionByName(fixed)
+
+
 def drop_tables(tables: DataFrame, excluded: DataFrame, keys: list[str]) -> DataFrame:
     """Remove named tables (anti join with a small exclusion table)."""
     return tables.join(excluded, keys, "left_anti")

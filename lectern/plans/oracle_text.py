@@ -8,8 +8,8 @@ These builders return SQL text; they are string templates, not a parser.
 
 from __future__ import annotations
 
-# Java's Unicode White_Space set, as code points.
-_WS_CODES = [9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680] + list(range(0x2000, 0x200B)) + [
+# Python's white space, as code points.
+_WS_CODES = [9, 10, 11, 12, 13, 0x1C, 0x1D, 0x1E, 0x1F, 32, 0x85, 0xA0, 0x1680] + list(range(0x2000, 0x200B)) + [
     0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 
 
@@ -88,7 +88,10 @@ def reorder_options(src: str, col: str, out: str) -> str:
           f"regexp_extract(_parts[-1], {q('^([^;.]*[;.])')}, 1) AS _head FROM ({s2}) _s3")
     tail = strip("substr(_pieces[-1], length(_head) + 1)")
     piece = strip("CASE WHEN _i = len(_pieces) AND _head <> '' THEN _head ELSE _x END")
-    num = f"TRY_CAST(regexp_extract(_x, {q(D + '+')}) AS BIGINT)"
+    # digits of any length and script: by length without leading zeros, then digit by digit
+    other = "".join(c for c in map(chr, range(0x80, 0x110000)) if c.isdecimal())
+    digits = f"ltrim(translate(regexp_extract(_x, {q(D + '+')}), '{other}', '{''.join(str(int(c)) for c in other)}'), '0')"
+    num = f"{{'len': length({digits}), 'digits': {digits}}}"
     s4 = (f"SELECT *, CASE WHEN _head = '' THEN '' ELSE {tail} END AS _tail, "
           "array_to_string(list_transform(list_sort(list_transform(_pieces, lambda _x, _i: "
           f"{{'num': {num}, 'pos': _i, 'text': {piece}}})), lambda _o: _o.text), chr(10)) AS _body "

@@ -15,21 +15,8 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read a driver table.  A file written as one row group scans as one
-    task; when the scan has fewer splits than the cluster has cores, the rows
-    are spread round-robin so per-row text work runs in parallel.  Inputs that
-    already arrive in many splits (any large table) are left as they are."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(spark, df)
-
-
-def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001  (sessions without RDD access)
-        return df
-    return df.repartition(cores) if splits < cores else df
+    """Read a driver table; the same plan at every size."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # Fixed test parameters of the adaptations (ours, not the reference's).

@@ -6,6 +6,7 @@ so appending adds files and never rewrites earlier ones.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,11 +24,12 @@ def create_dataset(spark, path: str, rewrite: bool = False) -> str:
     if rewrite:
         empty.write.mode("overwrite").json(path)
         return path
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if fs.exists(jvm_path):
-        raise ValueError(MSG_FILE_EXISTS)
-    empty.write.mode("errorifexists").json(path)
+    try:
+        empty.write.mode("errorifexists").json(path)
+    except AnalysisException as e:
+        if "PATH_ALREADY_EXISTS" in str(e):
+            raise ValueError(MSG_FILE_EXISTS) from e
+        raise
     return path
 
 
@@ -44,25 +46,24 @@ def append_records(records: DataFrame, path: str, partition_by: tuple[str, ...]
         out.write.mode("append").json(path)
 
 
-def save_images(images: DataFrame, path: str, partition_by=("doc_id",)) -> None:
-    """K3: image bytes with their names, as Parquet with a BINARY column."""
-    images.select("doc_id", "filename", "format", "content").write.mode("overwrite") \
-        .partitionBy(*partition_by).parquet(path)
+def _exam_partitions(images: DataFrame) -> list[str]:
+    """Subject and year where the images carry them, else the document."""
+    return ["subject", "year"] if {"subject", "year"} <= set(images.columns) else ["doc_id"]
+
+
+def save_images(images: DataFrame, path: str, partition_by: tuple[str, ...] | None = None) -> None:
+    """K3: image bytes with their names, as Parquet with a BINARY column.
+    Saving an exam again replaces that exam's images and leaves all others."""
+    by = list(partition_by or _exam_partitions(images))
+    cols = list(dict.fromkeys(["doc_id", "filename", "format", "content", *by]))
+    (images.select(*cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*by).parquet(path))
 
 
 def save_image_info(images: DataFrame, path: str) -> None:
-    """K4: image metadata (no bytes) as JSON lines."""
+    """K4: image metadata (no bytes) as JSON lines; exams saved earlier stay."""
+    by = _exam_partitions(images)
     cols = [c for c in ("doc_id", "filename", "image_url", "page_no", "format", "size", "nearby_text", "question_id")
             if c in images.columns]
-    images.select(*cols).write.mode("overwrite").json(path)
-
-
-def tables_as_csv(tables: DataFrame) -> DataFrame:
-    """K5: one CSV string per table (see :func:`lectern.operators.tables.csv_text`)."""
-    from lectern.operators.tables import csv_text
-    return tables.select("doc_id", "table_no", csv_text("rows").alias("csv"))
-
-
-def to_json_lines(records: DataFrame) -> DataFrame:
-    """Records as one JSON string each, the form the sink writes."""
-    return records.select(F.to_json(F.struct(*RECORD_COLUMNS)).alias("value"))
+    (images.select(*dict.fromkeys([*cols, *by])).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*by).json(path))
