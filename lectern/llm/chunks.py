@@ -23,7 +23,7 @@ class ChunkCache:
     most ``limit`` chunks, emptied when full (memory stays bounded whatever
     the corpus; only speed depends on it)."""
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = 800_000):
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = 1_200_000):
         self.encode, self.limit = encode, limit
         self.known: dict[str, bytes | None] = {}
 

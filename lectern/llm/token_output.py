@@ -27,8 +27,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lectern.llm.bpe import byte_characters, pretoken_pattern, vocabulary_path
-from lectern.llm.chunks import ChunkCache, groups, pre_token_cutter
+from lectern.llm.bpe import vocabulary_path
+from lectern.llm.chunks import ChunkCache, groups
 from lectern.llm.common import written
 from lectern.session import ensure_checkpoint_dir
 
@@ -38,74 +38,64 @@ ROW_INDEX = 1_000
 STRIPE_BYTES = 64 << 20
 ORC_OPTIONS = {"compression": "zstd", "orc.stripe.size": str(STRIPE_BYTES), "orc.row.index.stride": str(ROW_INDEX),
                "orc.create.index": "true", "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01"}
-SCHEMA = "doc_id long, part int, before long, ids array<int>"
+SCHEMA = "doc_id long, part int, before long, n_tokens int, ids array<int>"
 
 
 class JsonBpe:
-    """The tokenizers library over one vocabulary file, fed with new
-    pre-tokens only.  The byte mapping and the pattern of the file's
-    pre-tokeniser are applied here, once per new chunk, and many new
-    pre-tokens go through the library in one call, kept apart by a newline,
-    which the pattern never joins to anything that is not white space."""
-
-    def __init__(self, path: str, pattern: str):
-        from tokenizers import Tokenizer, pre_tokenizers
-
-        self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
-        self.bare = Tokenizer.from_file(path)
-        self.bare.encode_special_tokens = True
-        self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
-        self.to_chars = dict(enumerate(byte_characters()))
-        self.newline = self.to_chars[0x0A]
-        self.newline_id = self.bare.token_to_id(self.newline)
-        self.pre_tokens = pre_token_cutter(pattern)
+    """The tokenizers library over one vocabulary file, fed with new chunks
+    only.  Many chunks go through it in one call, one to a line: the pattern
+    never joins a newline to a chunk that starts with a single space."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        (self.newline_id,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.cache = ChunkCache(self.encode_chunks)
 
     def encode_chunks(self, chunks: list[str]) -> list[bytes]:
-        cut = list(map(self.pre_tokens, chunks))
-        tokens = list(set().union(*cut))
-        of = {}
-        plain = [t for t in tokens if "\n" not in t]
-        for at in range(0, len(plain), 5_000):
-            some = plain[at:at + 5_000]
-            mapped = [t.encode("utf-8").decode("latin-1").translate(self.to_chars) for t in some]
-            ids = np.array(self.bare.encode_batch_fast([f" {self.newline} ".join(mapped)], add_special_tokens=False)[0].ids,
-                           dtype="<u4")
+        lines = [c for c in chunks if c[:1] == " " and "\n" not in c and not c[1:2].isspace()]
+        of: dict[str, bytes] = {}
+        for at in range(0, len(lines), 5_000):
+            some = lines[at:at + 5_000]
+            ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(some)], add_special_tokens=False)[0].ids, dtype="<u4")
             ends = np.append(np.flatnonzero(ids == self.newline_id), len(ids)).tolist()
             if len(ends) != len(some):
                 raise ValueError("the vocabulary does not keep a newline apart")
             raw, start = ids.tobytes(), 0
-            for t, end in zip(some, ends):
-                of[t] = raw[4 * start:4 * end]
+            for c, end in zip(some, ends):
+                of[c] = raw[4 * start:4 * end]
                 start = end + 1
-        rest = [t for t in tokens if "\n" in t]
-        of.update(zip(rest, (array("I", e.ids).tobytes()
-                             for e in self.whole.encode_batch_fast(rest, add_special_tokens=False))))
-        return [of[c[0]] if len(c) == 1 else b"".join(map(of.__getitem__, c)) for c in cut]
+        if len(of) < len(chunks):
+            rest = [c for c in chunks if c not in of]
+            of.update(zip(rest, (array("I", e.ids).tobytes()
+                                 for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False))))
+        return list(map(of.__getitem__, chunks))
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         for some in groups([t or "" for t in texts]):
             yield from self.cache.ids(some)
 
 
-_WORKER: dict[tuple[str, str], JsonBpe] = {}
+_WORKER: dict[str, JsonBpe] = {}
 
 
-def worker_model(path: str, pattern: str) -> JsonBpe:
-    if (path, pattern) not in _WORKER:
-        _WORKER[path, pattern] = JsonBpe(path, pattern)
-    return _WORKER[path, pattern]
+def worker_model(path: str) -> JsonBpe:
+    """One model per Python worker and vocabulary."""
+    if path not in _WORKER:
+        _WORKER[path] = JsonBpe(path)
+    return _WORKER[path]
 
 
 def encode_in_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     vocabulary: str = VOCABULARY, end_id: int = END_ID) -> DataFrame:
-    """(doc_id, part, before, ids) in ascending id order over the partitions;
+    """(doc_id, part, before, n_tokens, ids) in ascending id order over the partitions;
     ``before`` counts the ids of the earlier documents of the same partition."""
     end = np.array([end_id], "int32")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, part, before = worker_model(vocabulary_path(vocabulary), pretoken_pattern()), TaskContext.get().partitionId(), 0
+        model, part, before = worker_model(vocabulary_path(vocabulary)), TaskContext.get().partitionId(), 0
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 some = batch.slice(at, 512)
@@ -113,8 +103,8 @@ def encode_in_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 ends = np.cumsum([0] + [len(i) for i in ids])
                 yield pa.RecordBatch.from_arrays(
                     [some.column(0), pa.array(np.full(len(ids), part, "int32")), pa.array(before + ends[:-1]),
-                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids)))],
-                    ["doc_id", "part", "before", "ids"])
+                     pa.array(np.diff(ends).astype("int32")), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids)))],
+                    ["doc_id", "part", "before", "n_tokens", "ids"])
                 before += int(ends[-1])
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return d.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(run, SCHEMA)
@@ -125,13 +115,13 @@ def write_ids(docs: DataFrame, path: str, **options) -> None:
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
-    """(doc_id, part, before, ids); a filter on doc_id reaches the ORC metadata."""
+    """(doc_id, part, before, n_tokens, ids); a filter on doc_id reaches the ORC metadata."""
     return spark.read.schema(SCHEMA).orc(path)
 
 
 def offsets(stored: DataFrame) -> DataFrame:
     """(part, part_start): ids before each part; one row per written part."""
-    ends = stored.groupBy("part").agg(F.max(F.col("before") + F.size("ids")).alias("n"))
+    ends = stored.groupBy("part").agg(F.max(F.col("before") + F.col("n_tokens")).alias("n"))
     upto = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     return ends.select("part", F.coalesce(F.sum("n").over(upto), F.lit(0)).cast("long").alias("part_start"))
 
@@ -147,7 +137,7 @@ def checksums(stored: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2),
                                               pa.array(np.diff(at).astype("int64")), pa.array(crc, pa.int64())],
                                              ["doc_id", "part", "before", "n_tokens", "ids_crc32"])
-    return stored.mapInArrow(run, "doc_id long, part int, before long, n_tokens long, ids_crc32 long")
+    return stored.select("doc_id", "part", "before", "ids").mapInArrow(run, "doc_id long, part int, before long, n_tokens long, ids_crc32 long")
 
 
 def store_and_check(docs: DataFrame, path: str | None = None, **options) -> DataFrame:
