@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
@@ -157,3 +159,28 @@ def sql_image_uri() -> str:
            'data:image/' || {fmt} || ';base64,' || to_base64(encode(text)) AS image_url,
            CAST(octet_length(encode(text)) AS INTEGER) AS size
     FROM documents"""
+
+
+def q_saved_images(spark: SparkSession, sf_dir: str):
+    """K3, K4: images of every region saved, region 1 saved again with other bytes; all are read back."""
+    from lectern.session import ensure_checkpoint_dir
+    from lectern.sources import sinks
+
+    n = table(spark, sf_dir, "nation").select(
+        F.col("n_regionkey").cast("string").alias("doc_id"), F.lit("geo").alias("subject"), F.col("n_regionkey").cast("string").alias("year"),
+        F.concat(F.col("n_nationkey").cast("string"), F.lit(".png")).alias("filename"), F.lit("png").alias("format"),
+        F.encode("n_name", "utf-8").alias("content"), F.col("n_nationkey").cast("int").alias("page_no"))
+    again = n.where("doc_id = '1'").withColumn("content", F.encode(F.concat(F.lit("new "), F.decode("content", "utf-8")), "utf-8"))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lectern-images-{uuid.uuid4().hex}"
+    for images in (n, again):
+        sinks.save_images(images, f"{path}/bytes")
+        sinks.save_image_info(images.withColumn("size", F.octet_length("content")), f"{path}/info")
+    saved = spark.read.parquet(f"{path}/bytes").select("doc_id", "filename", F.decode("content", "utf-8").alias("content"))
+    info = spark.read.schema("doc_id string, filename string, size long").json(f"{path}/info").select("doc_id", "filename", "size")
+    return saved.join(info, ["doc_id", "filename"])
+
+
+def sql_saved_images() -> str:
+    return """
+SELECT n_regionkey::VARCHAR AS doc_id, n_nationkey || '.png' AS filename, c AS content, length(c)::BIGINT AS size
+FROM (SELECT *, CASE WHEN n_regionkey = 1 THEN 'new ' ELSE '' END || n_name AS c FROM nation)"""

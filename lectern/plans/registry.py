@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from lectern.plans import asset_queries as AQ
 from lectern.plans import block_queries as BQ
+from lectern.plans import build_queries as BDQ
 from lectern.plans import record_queries as RQ
 from lectern.plans import score_queries as SQ
 from lectern.plans import table_queries as TBQ
@@ -39,6 +40,12 @@ QUERIES = {
     "asset_override": AQ.q_asset_override,
     "shared_assets": AQ.q_shared_assets,
     "image_uri": AQ.q_image_uri,
+    "long_option_numbers": TQ.q_long_option_numbers,
+    "score_missing": SQ.q_score_missing,
+    "saved_images": AQ.q_saved_images,
+    "build_records": BDQ.q_build_records,
+    "build_problems": BDQ.q_build_problems,
+    "build_images": BDQ.q_build_images,
 }
 
 ORACLE = {
@@ -71,4 +78,10 @@ ORACLE = {
     "asset_override": AQ.sql_asset_override,
     "shared_assets": AQ.sql_shared_assets,
     "image_uri": AQ.sql_image_uri,
+    "long_option_numbers": TQ.sql_long_option_numbers,
+    "score_missing": SQ.sql_score_missing,
+    "saved_images": AQ.sql_saved_images,
+    "build_records": BDQ.sql_build_records,
+    "build_problems": BDQ.sql_build_problems,
+    "build_images": BDQ.sql_build_images,
 }

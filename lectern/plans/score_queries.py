@@ -95,3 +95,28 @@ def sql_result_table() -> str:
     return (f"WITH s AS ({_scored_sql()}) "
             "SELECT lang, source, count(*) AS questions, "
             "CAST(sum(value) AS DOUBLE) / CAST(sum(points) AS DOUBLE) AS weighted_accuracy FROM s GROUP BY lang, source")
+
+
+MODELS = ["m", "n", "absent"]
+
+
+def q_score_missing(spark: SparkSession, sf_dir: str):
+    """J10 over records x models: "n" answers even documents only, "absent" none; what is missing scores 0."""
+    records, completions = _inputs(spark, sf_dir)
+    number = F.substring_index("id", "-", -1).cast("bigint")
+    both = completions.unionByName(completions.where(number % 2 == 0).withColumn("model", F.lit("n")))
+    scores = SC.score(records, both, models=MODELS)
+    return scores.groupBy("model").agg(
+        F.count(F.lit(1)).alias("questions"), F.sum("value").cast("bigint").alias("value"),
+        F.sum(F.when(F.col("explanation").isNull(), 1).otherwise(0)).cast("bigint").alias("missing"),
+        SC.weighted_accuracy().alias("weighted_accuracy"))
+
+
+def sql_score_missing() -> str:
+    return f"""
+WITH s AS ({_score_sql("end", True)}),
+r AS (SELECT d.doc_id, l.quality + 1 AS points, unnest({MODELS!r}) AS model FROM labels l JOIN documents d ON d.doc_id = l.doc_id),
+j AS (SELECT r.model, r.points, CASE WHEN r.model = 'm' OR (r.model = 'n' AND r.doc_id % 2 = 0) THEN s.value END AS value
+      FROM r JOIN s ON r.doc_id = s.doc_id)
+SELECT model, count(*) AS questions, sum(coalesce(value, 0))::BIGINT AS value, count(*) FILTER (value IS NULL)::BIGINT AS missing,
+       sum(coalesce(value, 0))::DOUBLE / sum(points) AS weighted_accuracy FROM j GROUP BY model"""

@@ -109,6 +109,21 @@ def sql_normalise_question() -> str:
     return f"SELECT l_orderkey, normalised FROM ({O.reorder_options(src, 't', 'normalised')})"
 
 
+def q_long_option_numbers(spark: SparkSession, sf_dir: str):
+    """O2 with option numbers of 20 and more digits, leading zeros and Arabic-Indic digits, per part."""
+    key = F.col("p_partkey").cast("string")
+    text = F.concat(F.col("p_name"), F.lit(": 1) a; 1"), F.lit("0" * 20), key, F.lit(") b; 000"), key, F.lit(") c; 2"),
+                    F.repeat(F.lit("0"), (F.col("p_partkey") % 25).cast("int")), F.lit(") d; \u0663) e; and more"))
+    return table(spark, sf_dir, "part").select("p_partkey", text.alias("text")).select(
+        "p_partkey", T.reorder_options("text").alias("reordered"))
+
+
+def sql_long_option_numbers() -> str:
+    src = (f"SELECT p_partkey, p_name || ': 1) a; 1{'0' * 20}' || p_partkey || ') b; 000' || p_partkey || ') c; 2' || "
+           "repeat('0', (p_partkey % 25)::INTEGER) || ') d; \u0663) e; and more' AS text FROM part")
+    return f"SELECT p_partkey, reordered FROM ({O.reorder_options(src, 'text', 'reordered')})"
+
+
 # ------------------------------------------------------------- segmentation
 
 DOC_RULES = SEG.SegmentRules(header=DOC_HEADER, item=DOC_ITEM)
