@@ -82,7 +82,7 @@ def excerpts(text: str) -> list[str]:
 def machine(gram: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Dual coefficients alpha*y of a linear machine with squared hinge loss,
     by coordinate descent on the Gram matrix (a constant feature included)."""
-    diag, a, f = np.diag(gram) + 0.5 / COST, np.zeros(len(y)), np.zeros(len(y))
+    diag, a, f = np.diag(gram).astype("float64") + 0.5 / COST, np.zeros(len(y)), np.zeros(len(y))
     order = np.random.default_rng(5).permutation(len(y))
     for _ in range(EPOCHS):
         for i in order:
@@ -94,7 +94,8 @@ def machine(gram: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def fit(x: np.ndarray, langs: list[str]) -> dict:
-    """Weights (BUCKETS, machines), constants, and what each machine separates."""
+    """Weights (BUCKETS, machines), constants, and what each machine separates.
+    ``x`` is standardised in place."""
     known = sorted(set(langs))
     fams = sorted({family_of(k) for k in known})
     lang = np.array(langs)
@@ -104,13 +105,17 @@ def fit(x: np.ndarray, langs: list[str]) -> dict:
     w, c = np.zeros((BUCKETS, len(jobs)), "float32"), np.zeros(len(jobs))
     if jobs:
         mean, spread = x.mean(0), np.sqrt(x.var(0) + 1e-8)
-        z = (x - mean) / (spread * 30)  # of order one in length
-        whole = z @ z.T + 1.0
+        x -= mean
+        x /= spread * 30  # of order one in length
+        whole = x @ x.T
+        whole += 1.0
         for k, (kind, p, q) in enumerate(jobs):
             rows = np.arange(len(lang)) if kind == "family" else np.flatnonzero((lang == p) | (lang == q))
             y = np.where((fam if kind == "family" else lang)[rows] == p, 1.0, -1.0)
-            coef = machine(whole[np.ix_(rows, rows)].astype("float64"), y)
-            w[:, k] = (coef @ z[rows]) / (spread * 30)
+            coef = machine(whole if kind == "family" else whole[np.ix_(rows, rows)], y)
+            full = np.zeros(len(lang), "float32")
+            full[rows] = coef
+            w[:, k] = (full @ x) / (spread * 30)
             c[k] = coef.sum() - float(mean.astype("float64") @ w[:, k])
     return {"langs": known, "families": fams, "jobs": jobs, "weights": w, "constants": c}
 
@@ -170,16 +175,19 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
                     for part, piece in enumerate([text, *excerpts(text)]):
                         v = vector(piece)
                         at = np.flatnonzero(v)
-                        rows.append({"id": str(key), "part": part, "lang": lang, "at": at.tolist(), "v": v[at].tolist()})
+                        rows.append({"id": str(key), "part": part, "lang": lang, "at": at.astype("<i4").tobytes(),
+                                     "v": v[at].tobytes()})
             yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([
-                ("id", pa.string()), ("part", pa.int32()), ("lang", pa.string()), ("at", pa.list_(pa.int32())),
-                ("v", pa.list_(pa.float32()))]))
-    rows = sample.mapInArrow(run, "id string, part int, lang string, at array<int>, v array<float>").collect()
+                ("id", pa.string()), ("part", pa.int32()), ("lang", pa.string()), ("at", pa.binary()),
+                ("v", pa.binary())]))
+    rows = sample.mapInArrow(run, "id string, part int, lang string, at binary, v binary").collect()
     rows.sort(key=lambda r: (r["lang"], r["id"], r["part"], r["at"]))
     x = np.zeros((len(rows), BUCKETS), "float32")
     for k, r in enumerate(rows):
-        x[k, r["at"]] = r["v"]
-    return fit(x, [r["lang"] for r in rows])
+        x[k, np.frombuffer(r["at"], "<i4")] = np.frombuffer(r["v"], "<f4")
+    langs = [r["lang"] for r in rows]
+    del rows
+    return fit(x, langs)
 
 
 def identify(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
