@@ -46,7 +46,7 @@ ANCHORS = 4
 CHUNK, SPAN_CHUNK = 1_024, 256        # sets of a bucket that one task pairs, or connects
 LEAF, FANOUT = 32, 8
 BITS = 512
-ORDER_SAMPLE, ORDER_TOKENS = 16_000, 400_000
+ORDER_SAMPLE, ORDER_TOKENS = 16_000, 200_000
 SLOT_BITS = 23                      # size of the member filter: 2**23 bits, 1 MB whatever the corpus
 
 _U = np.uint64
@@ -67,7 +67,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 def token_sets(texts: list[str | None], n: int) -> Iterator[np.ndarray]:
     """Sorted distinct n-gram hashes of each text (words lower-cased in A-Z only)."""
-    for some in groups([t or "" for t in texts], rows=256, chars=2_000_000):
+    for some in groups([t or "" for t in texts], rows=256, chars=1_000_000):
         raw = [t.encode("utf-8", "replace").lower() + b" " for t in some]
         b = np.frombuffer(b"".join(raw), "uint8")
         ends = np.cumsum([len(r) for r in raw])
@@ -116,12 +116,29 @@ def prefix(tokens: np.ndarray, num: int, den: int, frequent: np.ndarray, rank: n
     return tokens[:take]
 
 
-def bitmap(tokens: np.ndarray) -> bytes:
-    bits = np.zeros(BITS, "uint8")
-    bits[(mix64(tokens) >> _U(40)) % _U(BITS)] = 1
+def bitmap(tokens: np.ndarray, width: int = BITS) -> bytes:
+    """The set's token bitmap; ``width`` is a power of two of at least 64."""
+    bits = np.zeros(width, "uint8")
+    bits[(mix64(tokens) >> _U(24)) % _U(width)] = 1
     return np.packbits(bits).tobytes()
 
 
+def wide_bitmap(tokens: np.ndarray) -> bytes:
+    """A bitmap of four bits or more per token, so that most differences show."""
+    return bitmap(tokens, max(BITS, 4 << int(len(tokens) - 1).bit_length()))
+
+
+def greatest_overlap(size_a: int, a: bytes, size_b: int, b: bytes) -> int:
+    """Greatest overlap that two bitmaps allow.  The wider is folded to the
+    other's width by ORing halves, which is the bitmap it would have there."""
+    x, y = np.frombuffer(a, "uint64"), np.frombuffer(b, "uint64")
+    while len(x) > len(y):
+        x = x[:len(x) // 2] | x[len(x) // 2:]
+    while len(y) > len(x):
+        y = y[:len(y) // 2] | y[len(y) // 2:]
+    return min(size_a - int(np.bitwise_count(x & ~y).sum()), size_b - int(np.bitwise_count(y & ~x).sum()))
+
+
 def _longs(x: np.ndarray) -> np.ndarray:
     return x.view("int64") if x.dtype == "uint64" else x
 
@@ -137,15 +154,15 @@ def frequent_tokens(docs: DataFrame, n: int, total: int, sample: int = ORDER_SAM
                 yield pa.RecordBatch.from_arrays([pa.array(_longs(t))], ["token"])
     some = docs.where(unit_hash("doc_id", seed="order") < sample / max(total, 1)).select("text")
     rows = (some.mapInArrow(run, "token long").groupBy("token").count().where("count > 1")
-            .orderBy(F.desc("count"), "token").limit(ORDER_TOKENS).collect())
-    tokens = np.array([r[0] for r in rows], "int64").view("uint64")
+            .orderBy(F.desc("count"), "token").limit(ORDER_TOKENS).toArrow())
+    tokens = rows.column(0).to_numpy().view("uint64")
     order = np.argsort(tokens)
-    return tokens[order], np.array([r[1] for r in rows], "int64")[order]
+    return tokens[order], rows.column(1).to_numpy()[order]
 
 
 def describe(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """(doc_id, n_shingles, set_id, prefix, anchors, bitmap).  A task gives the
-    last three only with the first document of each set that it meets."""
+    """(doc_id, n_shingles, set_id, prefix, anchors, bitmap, wide).  A task gives
+    the last four only with the first document of each set that it meets."""
     frequent, rank = frequent_tokens(docs, n, docs.count())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,7 +170,7 @@ def describe(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                size, ids, firsts, anchors, maps = [], [], [], [], []
+                size, ids, firsts, anchors, maps, wides = [], [], [], [], [], []
                 for key, t in zip(part.column(0).to_pylist(), token_sets(part.column(1).to_pylist(), n)):
                     size.append(len(t))
                     ids.append(set_id(t) if len(t) and key is not None else None)
@@ -165,13 +182,14 @@ def describe(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
                     anchors.append(_longs(mix64(np.array([mix64(t ^ s).min() for s in _SALT[:ANCHORS]], "uint64") + _SALT[:ANCHORS]))
                                    if new else np.empty(0, "int64"))
                     maps.append(bitmap(t) if new else None)
+                    wides.append(wide_bitmap(t) if new else None)
                 lists = [pa.ListArray.from_arrays(pa.array(np.cumsum([0] + [len(x) for x in col]), pa.int32()),
                                                   pa.array(np.concatenate(col))) for col in (firsts, anchors)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(size, pa.int64()), pa.array(ids, pa.int64()), *lists,
-                                                  pa.array(maps, pa.binary())],
-                                                 ["doc_id", "n_shingles", "set_id", "prefix", "anchors", "bitmap"])
+                                                  pa.array(maps, pa.binary()), pa.array(wides, pa.binary())],
+                                                 ["doc_id", "n_shingles", "set_id", "prefix", "anchors", "bitmap", "wide"])
     return written(docs.mapInArrow(run, "doc_id long, n_shingles long, set_id long, prefix array<long>, anchors array<long>, "
-                                        "bitmap binary"), "jaccard-docs")
+                                        "bitmap binary, wide binary"), "jaccard-docs")
 
 
 def shared(described: DataFrame, column: str, name: str) -> DataFrame:
@@ -183,8 +201,9 @@ def shared(described: DataFrame, column: str, name: str) -> DataFrame:
 
 
 def members(docs: DataFrame, described: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """(set_id, tokens) of the wanted sets, recomputed from one document each.  The documents are found through a bit filter of fixed size
-    (false hits are dropped by the join), so other texts are not shuffled."""
+    """(set_id, tokens) of the wanted sets, recomputed from one document each.
+    The documents are found through a bit filter of fixed size; a false hit
+    gives a set that no pair asks for.  No text is shuffled."""
     reps = written(described.where("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
                    .join(wanted, "set_id", "left_semi"), "jaccard-reps")
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << SLOT_BITS)) + 1
@@ -202,13 +221,11 @@ def members(docs: DataFrame, described: DataFrame, wanted: DataFrame, n: int) ->
             keep = batch.filter(pa.array((bits[s >> 3] >> (s & 7).astype("uint8")) & 1 == 1))
             for at in range(0, keep.num_rows, 512):
                 part = keep.slice(at, 512)
-                t = list(token_sets(part.column(2).to_pylist(), n))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(1), pa.array([set_id(x) if len(x) else None for x in t], pa.int64()),
-                     pa.array([x.tobytes() for x in t], pa.binary())], ["doc_id", "set_id", "tokens"])
-    texts = docs.where("doc_id IS NOT NULL").select(slot.alias("slot"), "doc_id", "text")
-    found = texts.mapInArrow(run, "doc_id long, set_id long, tokens binary")
-    return written(found.join(reps, ["doc_id", "set_id"], "left_semi").dropDuplicates(["set_id"]).drop("doc_id"), "jaccard-members")
+                t = list(token_sets(part.column(1).to_pylist(), n))
+                yield pa.RecordBatch.from_arrays([pa.array([set_id(x) if len(x) else None for x in t], pa.int64()),
+                                                  pa.array([x.tobytes() for x in t], pa.binary())], ["set_id", "tokens"])
+    texts = docs.where("doc_id IS NOT NULL").select(slot.alias("slot"), "text")
+    return written(texts.mapInArrow(run, "set_id long, tokens binary"), "jaccard-members")
 
 
 # --- signature trees -------------------------------------------------------------------------------
@@ -360,9 +377,28 @@ def tree_pairs(rows: DataFrame, num: int, den: int, spanning: bool) -> DataFrame
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
+def allowed(pairs: DataFrame, described: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs whose wide bitmaps allow a similarity of num/den."""
+    wide = described.where("wide IS NOT NULL").select("set_id", F.col("n_shingles").alias("size"), "wide")
+    need = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
+    wide = written(wide.join(need, "set_id", "left_semi").dropDuplicates(["set_id"]), "jaccard-wide")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size_a, size_b, x, y = (batch.column(c).to_pylist() for c in (2, 3, 4, 5))
+            most = np.array([greatest_overlap(*row) for row in zip(size_a, x, size_b, y)], "int64")
+            total = np.array(size_a, "int64") + np.array(size_b, "int64")
+            ok = den * most >= num * (total - most)
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
+    side = lambda c: wide.select(F.col("set_id").alias(c), F.col("size").alias(f"{c}_size"), F.col("wide").alias(f"{c}_wide"))
+    j = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_size", "b_size", "a_wide", "b_wide")
+    return j.mapInArrow(run, "a long, b long")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, described: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """The pairs whose exact Jaccard similarity reaches num/den."""
-    pairs = written(pairs, "jaccard-pairs")
+    """The pairs whose exact Jaccard similarity reaches num/den.  Wide bitmaps,
+    a small part of the sets in size, settle most pairs before any set moves."""
+    pairs = written(allowed(written(pairs, "jaccard-candidates"), described, num, den), "jaccard-pairs")
     sets = members(docs, described, pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct(), n)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -373,7 +409,7 @@ def verified(pairs: DataFrame, docs: DataFrame, described: DataFrame, n: int, nu
                 both = len(np.intersect1d(p, q, assume_unique=True))
                 ok.append(den * both >= num * (len(p) + len(q) - both))
             yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
-    side = lambda c: sets.select(F.col("set_id").alias(c), F.col("tokens").alias(f"{c}_tokens"))
+    side = lambda c: sets.where("set_id IS NOT NULL").select(F.col("set_id").alias(c), F.col("tokens").alias(f"{c}_tokens"))
     j = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_tokens", "b_tokens")
     return written(j.mapInArrow(run, "a long, b long"), "jaccard-links")
 
