@@ -55,16 +55,26 @@ class JsonBpe:
         self.cache = ChunkCache(self.encode_chunks)
 
     def encode_chunks(self, chunks: list[str]) -> list[bytes]:
-        lines = [c for c in chunks if c[:1] == " " and "\n" not in c and not c[1:2].isspace()]
+        """A newline between two characters that are not white space is a token
+        of its own, so lines may hold chunks with such newlines inside too."""
+        lines, marks = [], [0]
+        for c in chunks:
+            inner = c.count("\n")
+            body = c[1:] if c[:1] == " " else c
+            if body and not (body[0].isspace() or body[-1].isspace()) and not (
+                    inner and any(not p or p[0].isspace() or p[-1].isspace() for p in body.split("\n"))):
+                lines.append(c)
+                marks.append(marks[-1] + inner + 1)
         of: dict[str, bytes] = {}
         for at in range(0, len(lines), 5_000):
             some = lines[at:at + 5_000]
             ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(some)], add_special_tokens=False)[0].ids, dtype="<u4")
-            ends = np.append(np.flatnonzero(ids == self.newline_id), len(ids)).tolist()
-            if len(ends) != len(some):
+            ends = np.append(np.flatnonzero(ids == self.newline_id), len(ids))
+            wanted = np.array(marks[at + 1:at + len(some) + 1]) - marks[at] - 1
+            if len(ends) != wanted[-1] + 1:
                 raise ValueError("the vocabulary does not keep a newline apart")
             raw, start = ids.tobytes(), 0
-            for c, end in zip(some, ends):
+            for c, end in zip(some, ends[wanted].tolist()):
                 of[c] = raw[4 * start:4 * end]
                 start = end + 1
         if len(of) < len(chunks):
