@@ -18,7 +18,7 @@ from lectern.operators.scan import prefix_scan
 
 GRID = 64.0          # cell size of the grid used by the range join
 MARGIN = 20.0        # how far around an image "near" reaches
-MAX_CELLS = 256      # grid cells an image may touch before it takes the per-page join
+MAX_SPAN = 8         # cells that an image box spans each way at its grid level, at most
 IMG_CHUNK = 4096     # images per scan chunk within a page when numbering images
 
 
@@ -116,47 +116,46 @@ def image_source_ok(path: Column) -> Column:
     return stem.rlike("_(rus|bel)$")
 
 
-def near_pairs(images: DataFrame, spans: DataFrame, margin: float = MARGIN, grid: float = GRID,
-               max_cells: int = MAX_CELLS) -> DataFrame:
+def near_pairs(images: DataFrame, spans: DataFrame, margin: float = MARGIN, grid: float = GRID) -> DataFrame:
     """Pairs (image, span) on the same page where the span's box lies in
     the image box grown by ``margin`` on every side.
 
-    A grid range join: each span sits in one grid cell (by its corner); each
-    image lists the cells its grown box touches; the equi join on (doc, page,
-    cell) is followed by the exact test, so a crowded page is spread over its
-    cells instead of one join key.  An image whose box would touch more than
-    ``max_cells`` cells takes the other, equally exact path: an equi join on
-    (doc, page) and the same test (AQE splits a skewed page there).  Every
-    image takes exactly one path, so no pair is found twice.
+    A grid range join with levels: cells of level L are ``grid * 2**L`` wide.
+    An image takes the lowest level at which its grown box spans at most
+    ``MAX_SPAN`` cells each way, and lists the cells it touches there; a span
+    sits in one cell (by its corner) of each level that its page's images use.
+    Every pair thus meets once, on (doc, page, level, cell), and the exact test
+    follows; a crowded page is spread over its cells, and a wide image never
+    falls back to the whole page.
     ``images``: doc_id, page_no, img_id, x0, y0, x1, y1.
     ``spans``: doc_id, page_no, span_id, x0, y0, x1, y1, text.
     """
     g = images.select("doc_id", "page_no", "img_id",
                       (F.col("x0") - margin).alias("gx0"), (F.col("y0") - margin).alias("gy0"),
                       (F.col("x1") + margin).alias("gx1"), (F.col("y1") + margin).alias("gy1"))
-    cx0, cx1 = F.floor(F.col("gx0") / grid), F.floor(F.col("gx1") / grid)
-    cy0, cy1 = F.floor(F.col("gy0") / grid), F.floor(F.col("gy1") / grid)
-    n_cells = (cx1 - cx0 + 1) * (cy1 - cy0 + 1)
-    g = g.withColumn("_small", n_cells <= max_cells)
-    cells = F.flatten(F.transform(F.sequence(cx0, cx1), lambda cx: F.transform(
-        F.sequence(cy0, cy1), lambda cy: F.struct(cx.alias("cx"), cy.alias("cy")))))
-    small = g.where("_small").select("*", F.inline(cells))
+    side = F.greatest(F.col("gx1") - F.col("gx0"), F.col("gy1") - F.col("gy0"))
+    level = F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(side, F.lit(1.0)) / (grid * (MAX_SPAN - 1))))).cast("int")
+    size = F.lit(grid) * F.pow(F.lit(2.0), F.col("level"))
+    cell = lambda c: F.floor(F.col(c) / size)
+    cells = F.flatten(F.transform(F.sequence(cell("gx0"), cell("gx1")), lambda cx: F.transform(
+        F.sequence(cell("gy0"), cell("gy1")), lambda cy: F.struct(cx.alias("cx"), cy.alias("cy")))))
+    # a box whose corners are swapped holds nothing
+    g = g.where("gx0 <= gx1 AND gy0 <= gy1").withColumn("level", level)
+    touched = g.select("*", F.inline(cells))
+    levels = g.select("doc_id", "page_no", "level").distinct()
     sp = spans.select("doc_id", "page_no", "span_id", "text", F.col("x0").alias("sx0"), F.col("y0").alias("sy0"),
-                      F.col("x1").alias("sx1"), F.col("y1").alias("sy1"),
-                      F.floor(F.col("x0") / grid).alias("cx"), F.floor(F.col("y0") / grid).alias("cy"))
+                      F.col("x1").alias("sx1"), F.col("y1").alias("sy1")).join(levels, ["doc_id", "page_no"])
+    sp = sp.withColumn("cx", cell("sx0")).withColumn("cy", cell("sy0"))
     inside = ((F.col("sx0") >= F.col("gx0")) & (F.col("sx1") <= F.col("gx1")) &
               (F.col("sy0") >= F.col("gy0")) & (F.col("sy1") <= F.col("gy1")))
-    out = ["doc_id", "page_no", "img_id", "span_id", "text", "sx0", "sy0"]
-    by_cell = small.join(sp, ["doc_id", "page_no", "cx", "cy"]).where(inside).select(*out)
-    by_page = g.where(~F.col("_small")).join(sp.drop("cx", "cy"), ["doc_id", "page_no"]).where(inside).select(*out)
-    return by_cell.unionByName(by_page)
+    return (touched.join(sp, ["doc_id", "page_no", "level", "cx", "cy"]).where(inside)
+            .select("doc_id", "page_no", "img_id", "span_id", "text", "sx0", "sy0"))
 
 
-def nearby_text(images: DataFrame, spans: DataFrame, margin: float = MARGIN, grid: float = GRID,
-                max_cells: int = MAX_CELLS) -> DataFrame:
+def nearby_text(images: DataFrame, spans: DataFrame, margin: float = MARGIN, grid: float = GRID) -> DataFrame:
     """J4 result per image: the near spans' texts in reading order (y, x,
     span id), one per line; images without near text get ''."""
-    pairs = near_pairs(images, spans, margin, grid, max_cells)
+    pairs = near_pairs(images, spans, margin, grid)
     agg = pairs.groupBy("doc_id", "page_no", "img_id").agg(F.array_join(F.transform(
         F.array_sort(F.collect_list(F.struct("sy0", "sx0", "span_id", "text"))), lambda s: s["text"]),
         "\n").alias("nearby_text"))

@@ -63,8 +63,7 @@ def test_nearby_margin(spark):
                                    (1, 2, 3, 150.0, 150.0, 150.0, 150.0, "other page")],
                                   "doc_id int, page_no int, span_id int, x0 double, y0 double, x1 double, y1 double, text string")
     for grid in (7.0, 64.0, 1000.0):
-        for cells in (1, 256):           # 1: every image takes the per-page path
-            assert [r.nearby_text for r in AS.nearby_text(images, spans, grid=grid, max_cells=cells).collect()] == ["near"]
+        assert [r.nearby_text for r in AS.nearby_text(images, spans, grid=grid).collect()] == ["near"]
 
 
 def test_override_and_share(spark):
@@ -88,11 +87,27 @@ def test_numbering_chunk_invariance(spark):
     assert a == b and len(a) > 0
 
 
-def test_nearby_paths_agree(spark):
+def test_nearby_grids_agree(spark):
     from conftest import SF_SMALL
     from lectern.plans import asset_queries as AQ
     images, spans = AQ._emb_boxes(spark, SF_SMALL)
     a = sorted(map(tuple, AS.nearby_text(images, spans).collect()))
-    b = sorted(map(tuple, AS.nearby_text(images, spans, max_cells=1).collect()))
-    c = sorted(map(tuple, AS.nearby_text(images, spans, grid=5.0, max_cells=4).collect()))
+    b = sorted(map(tuple, AS.nearby_text(images, spans, grid=0.5).collect()))
+    c = sorted(map(tuple, AS.nearby_text(images, spans, grid=5.0).collect()))
     assert a == b == c and any(r[3] for r in a)
+
+
+def test_nearby_boxes_of_every_size_meet_their_spans(spark):
+    import random
+
+    r = random.Random(11)
+    images = [(1, r.randint(1, 2), i, *(lambda x, y, w: (x, y, x + w, y + w * r.random()))(
+        r.uniform(-500, 500), r.uniform(-500, 500), 10 ** r.uniform(-1, 4))) for i in range(60)]
+    spans = [(1, r.randint(1, 2), i, *(lambda x, y: (x, y, x + r.uniform(0, 30), y + 5.0))(
+        r.uniform(-3000, 3000), r.uniform(-3000, 3000)), f"s{i}") for i in range(600)]
+    box = "doc_id int, page_no int, {} int, x0 double, y0 double, x1 double, y1 double"
+    got = {(x.img_id, x.span_id) for x in AS.near_pairs(spark.createDataFrame(images, box.format("img_id")),
+                                                        spark.createDataFrame(spans, box.format("span_id") + ", text string")).collect()}
+    want = {(i[2], s[2]) for i in images for s in spans if i[1] == s[1] and s[3] >= i[3] - 20 and s[5] <= i[5] + 20
+            and s[4] >= i[4] - 20 and s[6] <= i[6] + 20}
+    assert got == want and len(want) > 100
