@@ -39,8 +39,7 @@ def sql_op1() -> str:
         return (f"CASE WHEN a.docs >= {Q.MIN_DOCS} THEN a.{c} WHEN g.docs >= {Q.MIN_DOCS} THEN g.{c} ELSE o.{c} END")
     return rf"""
 WITH t AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS text, {_SQL_WORDS} AS w,
-                  list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^ 	-
-]')) AS l
+                  [x FOR x IN string_split(coalesce(text, ''), chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS l
            FROM documents),
 p AS (SELECT rid, unnest(range(1, len(w) - {Q.WINDOW - 2})) AS i FROM t WHERE len(w) > {Q.WINDOW}),
 k AS (SELECT p.rid, i, array_to_string(list_slice(w, i, i + {Q.WINDOW - 1}), ' ') AS key FROM p JOIN t USING (rid)),
