@@ -22,8 +22,10 @@ from lectern.session import ensure_checkpoint_dir
 def scored_stream(spark: SparkSession, completions_dir: str, records: DataFrame,
                   location: str = "end", ignore_case: bool = True) -> DataFrame:
     """A streaming frame of scores: one row per arriving completion whose id
-    is in ``records`` (id, target or targets, points, ...)."""
-    comp = spark.readStream.schema(COMPLETIONS).json(completions_dir)
+    is in ``records`` (id, target or targets, points, ...).  A completion that
+    arrives again for the same record and model counts once (state: one key
+    per completion)."""
+    comp = spark.readStream.schema(COMPLETIONS).json(completions_dir).dropDuplicates(["id", "model"])
     return score(records, comp, location, ignore_case)
 
 
@@ -37,14 +39,24 @@ def running_accuracy(scores: DataFrame) -> DataFrame:
 
 def start_accuracy(spark: SparkSession, completions_dir: str, records: DataFrame, out_path: str,
                    name: str, once: bool = True, **score_args) -> StreamingQuery:
-    """Keep ``out_path`` (Parquet) equal to the current accuracy table: each
-    micro-batch rewrites it from the aggregation state."""
+    """Each micro-batch writes the accuracy table, from the aggregation state,
+    as a version of its own under ``out_path``; a repeated batch replaces its
+    version, and readers (:func:`latest_accuracy`) never see one half written
+    over another."""
     ckpt = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{name}"
     acc = running_accuracy(scored_stream(spark, completions_dir, records, **score_args))
 
-    def write(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(out_path)
+    def write(batch: DataFrame, epoch: int) -> None:
+        (batch.withColumn("version", F.lit(epoch)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("version").parquet(out_path))
 
     w = (acc.writeStream.outputMode("complete").option("checkpointLocation", ckpt).foreachBatch(write))
     w = w.trigger(availableNow=True) if once else w.trigger(processingTime="30 seconds")
     return w.start()
+
+
+def latest_accuracy(spark: SparkSession, out_path: str) -> DataFrame:
+    """The accuracy table of the newest version."""
+    t = spark.read.parquet(out_path)
+    newest = t.agg(F.max("version")).first()[0]
+    return t.where(F.col("version") == newest).drop("version")

@@ -99,18 +99,23 @@ def test_streaming_accuracy(spark):
     import json
     import os
 
-    from lectern.streaming.scoring import start_accuracy
+    from lectern.streaming.scoring import latest_accuracy, start_accuracy
     src = tempfile.mkdtemp(prefix="lectern-comp-")
     out = tempfile.mkdtemp(prefix="lectern-acc-") + "/acc"
     recs = spark.createDataFrame([("r1", "4", 1), ("r2", "B", 2), ("r3", "x", 2)], "id string, target string, points int")
     with open(os.path.join(src, "part1.json"), "w") as f:
         for rid, model, text in [("r1", "m", "so ANSWER: 4"), ("r2", "m", "ANSWER: b"), ("r3", "m", "nope"),
-                                 ("r1", "n", "ANSWER: 5")]:
+                                 ("r1", "n", "ANSWER: 5"), ("r1", "n", "ANSWER: 5")]:
             f.write(json.dumps({"id": rid, "model": model, "completion": text}) + "\n")
     q = start_accuracy(spark, src, recs, out, name="acc" + src[-6:])
     q.awaitTermination(180)
-    got = {r.model: (r.questions, r.weighted_accuracy) for r in spark.read.parquet(out).collect()}
+    got = {r.model: (r.questions, r.weighted_accuracy) for r in latest_accuracy(spark, out).collect()}
     assert got == {"m": (3, 3 / 5), "n": (1, 0.0)}
+    with open(os.path.join(src, "part2.json"), "w") as f:
+        f.write(json.dumps({"id": "r3", "model": "n", "completion": "ANSWER: x"}) + "\n")
+    start_accuracy(spark, src, recs, out, name="acc" + src[-6:]).awaitTermination(180)
+    got = {r.model: (r.questions, r.weighted_accuracy) for r in latest_accuracy(spark, out).collect()}
+    assert got == {"m": (3, 3 / 5), "n": (2, 2 / 3)}
 
 
 def test_partitioned_records(spark):
