@@ -73,10 +73,11 @@ def build_records(spark: SparkSession, inputs: ExamInputs, canary: str, profiles
                   materialize: bool = True) -> BuildResult:
     """Build records for every exam in ``inputs.exam_docs``.
 
-    With ``materialize`` the segments (the one intermediate read by both the
-    items and the section info) are written once as Parquet to the session's
-    checkpoint folder and read back: the segmentation is not run twice, and a
-    lost executor later in the job does not send Spark back to the page text.
+    With ``materialize`` the tables that several outputs read (segments,
+    placed questions, answers, image metadata; no bytes) are written once as
+    Parquet to the session's checkpoint folder and read back: nothing is run
+    once per output, and a lost executor later in the job does not send Spark
+    back to the page text.
     """
     profiles = profiles or Profiles()
     docs = inputs.exam_docs
@@ -107,10 +108,14 @@ def build_records(spark: SparkSession, inputs: ExamInputs, canary: str, profiles
             .withColumn("pos", F.col("pos").cast("bigint"))
         placed, unplaced = TB.place_tables(qs, tabs.select("doc_id", "table_no", "rows"))
         questions = placed.select("doc_id", "section", "question_id", "pos", "text")
+    if materialize:
+        questions = write_table(spark, questions, "questions")
 
     # Answers: one consult document per (subject, year), shared by both languages.
     attributed = BL.attribute_blocks(inputs.blocks.join(consults.select("doc_id"), "doc_id", "left_semi"), bands)
     answers = attributed.join(consults, "doc_id").select("subject", "year", "question_id", "answer", "comment")
+    if materialize:
+        answers = write_table(spark, answers, "answers")
 
     # Images of the Russian test document: numbered, placed near text and
     # assigned on metadata only; then the bytes are joined, edited copies in
@@ -129,6 +134,8 @@ def build_records(spark: SparkSession, inputs: ExamInputs, canary: str, profiles
             meta = AS.assign_by_position(meta, profiles.position_map, ["subject", "year"])
         else:
             meta = meta.withColumn("question_id", F.lit(None).cast("string"))
+        if materialize:
+            meta = write_table(spark, meta, "image-metadata")
         image_info = AS.attach_uris(meta, inputs.images, edited=inputs.edited_images).select(
             "doc_id", "subject", "year", "page_no", "img_no", "filename", "format",
             "question_id", "image_url", "size", "nearby_text")
