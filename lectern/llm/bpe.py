@@ -74,7 +74,7 @@ class ByteBpe:
         self.pre_tokens = pre_token_cutter(pattern)
         self.to_chars = dict(enumerate(byte_characters()))
         self.pieces = [b for b, _ in sorted(ranks.items(), key=lambda x: x[1])]
-        self.cache = ChunkCache(self.encode_chunks)
+        self.cache = ChunkCache(self.encode_chunks, limit=250_000)
         self.digits = [str(i) for i in range(len(self.pieces))]
 
     def encode_chunks(self, chunks: list[str]) -> list[bytes]:

@@ -33,7 +33,20 @@ def read_table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def written(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
     """Write once under the shared checkpoint folder and read back: lineage is
-    cut, and the planner knows the size, so it alone decides on a broadcast."""
-    return materialize(df.sparkSession, df, name)
+    cut, and the planner knows the size, so it alone decides on a broadcast.
+    ``batch_rows`` bounds the rows of an Arrow batch during this write only,
+    for rows that carry large values."""
+    spark = df.sparkSession
+    if batch_rows is None:
+        return materialize(spark, df, name)
+    before = spark.conf.get(BATCH_ROWS)
+    spark.conf.set(BATCH_ROWS, str(batch_rows))
+    try:
+        return materialize(spark, df, name)
+    finally:
+        spark.conf.set(BATCH_ROWS, before)

@@ -47,6 +47,7 @@ CHUNK, SPAN_CHUNK = 1_024, 256        # sets of a bucket that one task pairs, or
 LEAF, FANOUT = 32, 8
 BITS = 512
 ORDER_SAMPLE, ORDER_TOKENS = 16_000, 200_000
+TEXT_ROWS, PAIR_ROWS = 1_000, 100   # rows of an Arrow batch that carries texts or pairs of token sets
 SLOT_BITS = 23                      # size of the member filter: 2**23 bits, 1 MB whatever the corpus
 
 _U = np.uint64
@@ -189,7 +190,7 @@ def describe(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
                                                   pa.array(maps, pa.binary()), pa.array(wides, pa.binary())],
                                                  ["doc_id", "n_shingles", "set_id", "prefix", "anchors", "bitmap", "wide"])
     return written(docs.mapInArrow(run, "doc_id long, n_shingles long, set_id long, prefix array<long>, anchors array<long>, "
-                                        "bitmap binary, wide binary"), "jaccard-docs")
+                                        "bitmap binary, wide binary"), "jaccard-docs", TEXT_ROWS)
 
 
 def shared(described: DataFrame, column: str, name: str) -> DataFrame:
@@ -225,7 +226,7 @@ def members(docs: DataFrame, described: DataFrame, wanted: DataFrame, n: int) ->
                 yield pa.RecordBatch.from_arrays([pa.array([set_id(x) if len(x) else None for x in t], pa.int64()),
                                                   pa.array([x.tobytes() for x in t], pa.binary())], ["set_id", "tokens"])
     texts = docs.where("doc_id IS NOT NULL").select(slot.alias("slot"), "text")
-    return written(texts.mapInArrow(run, "set_id long, tokens binary"), "jaccard-members")
+    return written(texts.mapInArrow(run, "set_id long, tokens binary"), "jaccard-members", TEXT_ROWS)
 
 
 # --- signature trees -------------------------------------------------------------------------------
@@ -398,7 +399,7 @@ def allowed(pairs: DataFrame, described: DataFrame, num: int, den: int) -> DataF
 def verified(pairs: DataFrame, docs: DataFrame, described: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """The pairs whose exact Jaccard similarity reaches num/den.  Wide bitmaps,
     a small part of the sets in size, settle most pairs before any set moves."""
-    pairs = written(allowed(written(pairs, "jaccard-candidates"), described, num, den), "jaccard-pairs")
+    pairs = written(allowed(written(pairs, "jaccard-candidates"), described, num, den), "jaccard-pairs", TEXT_ROWS)
     sets = members(docs, described, pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct(), n)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -411,7 +412,7 @@ def verified(pairs: DataFrame, docs: DataFrame, described: DataFrame, n: int, nu
             yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
     side = lambda c: sets.where("set_id IS NOT NULL").select(F.col("set_id").alias(c), F.col("tokens").alias(f"{c}_tokens"))
     j = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_tokens", "b_tokens")
-    return written(j.mapInArrow(run, "a long, b long"), "jaccard-links")
+    return written(j.mapInArrow(run, "a long, b long"), "jaccard-links", PAIR_ROWS)
 
 
 def components(links: DataFrame) -> DataFrame:
