@@ -121,16 +121,14 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The table has no paths: a document lies at ``source/thousand/hundred/doc_id.txt``,
     those divisible by 100 one directory higher and by 1,000 two.  A document
-    whose first line is a license notice speaks for its directory.
+    with a license of its own, in whatever line, speaks for its directory.
     """
     d = documents(spark, sf_dir)
     k = F.col("doc_id")
     folder = F.concat_ws("/", F.coalesce("source", F.lit("none")),
                          F.when(k % 1000 != 0, F.floor(k / 1000)), F.when(k % 100 != 0, F.floor(k / 100)))
-    first = F.element_at(F.split("text", "\n"), 1).rlike(license_scan.LANGUAGE)
-    d = d.select("doc_id", "text", F.concat_ws("/", folder, F.when(F.coalesce(first, F.lit(False)), F.concat(F.lit("LICENSE."), k))
-                                               .otherwise(F.concat(k, F.lit(".txt")))).alias("path"))
-    s = license_scan.scan(d)
+    d = d.select("doc_id", "text", F.concat_ws("/", folder, F.concat(k, F.lit(".txt"))).alias("path"))
+    s = license_scan.scan(d, gives=F.col("own").isNotNull())
     return s.select(F.col("id").alias("doc_id"), "path", "own", F.round("cosine", 6).alias("cosine"), "license", "license_dir",
                     F.col("distance").cast("long").alias("distance"))
 
