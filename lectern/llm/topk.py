@@ -129,9 +129,9 @@ def bounds(groups: DataFrame, block_bounds: DataFrame, dims: int, floors: DataFr
     Without floors each query goes to the ``first`` blocks of greatest bound
     (ties: smaller block); with floors, to the blocks whose bound reaches its floor and that
     have not been scored.  Bounds are two short rows of numbers per block,
-    packed ``BLOCK_ROWS`` to a row, so a task holds one pack and one group.
+    packed about ``BLOCK_ROWS`` to a row, so a task holds one pack and one group.
     """
-    packed = block_bounds.select(F.floor(F.col("n") / BLOCK_ROWS).alias("pack"), "block", "lo", "hi").groupBy("pack").agg(
+    packed = block_bounds.groupBy("pack").agg(
         F.sort_array(F.collect_list(F.struct("block", "lo", "hi"))).alias("b"))
     packs, starting = _packs(block_bounds), floors is None
     g = groups if floors is None else groups.join(floors, "group")
@@ -171,9 +171,15 @@ def bounds(groups: DataFrame, block_bounds: DataFrame, dims: int, floors: DataFr
     return sent.groupBy("block", "group").agg(F.sort_array(F.collect_list("row")).alias("rows"))
 
 
+def with_packs(block_bounds: DataFrame) -> DataFrame:
+    """The pack of every block, by a hash of its id: no order over all blocks."""
+    packs = max(-(-block_bounds.count() // BLOCK_ROWS), 1)
+    return block_bounds.withColumn("pack", F.pmod(F.xxhash64("block"), F.lit(packs)))
+
+
 def _packs(block_bounds: DataFrame) -> int:
-    n = block_bounds.agg(F.max("n")).first()[0]
-    return 0 if n is None else n // BLOCK_ROWS + 1
+    n = block_bounds.agg(F.max("pack")).first()[0]
+    return 0 if n is None else n + 1
 
 
 def scored(sent: DataFrame, groups: DataFrame, block_table: DataFrame, dims: int, k: int) -> DataFrame:
@@ -214,8 +220,7 @@ def search(table: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vect
     v = written(integer_vectors(table, id_col, vector_col, scale), "topk-vectors")
     dims = v.agg(F.max(F.size("v"))).first()[0] or 1
     block_table = blocks(v, dims)
-    n = Window.orderBy("block")
-    summary = written(block_table.select("block", "lo", "hi").withColumn("n", F.row_number().over(n) - 1), "topk-bounds")
+    summary = written(with_packs(block_table.select("block", "lo", "hi")), "topk-bounds")
     groups = query_groups(v, dims, is_query)
     best = Window.partitionBy("group", "row").orderBy(F.desc("score"), "vec_id")
 

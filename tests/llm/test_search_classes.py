@@ -200,3 +200,15 @@ def test_pipeline_of_nothing(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, "")
     assert docs.count() == 0
+
+
+def test_topk_block_bounds_are_packed_without_a_global_order(spark, monkeypatch):
+    plans, write = {}, topk.written
+
+    def seen(df, name, *a, **b):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name, *a, **b)
+    monkeypatch.setattr(topk, "written", seen)
+    df = spark.createDataFrame([(i, [float(i % 7), 1.0]) for i in range(300)], "vec_id long, embedding array<float>")
+    assert topk.search(df, F.col("vec_id") % 100 == 0).count() == 30
+    assert "topk-bounds" in plans and not [n for n, p in plans.items() if "SinglePartition" in p]
