@@ -38,6 +38,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from lectern.llm.chunks import groups
 from lectern.llm.common import unit_hash, written
@@ -433,9 +434,9 @@ def components(links: DataFrame) -> DataFrame:
             return label
 
 
-def near_duplicates(docs: DataFrame, n: int, num: int, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every document: sets of word
-    n-grams, links at Jaccard num/den and above, least doc_id of the class."""
+def _classes(docs: DataFrame, n: int, num: int, den: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """The described documents, and (set_id, label, component_id) of every set:
+    its class and the least doc_id of the class."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     described = describe(docs, n, num, den)
     by_anchor, by_token = shared(described, "anchors", "jaccard-anchors"), shared(described, "prefix", "jaccard-tokens")
@@ -457,21 +458,48 @@ def near_duplicates(docs: DataFrame, n: int, num: int, den: int = 100, id_col: s
     least = described.where("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("rep"))
     least = least.join(label.withColumnRenamed("id", "set_id"), "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
     of_class = least.groupBy("label").agg(F.min("rep").alias("component_id"))
-    of_set = written(least.join(of_class, "label").select("set_id", "component_id"), "jaccard-classes")
-    return (described.select("doc_id", "n_shingles", "set_id").join(of_set, "set_id", "left")
+    return described, written(least.join(of_class, "label").select("set_id", "label", "component_id"), "jaccard-classes")
+
+
+def near_duplicates(docs: DataFrame, n: int, num: int, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every document: sets of word
+    n-grams, links at Jaccard num/den and above, least doc_id of the class."""
+    described, of_set = _classes(docs, n, num, den, id_col, text_col)
+    return (described.select("doc_id", "n_shingles", "set_id").join(of_set.drop("label"), "set_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
 
 
+def with_sets(docs: DataFrame, n: int, text_col: str) -> DataFrame:
+    """The rows with the id of their token set as ``_set``; NULL without tokens."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                t = token_sets(part.column(part.schema.get_field_index("_text")).to_pylist(), n)
+                last = pa.array([set_id(x) if len(x) else None for x in t], pa.int64())
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], last], [*part.schema.names[:-1], "_set"])
+    return docs.withColumn("_text", F.col(text_col).cast("string")).mapInArrow(
+        run, StructType([*docs.schema.fields, StructField("_set", LongType())]))
+
+
 def keep_one(docs: DataFrame, n: int, num: int, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents, columns unchanged, one of each class: the row of the
-    least id, and of rows with that id one.  Rows with NULL id stay."""
-    drop = (near_duplicates(docs, n, num, den, id_col, text_col).where("doc_id <> component_id")
-            .select(F.col("doc_id").alias("_dropped")).distinct())
-    kept = docs.join(written(drop, "jaccard-dropped"), F.col(id_col) == F.col("_dropped"), "left_anti")
-    # ids that occur in several rows are few: only their rows are compared again
+    least id, and of rows with that id one (least set id).  Rows with NULL id
+    stay, and so does one row without tokens of each id."""
+    described, of_set = _classes(docs, n, num, den, id_col, text_col)
+    rows = described.select("doc_id", "set_id").join(of_set, "set_id")
+    drop = rows.where("doc_id <> component_id").select(F.col("doc_id").alias("_dropped")).distinct()
+    # ids that occur in several rows are few: their rows are judged each by its own text
     again = written(docs.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_again")).count().where("count > 1")
                     .select("_again"), "jaccard-repeated")
+    drop = written(drop, "jaccard-dropped")
     if again.isEmpty():
-        return kept
+        return docs.join(drop, F.col(id_col) == F.col("_dropped"), "left_anti")
     same = F.col(id_col) == F.col("_again")
-    return kept.join(again, same, "left_anti").union(kept.join(again, same, "left_semi").dropDuplicates([id_col]))
+    once = docs.join(again, same, "left_anti").join(drop, F.col(id_col) == F.col("_dropped"), "left_anti")
+    firsts = (rows.where("doc_id = component_id").groupBy("label").agg(F.first("doc_id").alias("_first"), F.min("set_id").alias("_of"))
+              .join(again, F.col("_first") == F.col("_again"), "left_semi").select("_first", "_of"))
+    firsts = written(firsts, "jaccard-firsts")
+    many = written(with_sets(docs.join(again, same, "left_semi"), n, text_col), "jaccard-again", TEXT_ROWS)
+    first = many.join(firsts, (F.col(id_col) == F.col("_first")) & (F.col("_set") == F.col("_of")), "left_semi")
+    return once.union(first.union(many.where("_set IS NULL")).dropDuplicates([id_col, "_set"]).drop("_set"))

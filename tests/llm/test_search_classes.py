@@ -212,3 +212,13 @@ def test_topk_block_bounds_are_packed_without_a_global_order(spark, monkeypatch)
     df = spark.createDataFrame([(i, [float(i % 7), 1.0]) for i in range(300)], "vec_id long, embedding array<float>")
     assert topk.search(df, F.col("vec_id") % 100 == 0).count() == 30
     assert "topk-bounds" in plans and not [n for n, p in plans.items() if "SinglePartition" in p]
+
+
+def test_keep_one_of_repeated_ids_by_text(spark):
+    a, b, c = ("alpha beta gamma delta one", "red green blue white two", "sun moon star sky three")
+    kept = lambda rows: sorted((r["doc_id"], r["text"]) for r in jaccard.keep_one(
+        H.table(spark, [(i, t, "en", "s") for i, t in rows]), 3, 90).collect())
+    assert kept([(3, b), (5, a), (5, b), (7, a)]) == [(3, b), (5, a)]
+    # one id with unrelated texts keeps both; an equal row and an empty row stay once
+    assert kept([(5, a), (5, c), (5, c), (5, ""), (5, ""), (6, c), (8, b)]) == sorted([(5, ""), (5, a), (5, c), (8, b)])
+    assert len(jaccard.keep_one(H.table(spark, [(None, a, "en", "s"), (None, a, "en", "s"), (2, a, "en", "s"), (2, a, "en", "s")]), 3, 90).collect()) == 3
