@@ -5,9 +5,6 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_CHECK = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -15,10 +12,3 @@ def spark():
     s = build_session(master="local[4]", shuffle_partitions=4, app_name="lectern-tests")
     yield s
     s.stop()
-
-
-def one_col(spark, values, fn, ddl="s string"):
-    """Apply a column builder to a list of values and return the results."""
-    df = spark.createDataFrame([(v,) for v in values], ddl)
-    name = ddl.split()[0]
-    return [r[0] for r in df.select(fn(name).alias("out")).collect()]

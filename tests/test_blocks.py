@@ -1,6 +1,6 @@
 """Answer and comment attribution from blocks."""
 
-from conftest import SF_SMALL
+from support import SF_SMALL
 from lectern.operators import blocks as BL
 from lectern.plans import block_queries as BQ
 

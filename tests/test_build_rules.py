@@ -9,7 +9,7 @@ from lectern.operators import records as R
 from lectern.operators import scoring as SC
 from lectern.operators import tables as TB
 from lectern.sources import readers, sinks
-from conftest import one_col
+from support import one_col
 
 DOCS = "doc_id string, subject string, year string, language string, kind string"
 BLOCKS = "doc_id string, page_no int, block_no int, x0 double, y0 double, x1 double, y1 double, text string"

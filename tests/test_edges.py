@@ -1,6 +1,6 @@
 """Empty and odd inputs: nothing may raise under ANSI mode."""
 
-from conftest import one_col
+from support import one_col
 from lectern.functions import text as T
 from lectern.operators import blocks as BL
 from lectern.operators import segment as SEG

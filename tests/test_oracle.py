@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from support import SF_SMALL
 from lectern.plans.registry import ORACLE, QUERIES
 from lectern.plans.tables import TABLES
 

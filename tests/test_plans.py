@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from conftest import SF_SMALL
+from support import SF_SMALL
 from lectern.plans.registry import QUERIES
 
 # these run a write step before their result is planned; tools/plan_audit.py audits them

@@ -6,7 +6,7 @@ import pandas as pd
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from conftest import SF_SMALL
+from support import SF_SMALL
 from lectern.functions import text as T
 from lectern.plans import oracle_text as O
 from lectern.plans import text_queries as TQ

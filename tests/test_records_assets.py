@@ -80,7 +80,7 @@ def test_override_and_share(spark):
 
 
 def test_numbering_chunk_invariance(spark):
-    from conftest import SF_SMALL
+    from support import SF_SMALL
     from lectern.plans import asset_queries as AQ
     a = sorted(map(tuple, AQ.q_assign_by_position(spark, SF_SMALL).collect()))
     b = sorted(map(tuple, AQ.q_assign_by_position(spark, SF_SMALL, img_chunk=2).collect()))
@@ -88,7 +88,7 @@ def test_numbering_chunk_invariance(spark):
 
 
 def test_nearby_grids_agree(spark):
-    from conftest import SF_SMALL
+    from support import SF_SMALL
     from lectern.plans import asset_queries as AQ
     images, spans = AQ._emb_boxes(spark, SF_SMALL)
     a = sorted(map(tuple, AS.nearby_text(images, spans).collect()))

@@ -1,6 +1,6 @@
 """Segmentation (S1, W1-W3, A1-A3) on hand-made exams and chunk invariance."""
 
-from conftest import SF_SMALL
+from support import SF_SMALL
 from lectern.operators import segment as SEG
 from lectern.plans import text_queries as TQ
 

@@ -1,6 +1,6 @@
 """Rule cases for the text operators."""
 
-from conftest import one_col
+from support import one_col
 from lectern.functions import text as T
 
 
