@@ -9,12 +9,14 @@ little-endian 32-bit bytes, in a bounded dictionary.
 
 from __future__ import annotations
 
+import gc
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
 # Python's white space holds every character that any of the tokenisers' white-space classes holds.
-# A chunk that is one word of Latin letters, with or without a comma or full stop after it.
-_PLAIN = re.compile("( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,]?)").fullmatch
+# A chunk that is one word of Latin letters, with or without a comma or full stop after it, or two such with a newline between.
+_WORD = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+"
+_PLAIN = re.compile(f"( ?{_WORD})([.,]?)(?:(\n)({_WORD})([.,]?))?").fullmatch
 _SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -74,7 +76,7 @@ def pre_token_cutter(pattern: str) -> Callable[[str], list[str]]:
         m = _PLAIN(chunk)
         if m is None:
             return find(chunk)
-        return [m[1], m[2]] if m[2] else [chunk]
+        return [part for part in m.groups() if part]
     return cut
 
 
@@ -89,3 +91,49 @@ def groups(texts: list[str], rows: int = 128, chars: int = 4_000_000):
         size += len(t)
     if at < len(texts):
         yield texts[at:]
+
+
+class UnsafeCut(Exception):
+    """A piece has white space at an edge: its text must be cut elsewhere."""
+
+
+class PieceCache(dict):
+    """What ``make`` gives for a chunk (a text between two single spaces), kept
+    in two generations: a full young one becomes the old one, and what is used
+    again moves back, so frequent chunks stay and memory is bounded by twice
+    ``limit`` entries.  Only speed depends on the limit.  With ``cut`` the keys
+    are cuts of a text, which must not have white space at an edge."""
+
+    def __init__(self, make: Callable[[str], object], limit: int, cut: bool = True):
+        super().__init__()
+        self.make, self.limit, self.cut, self.old = make, limit, cut, {}
+
+    def __missing__(self, chunk: str):
+        value = self.old.get(chunk)
+        if value is None:
+            if self.cut and (not chunk or chunk[0].isspace() or chunk[-1].isspace()):
+                raise UnsafeCut
+            value = self.make(chunk)
+        if len(self) >= self.limit:
+            self.old = dict(self)
+            self.clear()
+        self[chunk] = value
+        return value
+
+
+def safe_parts(text: str) -> list[str]:
+    """The text cut at single spaces between two characters that are not white space (the space is left out)."""
+    return _SAFE_CUT.split(text)
+
+
+def without_gc(batches: Iterable) -> Iterator:
+    """The batches, with Python's cycle collector off between them: the caches
+    hold strings and bytes only, and walking them again and again takes a
+    quarter of the time.  Reference counting still frees everything."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield from batches
+    finally:
+        if was:
+            gc.enable()

@@ -11,7 +11,8 @@ from one small sum per task when the files are read.
 Edge cases: NULL and empty texts are just the end id; a NULL document id sorts
 first; rows with the same id are ordered by text and each keep their row; an
 empty table writes no rows; input columns beside the two named are ignored;
-special token strings in a text are ordinary text.
+special token strings in a text are read as the library's plain call reads
+them, or as ordinary text with ``special_as_text``.
 """
 
 from __future__ import annotations
@@ -27,13 +28,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lectern.llm.bpe import vocabulary_path
-from lectern.llm.chunks import ChunkCache, groups
+from lectern.llm.bpe import byte_characters, pretoken_pattern, vocabulary_path
+from lectern.llm.chunks import PieceCache, UnsafeCut, pre_token_cutter, safe_parts, without_gc
 from lectern.llm.common import written
 from lectern.session import ensure_checkpoint_dir
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
+TOKEN_CACHE, CHUNK_CACHE = 250_000, 350_000     # entries of a generation, two are kept
 ROW_INDEX = 1_000
 STRIPE_BYTES = 64 << 20
 ORC_OPTIONS = {"compression": "zstd", "orc.stripe.size": str(STRIPE_BYTES), "orc.row.index.stride": str(ROW_INDEX),
@@ -42,71 +44,73 @@ SCHEMA = "doc_id long, part int, before long, n_tokens int, ids array<int>"
 
 
 class JsonBpe:
-    """The tokenizers library over one vocabulary file, fed with new chunks
-    only.  Many chunks go through it in one call, one to a line: the pattern
-    never joins a newline to a chunk that starts with a single space."""
+    """The tokenizers library over one vocabulary file: the plain call
+    ``encode(text, add_special_tokens=False)``, fed with new words only.
 
-    def __init__(self, path: str):
+    A text is cut into chunks before single spaces and a chunk into pre-tokens;
+    each new pre-token goes through the library's BPE model, and both levels are
+    cached.  Texts that hold a special token's string, which the plain call
+    reads as that token, go through the library whole, unless
+    ``special_as_text`` makes them ordinary text.
+    """
+
+    def __init__(self, path: str, pattern: str, special_as_text: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        (self.newline_id,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        self.cache = ChunkCache(self.encode_chunks)
-
-    def encode_chunks(self, chunks: list[str]) -> list[bytes]:
-        """A newline between two characters that are not white space is a token
-        of its own, so lines may hold chunks with such newlines inside too."""
-        lines, marks = [], [0]
-        for c in chunks:
-            inner = c.count("\n")
-            body = c[1:] if c[:1] == " " else c
-            if body and not (body[0].isspace() or body[-1].isspace()) and not (
-                    inner and any(not p or p[0].isspace() or p[-1].isspace() for p in body.split("\n"))):
-                lines.append(c)
-                marks.append(marks[-1] + inner + 1)
-        of: dict[str, bytes] = {}
-        for at in range(0, len(lines), 5_000):
-            some = lines[at:at + 5_000]
-            ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(some)], add_special_tokens=False)[0].ids, dtype="<u4")
-            ends = np.append(np.flatnonzero(ids == self.newline_id), len(ids))
-            wanted = np.array(marks[at + 1:at + len(some) + 1]) - marks[at] - 1
-            if len(ends) != wanted[-1] + 1:
-                raise ValueError("the vocabulary does not keep a newline apart")
-            raw, start = ids.tobytes(), 0
-            for c, end in zip(some, ends[wanted].tolist()):
-                of[c] = raw[4 * start:4 * end]
-                start = end + 1
-        if len(of) < len(chunks):
-            rest = [c for c in chunks if c not in of]
-            of.update(zip(rest, (array("I", e.ids).tobytes()
-                                 for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False))))
-        return list(map(of.__getitem__, chunks))
+        self.tokenizer.encode_special_tokens = special_as_text
+        self.special = () if special_as_text else tuple(
+            t.content for t in self.tokenizer.get_added_tokens_decoder().values())
+        self.cut = pre_token_cutter(pattern)
+        self.to_chars = dict(enumerate(byte_characters()))
+        self.tokens = PieceCache(self.token_ids, TOKEN_CACHE, cut=False)
+        self.chunks = PieceCache(lambda c: self.pieces(" " + c), CHUNK_CACHE)
+
+    def token_ids(self, token: str) -> bytes:
+        mapped = token.encode("utf-8").decode("latin-1").translate(self.to_chars)
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(mapped)]).tobytes()
+
+    def pieces(self, chunk: str) -> bytes:
+        """Ids of a chunk with its leading space."""
+        return b"".join([self.tokens[t] for t in self.cut(chunk)])
+
+    def ids(self, text: str) -> bytes:
+        for s in self.special:
+            if s in text:
+                return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        parts = text.split(" ")
+        try:
+            if len(parts) > 1 and (not parts[0] or parts[0][-1].isspace()):
+                raise UnsafeCut
+            return self.pieces(parts[0]) + b"".join(map(self.chunks.__getitem__, parts[1:]))
+        except UnsafeCut:
+            parts = safe_parts(text)
+            return b"".join([self.pieces((" " if k else "") + p) for k, p in enumerate(parts)])
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        for some in groups([t or "" for t in texts]):
-            yield from self.cache.ids(some)
+        return (self.ids(t or "") for t in texts)
 
 
-_WORKER: dict[str, JsonBpe] = {}
+_WORKER: dict[tuple, JsonBpe] = {}
 
 
-def worker_model(path: str) -> JsonBpe:
-    """One model per Python worker and vocabulary."""
-    if path not in _WORKER:
-        _WORKER[path] = JsonBpe(path)
-    return _WORKER[path]
+def worker_model(path: str, special_as_text: bool = False) -> JsonBpe:
+    """One model per Python worker, vocabulary and reading of special tokens."""
+    key = path, special_as_text
+    if key not in _WORKER:
+        _WORKER[key] = JsonBpe(path, pretoken_pattern(), special_as_text)
+    return _WORKER[key]
 
 
 def encode_in_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    vocabulary: str = VOCABULARY, end_id: int = END_ID) -> DataFrame:
+                    vocabulary: str = VOCABULARY, end_id: int = END_ID, special_as_text: bool = False) -> DataFrame:
     """(doc_id, part, before, n_tokens, ids) in ascending id order over the partitions;
     ``before`` counts the ids of the earlier documents of the same partition."""
     end = np.array([end_id], "int32")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, part, before = worker_model(vocabulary_path(vocabulary)), TaskContext.get().partitionId(), 0
-        for batch in batches:
+        model, part, before = worker_model(vocabulary_path(vocabulary), special_as_text), TaskContext.get().partitionId(), 0
+        for batch in without_gc(batches):
             for at in range(0, batch.num_rows, 512):
                 some = batch.slice(at, 512)
                 ids = [np.append(np.frombuffer(b, "<u4").astype("int32"), end) for b in model.encode(some.column(1).to_pylist())]

@@ -23,9 +23,7 @@ def tik():
 
 @pytest.fixture(scope="module")
 def hug():
-    t = Tokenizer.from_file(P.path(token_output.VOCABULARY))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(P.path(token_output.VOCABULARY))
 
 
 def odd_texts(n=3000):
@@ -50,6 +48,23 @@ def test_joined_chunks_equal_whole_texts(hug):
         assert np.frombuffer(ids, "<u4").tolist() == hug.encode(text, add_special_tokens=False).ids
 
 
+def test_special_tokens_as_the_plain_call_reads_them(hug):
+    text = "a <|endoftext|> b"
+    plain = token_output.worker_model(P.path(token_output.VOCABULARY))
+    assert np.frombuffer(plain.ids(text), "<u4").tolist() == hug.encode(text, add_special_tokens=False).ids == [64, 220, 50256, 275]
+    ordinary = token_output.worker_model(P.path(token_output.VOCABULARY), special_as_text=True)
+    assert np.frombuffer(ordinary.ids(text), "<u4").tolist() == [64, 1279, 91, 437, 1659, 5239, 91, 29, 275]
+
+
+def test_small_caches_give_the_same_ids(hug, monkeypatch):
+    monkeypatch.setattr(token_output, "TOKEN_CACHE", 7)
+    monkeypatch.setattr(token_output, "CHUNK_CACHE", 5)
+    model = token_output.JsonBpe(P.path(token_output.VOCABULARY), P.PATTERN)
+    texts = odd_texts(500) + H.prose(200)
+    for text, ids in zip(texts, model.encode(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == hug.encode(text, add_special_tokens=False).ids
+
+
 def test_cache_limit_does_not_change_ids(tik):
     model = bpe.ByteBpe(P.path(bpe.VOCABULARY), P.PATTERN)
     model.cache.limit = 50
