@@ -66,17 +66,18 @@ class ChunkCache:
 
 
 def pre_token_cutter(pattern: str) -> Callable[[str], list[str]]:
-    """Pre-tokens of a chunk.  Most chunks are one plain word, seen by a
-    cheaper match that gives what the pattern would."""
+    """Pre-tokens of a chunk.  Most chunks are plain words, seen by a cheaper
+    match that gives what the pattern would."""
     import regex
 
-    find = regex.compile(pattern).findall
+    return word_cutter(regex.compile(pattern).findall)
 
+
+def word_cutter(otherwise: Callable[[str], list[str]]) -> Callable[[str], list[str]]:
+    """Words, commas, full stops and newlines of a chunk made of these; ``otherwise`` of any other chunk."""
     def cut(chunk: str) -> list[str]:
         m = _PLAIN(chunk)
-        if m is None:
-            return find(chunk)
-        return [part for part in m.groups() if part]
+        return otherwise(chunk) if m is None else [part for part in m.groups() if part]
     return cut
 
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import bpe, jaccard, langid, license_scan, mixing, pii, quality_rank, quality_rules, token_output, topk
+from lectern.llm import (alignment, bpe, decontaminate, jaccard, langid, license_scan, mixing, pii, quality_rank, quality_rules, spelling,
+                         token_output, topk)
 from lectern.llm.common import documents, read_table
 
 # Word count of a text in DuckDB, the words of the contract.
@@ -182,6 +183,46 @@ c AS (SELECT id, min(to_id) AS component_id FROM r GROUP BY id)
 SELECT s.doc_id, len(g)::BIGINT AS n_shingles, component_id FROM s JOIN c ON c.id = s.doc_id"""
 
 
+def op11_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside windows of benchmark items."""
+    f = decontaminate.find(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
+    return f.select(F.col("id").cast("long").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                    F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def sql_op11() -> str:
+    words = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), " \
+            r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    size = decontaminate.WINDOW
+    return f"""
+WITH b AS (SELECT item_id::VARCHAR AS item, {words} AS w FROM benchmark),
+p AS (SELECT item, w, least(len(w), {size}) AS n, unnest(range(1, greatest(len(w) - {size}, 0) + 2)) AS i FROM b WHERE len(w) > 0),
+k AS (SELECT DISTINCT item, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS key FROM p),
+d AS (SELECT row_number() OVER () AS rid, doc_id, {words} AS w FROM documents),
+q AS (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM k) WHERE len(w) >= n),
+m AS (SELECT rid, i, q.n, item FROM q JOIN k ON k.n = q.n AND k.key = array_to_string(list_slice(w, i, i + q.n - 1), ' ')),
+h AS (SELECT rid, count(DISTINCT pos) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS pos FROM m) GROUP BY rid),
+g AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT rid, item FROM m WHERE item IS NOT NULL)
+      GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (rid) LEFT JOIN g USING (rid)"""
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants of all words, after one letter of every 199th run is lost."""
+    def lose(doc: Column, run: Column) -> Column:
+        h = F.crc32(F.concat(doc, F.lit(":"), run).cast("binary"))
+        at = F.pmod(h, F.length(run)).cast("int")
+        return F.when(h % 199 == 0, F.concat(run.substr(F.lit(1), at), run.substr(at + 2, F.length(run)))).otherwise(run)
+    return spelling.variants(documents(spark, sf_dir), lose)
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token groups and links of two tokenisers over every document."""
+    return alignment.align(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_orc": op2_token_orc,
@@ -193,6 +234,9 @@ QUERIES = {
     "op8_exact_topk": op8_exact_topk,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_ngram_jaccard": op10_ngram_jaccard,
+    "op11_decontaminate": op11_decontaminate,
+    "op12_spelling": op12_spelling,
+    "op13_alignment": op13_alignment,
 }
 
 ORACLE = {
@@ -200,4 +244,5 @@ ORACLE = {
     "op3_mix_sources": sql_op3,
     "op8_exact_topk": sql_op8,
     "op10_ngram_jaccard": sql_op10,
+    "op11_decontaminate": sql_op11,
 }

@@ -17,7 +17,7 @@ def test_query_matches_oracle(spark, name):
     df = QUERIES[name](spark, SF)
     cols = sorted(df.columns)
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     cur = con.execute(ORACLE[name]())
     at = [[d[0] for d in cur.description].index(c) for c in cols]
