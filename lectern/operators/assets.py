@@ -14,12 +14,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.functions.text import data_uri, image_file_name
-from lectern.operators.scan import prefix_scan
+from lectern.operators.scan import prefix_scan, row_chunks
 
 GRID = 64.0          # cell size of the grid used by the range join
 MARGIN = 20.0        # how far around an image "near" reaches
 MAX_SPAN = 8         # cells that an image box spans each way at its grid level, at most
-IMG_CHUNK = 4096     # images per scan chunk within a page when numbering images
+IMG_CHUNK = 4096     # images per scan chunk when numbering images
 
 
 def describe(images: DataFrame) -> DataFrame:
@@ -53,13 +53,11 @@ def attach_uris(meta: DataFrame, images: DataFrame, keys: tuple[str, ...] = ("do
 def number_images(images: DataFrame, exam_keys: list[str], img_chunk: int = IMG_CHUNK) -> DataFrame:
     """``position`` = 1-based rank of an image in its exam by (page, image).
 
-    A running count through :func:`prefix_scan` with chunks of (page, image
-    number div ``img_chunk``), so an exam or a page with very many images is
+    A running count through :func:`prefix_scan` with chunks of about
+    ``img_chunk`` images, so an exam of very many images or image pages is
     still numbered by many tasks.
     """
-    df = images.withColumn("_ord", F.struct("page_no", "img_no")) \
-        .withColumn("_chunk", F.struct(F.col("page_no").alias("p"),
-                                       F.floor(F.col("img_no") / img_chunk).alias("i")))
+    df = row_chunks(images.withColumn("_ord", F.struct("page_no", "img_no")), exam_keys, "_ord", img_chunk)
     out = prefix_scan(df, exam_keys, "_ord", "_chunk", sums={"position": F.lit(1)})
     return out.drop("_ord", "_chunk")
 

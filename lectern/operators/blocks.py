@@ -18,9 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.functions.text import BLOCK_QID_PATTERN, answer_text, block_question_id, clean_text, strip
-from lectern.operators.scan import prefix_scan
-
-Y_BAND = 64.0     # scan chunk: one page, one band of rounded y0 this high
+from lectern.operators.scan import CHUNK_ROWS, prefix_scan, row_chunks
 
 
 @dataclass(frozen=True)
@@ -42,21 +40,19 @@ def reading_order() -> F.Column:
 
 
 def attribute_blocks(blocks: DataFrame, bands: Bands = EXAM_BANDS,
-                     qid_pattern: str = BLOCK_QID_PATTERN, y_band: float = Y_BAND) -> DataFrame:
+                     qid_pattern: str = BLOCK_QID_PATTERN, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Answers and comments per (document, question).
 
     The forward fill of the current question runs through the chunked prefix
-    scan with chunks of (page, band of rounded y0): a chunk never spans more
-    than one horizontal band of one page, so even a document or a page with
-    very many blocks is scanned by many tasks.
+    scan with chunks of about ``chunk_rows`` blocks, so a document of very many
+    pages, or a page (or one height of it) with very many blocks, is scanned by
+    many tasks and sends one row a chunk to the carry step.
     """
     in_q = (F.col("x0") > bands.question[0]) & (F.col("x0") < bands.question[1])
     in_c = (F.col("x0") > bands.comment[0]) & (F.col("x0") < bands.comment[1])
     b = (blocks.where(in_q | in_c)                                   # P12
-         .select("doc_id", "text", in_q.alias("in_q"),
-                 reading_order().alias("ord"),
-                 F.struct(F.col("page_no").alias("p"),
-                          F.floor(F.bround("y0", 0) / y_band).alias("y")).alias("_chunk")))
+         .select("doc_id", "text", in_q.alias("in_q"), reading_order().alias("ord")))
+    b = row_chunks(b, ["doc_id"], "ord", chunk_rows)
     b = b.withColumn("qid_here", F.when(F.col("in_q"), block_question_id("text", qid_pattern)))
     scanned = prefix_scan(b, ["doc_id"], "ord", "_chunk", last={"question_id": F.col("qid_here")})  # W4
     scanned = scanned.where(F.col("question_id").isNotNull())

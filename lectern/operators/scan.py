@@ -5,8 +5,11 @@ before this row" (forward fill) and running sums, per document, in reading
 order.  ``Window.partitionBy(doc)`` would put a whole document into one task;
 a document holding a third of the corpus would then run on one core.
 
-Here rows are cut into *chunks* (a column that never decreases along the
-order, e.g. ``line_no div 65536``, or (page, band of y) for positioned blocks):
+Here rows are cut into *chunks*, a column that never decreases along the
+order.  Where the order counts rows it gives the chunk itself (``line_no div
+65536``); elsewhere ``row_chunks`` cuts each key at rows found from a sample, so
+a chunk holds about so many rows whatever the order's values (one-line pages,
+sparse page numbers, a thousand blocks at one height):
 
 1. one shuffle by ``(keys, chunk)`` and a window inside each chunk give the
    local running values; tasks are bounded by the chunk size, not the key;
@@ -21,12 +24,50 @@ order, e.g. ``line_no div 65536``, or (page, band of y) for positioned blocks):
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+CHUNK_ROWS = 65536     # rows of a chunk
+MAX_CHUNKS = 4096      # chunks of one key; a longer key gets longer chunks
+SAMPLED = 16           # sampled rows for each chunk
+_HASHES = 1 << 30
+
+
+def row_chunks(df: DataFrame, keys: Sequence[str], order: str | Column, rows: int = CHUNK_ROWS,
+               max_chunks: int = MAX_CHUNKS, name: str = "_chunk") -> DataFrame:
+    """Add ``name``: the number of the row's chunk within ``keys``, never
+    decreasing along ``order``; a chunk holds about ``rows`` rows.
+
+    A hash of (keys, order) picks about ``SAMPLED`` rows for each chunk, and
+    every ``SAMPLED``-th of a key's sampled rows is a cut, so the cuts depend on
+    the rows alone, not on how they are partitioned (a recomputed task agrees
+    with the others).  Only keys longer than a chunk have cuts; their sorted
+    cuts, at most ``max_chunks``, are joined by key and searched in two steps.
+    Nothing but keys and order is read for the sample.
+    """
+    keys, order_col = list(keys), F.col(order) if isinstance(order, str) else order
+    rate = min(1.0, SAMPLED / rows)
+    every = max(1, round(rows * rate))
+    kept = lambda seed, share: F.pmod(F.xxhash64(F.lit(seed), *keys, "_o"), F.lit(_HASHES)) < share * _HASHES
+    sample = df.select(*keys, order_col.alias("_o")).where(kept("sample", F.lit(rate)))
+    sample = sample.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*keys))).where(F.col("_n") > every)
+    sample = sample.where(kept("thin", F.lit(float(max_chunks * every)) / F.col("_n")))
+    cuts = sample.groupBy(*keys).agg(F.array_sort(F.collect_list("_o")).alias("_s")).select(
+        *keys, F.filter("_s", lambda _, i: (i + 1) % every == 0).alias("_cuts"))
+    step = max(2, math.isqrt(max_chunks))
+    cuts = cuts.select(*keys, "_cuts", F.filter("_cuts", lambda _, i: i % step == 0).alias("_heads"))
+    upto = lambda some, o: F.size(F.filter(some, lambda c: c <= o))
+    j = df.withColumn("_o", order_col).join(cuts, keys, "left")
+    j = j.withColumn("_h", F.when(F.col("_cuts").isNotNull(), upto(F.col("_heads"), F.col("_o"))).otherwise(0))
+    chunk = F.when(F.col("_h") == 0, 0).otherwise(
+        (F.col("_h") - 1) * step + upto(F.slice("_cuts", F.greatest((F.col("_h") - 1) * step + 1, F.lit(1)), step), F.col("_o")))
+    return j.select(*df.columns, chunk.cast("long").alias(name))
+
+
 def prefix_scan(df: DataFrame, keys: Sequence[str], order: str | Column, chunk: str,
                 last: Mapping[str, Column] | None = None,
                 sums: Mapping[str, Column] | None = None) -> DataFrame:

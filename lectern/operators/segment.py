@@ -18,10 +18,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.functions.text import clean_text, normalise_question, strip
-from lectern.operators.scan import prefix_scan
+from lectern.operators.scan import prefix_scan, row_chunks
 
 LINE_CHUNK = 65536    # lines per scan chunk (a few MB of text): bounds the task size of one document
-PAGE_CHUNK = 64       # pages per scan chunk for the page-offset sum
+PAGE_CHUNK = 4096     # pages per scan chunk for the page-offset sum
 
 
 @dataclass(frozen=True)
@@ -54,8 +54,8 @@ def page_lines(pages: DataFrame, doc_col: str = "doc_id", page_col: str = "page_
     p = pages.select(F.col(doc_col).alias("doc_id"), F.col(page_col).alias("page_no"),
                      F.col(text_col).alias("text"))
     p = p.withColumn("_nl", F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))))
-    p = prefix_scan(p.withColumn("_chunk", F.floor(F.col("page_no") / page_chunk)),
-                    ["doc_id"], "page_no", "_chunk", sums={"_nl_upto": F.col("_nl")})
+    p = prefix_scan(row_chunks(p, ["doc_id"], "page_no", page_chunk), ["doc_id"], "page_no", "_chunk",
+                    sums={"_nl_upto": F.col("_nl")})
     frags = p.select(
         "doc_id", "page_no", "_nl",
         (F.col("_nl_upto") - F.col("_nl")).alias("_offset"),

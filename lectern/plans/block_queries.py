@@ -33,8 +33,8 @@ def _event_blocks(spark, sf_dir):
                     F.col("value").alias("y0"), text.alias("text"))
 
 
-def q_attribute_blocks(spark: SparkSession, sf_dir: str, y_band: float = BL.Y_BAND):
-    return BL.attribute_blocks(_event_blocks(spark, sf_dir), y_band=y_band)
+def q_attribute_blocks(spark: SparkSession, sf_dir: str, chunk_rows: int = BL.CHUNK_ROWS):
+    return BL.attribute_blocks(_event_blocks(spark, sf_dir), chunk_rows=chunk_rows)
 
 
 def sql_attribute_blocks() -> str:

@@ -24,11 +24,11 @@ def test_fixture_rules(spark):
             ("c", 2, 1, 410.0, 20.0, "к2"),
             ("c", 2, 2, 141.0, 30.0, "А2 без точки"),
             ("c", 2, 3, 141.0, 40.0, "Ответ: 7")]
-    got = BL.attribute_blocks(spark.createDataFrame(rows, SCHEMA), y_band=1.0).collect()
+    got = BL.attribute_blocks(spark.createDataFrame(rows, SCHEMA), chunk_rows=2).collect()
     assert [(r.question_id, r.answer, r.comment) for r in got] == [("А1", "7", "к1 к2")]
 
 
 def test_chunk_invariance(spark):
     a = sorted(map(tuple, BQ.q_attribute_blocks(spark, SF_SMALL).collect()))
-    b = sorted(map(tuple, BQ.q_attribute_blocks(spark, SF_SMALL, y_band=1.0).collect()))
+    b = sorted(map(tuple, BQ.q_attribute_blocks(spark, SF_SMALL, chunk_rows=2).collect()))
     assert a == b and len(a) > 0

@@ -82,7 +82,7 @@ def test_attribution_matches_plain_window_form(spark, docs):
     rows = [(d, p, i, x, y, t) for d, blocks in enumerate(docs) for i, (p, y, x, t) in enumerate(blocks)]
     pdf = pd.DataFrame(rows, columns=["doc_id", "page_no", "block_no", "x0", "y0", "text"])
     df = spark.createDataFrame(rows, "doc_id long, page_no int, block_no int, x0 double, y0 double, text string")
-    got = sorted(map(tuple, BL.attribute_blocks(df, y_band=1.0).collect()))
+    got = sorted(map(tuple, BL.attribute_blocks(df, chunk_rows=2).collect()))
     con = duckdb.connect()
     con.register("blk", pdf)
     want = sorted(con.execute(BQ.attribution_sql("SELECT * FROM blk")).fetchall())
