@@ -40,12 +40,12 @@ from pyspark.sql import functions as F
 from lectern.llm.common import written
 
 MIN_LENGTH, MIN_COUNT, RATIO = 6, 5, 5
-LEAF_WORDS = 4_000          # words of a box of a top tree
+LEAF_WORDS = 16_000         # words of a box of a top tree
 MAX_LEAVES = 16_384         # boxes of all top trees together (they are broadcast)
 SAMPLE_WORDS = 50_000       # words that the top trees are grown from
 GROUP_ROWS = 20_000         # points, and askers, of one task's group
 GROUP_CHARS = 4_000_000
-BUCKET = 48                 # letter-count vectors of a bucket of a task's tree
+BUCKET = 96                 # letter-count vectors of a bucket of a task's tree
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Letters of a word: a-z and the letters of Latin-1, one byte each in Latin-1.
@@ -134,30 +134,36 @@ def reached(tree: tuple, v: np.ndarray, minus: int) -> Iterator[tuple[int, np.nd
 
 def search(points: np.ndarray, asked: np.ndarray, minus: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Row pairs (asked, point) whose counts differ by one letter more and
-    ``minus`` letters fewer.  Rows of ``points`` are distinct."""
+    ``minus`` letters fewer.  Rows of ``points`` are distinct, and all their
+    words are 1 - ``minus`` letters longer than the asking ones: a squared
+    distance of 1 + ``minus`` is then exactly such an edit."""
+    used = np.flatnonzero(points.any(0) | asked.any(0))
+    largest = max(points.max(initial=0), asked.max(initial=0))
+    exact = "float32" if largest < 1_000 else "float64"  # sums of squares stay whole numbers
+    p, q = points[:, used].astype(exact), asked[:, used].astype(exact)
+    p2, q2 = np.einsum("ij,ij->i", p, p), np.einsum("ij,ij->i", q, q)
+
     def walk(rows: np.ndarray, ask: np.ndarray):
-        lo, hi = points[rows].min(0), points[rows].max(0)
-        q = asked[ask]
-        ask = ask[(np.maximum(lo - q, 0).sum(1) <= 1) & (np.maximum(q - hi, 0).sum(1) <= minus)]
+        some = q[ask]
+        off = some - np.clip(some, p[rows].min(0), p[rows].max(0))
+        ask = ask[np.einsum("ij,ij->i", off, off) <= 1 + minus]
         if not len(ask):
             return
         split = best_split(points[rows]) if len(rows) > BUCKET else None
         if split is None:
-            for at in range(0, len(ask), 256):
-                some = ask[at:at + 256]
-                diff = points[rows][None, :, :] - asked[some][:, None, :]
-                hit = (np.maximum(diff, 0).sum(2) == 1) & (np.maximum(-diff, 0).sum(2) == minus)
-                i, k = np.nonzero(hit)
+            for at in range(0, len(ask), 1_024):
+                one = ask[at:at + 1_024]
+                i, k = np.nonzero(q2[one][:, None] + p2[rows][None, :] - 2 * (q[one] @ p[rows].T) == 1 + minus)
                 if len(i):
-                    yield some[i], rows[k]
+                    yield one[i], rows[k]
             return
         low = points[rows, split[0]] <= split[1]
         yield from walk(rows[low], ask)
         yield from walk(rows[~low], ask)
 
     if len(points) and len(asked):
-        for at in range(0, len(asked), 4_096):
-            yield from walk(np.arange(len(points)), np.arange(at, min(at + 4_096, len(asked))))
+        for at in range(0, len(asked), 8_192):
+            yield from walk(np.arange(len(points)), np.arange(at, min(at + 8_192, len(asked))))
 
 
 def one_edit(short: str, long: str) -> bool:
@@ -183,19 +189,41 @@ def in_order(asking: list[str], points: list[str], fewer: str | None, more: str)
         yield from ((w, p) for p in {w[:i] + more + w[i + 1:] for i, c in enumerate(w) if c == fewer} & known)
 
 
+def letters(words: list[str]) -> np.ndarray:
+    """Words of one length as a matrix of Latin-1 bytes."""
+    return np.frombuffer("".join(words).encode("latin-1"), "uint8").reshape(len(words), -1)
+
+
+def edited_once(short: np.ndarray, long: np.ndarray) -> np.ndarray:
+    """``one_edit`` row by row."""
+    if short.shape[1] == long.shape[1]:
+        return (short != long).sum(1) == 1
+    upto = np.logical_and.accumulate(short == long[:, :-1], axis=1)            # equal up to and with this letter
+    behind = np.logical_and.accumulate((short == long[:, 1:])[:, ::-1], axis=1)[:, ::-1]
+    return behind[:, 0] | upto[:, -1] | (upto[:, :-1] & behind[:, 1:]).any(1)
+
+
 def near_in_group(points: list[str], asking: list[str], minus: int) -> Iterator[tuple[str, str]]:
     """Near pairs (asking, point); all points have one length, all asking words
     that length or, for ``minus`` 0, one less."""
-    def distinct(words: list[str]) -> tuple[np.ndarray, list[list[str]]]:
+    def distinct(words: list[str]) -> tuple[np.ndarray, list[list[str]], np.ndarray, np.ndarray]:
         vectors, place = np.unique(letter_counts(words), axis=0, return_inverse=True)
         of: list[list[str]] = [[] for _ in range(len(vectors))]
         for w, k in zip(words, place.ravel().tolist()):
             of[k].append(w)
-        return vectors, of
+        return vectors, of, letters([ws[0] for ws in of]), np.array([len(ws) == 1 for ws in of])
     if not points or not asking:
         return
-    (pv, p_of), (qv, q_of) = distinct(points), distinct(asking)
+    (pv, p_of, p_letters, p_one), (qv, q_of, q_letters, q_one) = distinct(points), distinct(asking)
+    step = max(1, GROUP_CHARS // len(points[0]))
     for qs, ps in search(pv, qv, minus):
+        single = q_one[qs] & p_one[ps]  # one word each: compared in bulk
+        q1, p1 = qs[single], ps[single]
+        for at in range(0, len(q1), step):
+            q, p = q1[at:at + step], p1[at:at + step]
+            near = edited_once(q_letters[q], p_letters[p])
+            yield from ((q_of[x][0], p_of[y][0]) for x, y in zip(q[near].tolist(), p[near].tolist()))
+        qs, ps = qs[~single], ps[~single]
         diff = pv[ps] - qv[qs]
         more, fewer = diff.argmax(1), diff.argmin(1)
         for q, p, m, f in zip(qs.tolist(), ps.tolist(), more.tolist(), fewer.tolist()):

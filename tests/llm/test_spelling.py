@@ -107,6 +107,16 @@ def test_search_equals_full_distance():
         assert found == {(int(a), int(b)) for a, b in zip(*np.nonzero(want))}
 
 
+def test_bulk_comparison_equals_one_edit():
+    words = sorted(vocabulary(120))
+    for size in (6, 7):
+        short, long = [w for w in words if len(w) == size], [w for w in words if len(w) in (size, size + 1)]
+        for n in (size, size + 1):
+            pairs = [(a, b) for a in short for b in long if len(b) == n and a != b]
+            got = S.edited_once(S.letters([a for a, _ in pairs]), S.letters([b for _, b in pairs]))
+            assert got.tolist() == [near(a, b) for a, b in pairs] == [S.one_edit(a, b) for a, b in pairs] and any(got)
+
+
 def counted(rows):
     count = Counter()
     for i, text in rows:
