@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.functions.text import clean_text, strip
+from lectern.operators.placement import place_anchored
 
 def table_rows(cells: DataFrame, clean: bool = True) -> DataFrame:
     """``(doc_id, table_no, row_no, col_no, text)`` -> ``(doc_id, table_no,
@@ -115,15 +116,7 @@ def drop_tables(tables: DataFrame, excluded: DataFrame, keys: list[str]) -> Data
     return tables.join(excluded, keys, "left_anti")
 
 
-def _span_bounds(text: Column, a: Column, z: Column):
-    p = F.call_function("locate", a, text)
-    start = p + F.length(a)
-    qz = F.when(z == "", start).otherwise(F.call_function("locate", z, text, start))
-    ok = (p > 0) & (qz > 0) & ~((a == "") & (z == ""))
-    return ok, p, qz + F.length(z) - p
-
-
-def place_tables(questions: DataFrame, tables: DataFrame) -> DataFrame:
+def place_tables(questions: DataFrame, tables: DataFrame) -> tuple[DataFrame, DataFrame]:
     """J5 + W6 + V4, per document.
 
     ``questions``: doc_id, section, pos, question_id, text, plus
@@ -133,43 +126,7 @@ def place_tables(questions: DataFrame, tables: DataFrame) -> DataFrame:
     replaces every copy of that span by the Markdown table.  Later tables see
     the changed text.  Returns ``(questions, unplaced)``: the questions with
     their final text, and ``(doc_id, table_no)`` of tables that matched none.
+    Both are read from tables written once; see :mod:`lectern.operators.placement`.
     """
-    cols = ["section_order", "pos", "section", "question_id", "text"]
     a, z = anchors("rows")
-    ts = (tables.select("doc_id", F.col("table_no").cast("bigint").alias("table_no"), a.alias("a"), z.alias("z"),
-                        markdown("rows").alias("md"))
-          .groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("table_no", "a", "z", "md"))).alias("ts")))
-    # A question that matches none of its document's tables on its own text
-    # is never changed, so it can never match a later table either: only
-    # candidates go into the per-document fold, the rest pass through.
-    anc = ts.select("doc_id", F.transform("ts", lambda t: F.struct(t["a"].alias("a"), t["z"].alias("z"))).alias("anc"))
-    q = questions.select("doc_id", F.col("section_order").cast("int").alias("section_order"),
-                         F.col("pos").cast("bigint").alias("pos"), "section", "question_id", "text") \
-        .join(anc, "doc_id", "left")
-    cand = F.coalesce(F.exists("anc", lambda t: _span_bounds(F.col("text"), t["a"], t["z"])[0]), F.lit(False))
-    q = q.withColumn("_cand", cand)
-    untouched = q.where(~F.col("_cand")).select("doc_id", *cols)
-    qs = (q.where(F.col("_cand")).groupBy("doc_id")
-          .agg(F.array_sort(F.collect_list(F.struct(*cols))).alias("qs")))
-    j = ts.join(qs, "doc_id", "left").withColumn(
-        "qs", F.coalesce("qs", F.array().cast(
-            "array<struct<section_order:int,pos:bigint,section:string,question_id:string,text:string>>")))
-
-    def step(acc, t):
-        hits = F.transform(acc["qs"], lambda q: _span_bounds(q["text"], t["a"], t["z"])[0])
-
-        def with_first(first):          # bound once per table, not per question
-            def put(q, i):
-                _, p, n = _span_bounds(q["text"], t["a"], t["z"])
-                new = F.replace(q["text"], q["text"].substr(p, n), t["md"])
-                return F.when(i + 1 == first, q.withField("text", new)).otherwise(q)
-            return F.struct(F.transform(acc["qs"], put).alias("qs"),
-                            F.when(first == 0, F.concat(acc["unplaced"], F.array(t["table_no"])))
-                            .otherwise(acc["unplaced"]).alias("unplaced"))
-        return F.element_at(F.transform(F.array(F.array_position(hits, True)), with_first), 1)
-
-    init = F.struct(F.col("qs").alias("qs"), F.array().cast("array<bigint>").alias("unplaced"))
-    done = j.select("doc_id", F.aggregate("ts", init, step).alias("r"))
-    placed = done.select("doc_id", F.explode("r.qs").alias("q")).select("doc_id", "q.*").unionByName(untouched)
-    unplaced = done.select("doc_id", F.explode("r.unplaced").alias("table_no"))
-    return placed, unplaced
+    return place_anchored(questions, tables.select("doc_id", "table_no", a.alias("a"), z.alias("z"), markdown("rows").alias("md")))
