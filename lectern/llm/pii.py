@@ -17,7 +17,8 @@ dropped and not retried.  That loses numbers that touch each other, as in
 
 Weights are trained on a hash sample of about ``SAMPLE_DOCS`` documents: islands
 that the rules explain wholly (every digit group of six or more digits in a
-rule's span) are the gold segmentations, and the log-likelihood (segment-level
+rule's span; at most ``TRAIN_ISLANDS`` distinct ones, chosen by hash, of at most
+``TRAIN_ATOMS`` groups) are the gold segmentations, and the log-likelihood (segment-level
 forward-backward) is maximised around prior weights.  Base spans always stay;
 a found segment is added when it overlaps none of them.  Email addresses
 written with "(at)" and "(dot)" are candidates of a one-atom island.
@@ -33,17 +34,19 @@ from __future__ import annotations
 import math
 import pickle
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import unit_hash
+from lectern.llm.common import slices, unit_hash
 
 KINDS = ("email", "ip", "card", "phone")
 MAX_ATOMS = 8
 SAMPLE_DOCS = 4_000
+TRAIN_ISLANDS, TRAIN_ATOMS = 20_000, 64     # distinct islands of the sample that are fitted on, and their length
 STEPS, RATE, PRIOR_STRENGTH = 25, 0.3, 1.0
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -54,7 +57,7 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _ISLAND = re.compile(r"[+(]{0,2}[0-9](?:[\x20().+-]{0,3}[0-9])*+")
 _GROUP = re.compile(r"[0-9]+")
-_SPELLED = re.compile(r"[A-Za-z0-9._%+-]+ ?[\[(](?:at|AT)[\])] ?[A-Za-z0-9-]+(?:(?:\.| ?[\[(](?:dot|DOT)[\])] ?)[A-Za-z0-9-]+)+")
+_SPELLED = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?[\[(](?:at|AT)[\])] ?[A-Za-z0-9-]+(?:(?:\.| ?[\[(](?:dot|DOT)[\])] ?)[A-Za-z0-9-]+)+")
 
 Span = tuple[str, int, int]
 
@@ -149,7 +152,28 @@ def features(kind: str, text: str, start: int, end: int, groups: list[tuple[int,
     return [(kind, f) for f in out]
 
 
-def candidates(text: str, start: int, end: int, taken: list[tuple[int, int]] = ()) -> tuple[list[tuple[int, int]], list[tuple]]:
+class Taken:
+    """The stretches that some spans cover, asked for overlaps by bisection."""
+
+    def __init__(self, spans: Iterable[Span]):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for s, e in sorted((s, e) for _, s, e in spans):
+            if self.ends and s < self.ends[-1]:
+                self.ends[-1] = max(e, self.ends[-1])
+            else:
+                self.starts.append(s)
+                self.ends.append(e)
+
+    def overlap(self, start: int, end: int) -> bool:
+        k = bisect_left(self.starts, end)
+        return k > 0 and self.ends[k - 1] > start
+
+
+_FREE = Taken([])
+
+
+def candidates(text: str, start: int, end: int, taken: Taken = _FREE) -> tuple[list[tuple[int, int]], list[tuple]]:
     """Atoms (digit groups) of the island text[start:end] and its candidate
     segments (first atom, after last atom, kind, span start, span end, features)."""
     atoms = [(m.start(), m.end()) for m in _GROUP.finditer(text, start, end)]
@@ -161,7 +185,7 @@ def candidates(text: str, start: int, end: int, taken: list[tuple[int, int]] = (
             digits += b - atoms[j][0]
             if digits > 19:
                 break
-            if digits < 4 or any(x < b and a < y for x, y in taken):
+            if digits < 4 or taken.starts and taken.overlap(a, b):
                 continue
             s, groups = a, atoms[i:j + 1]
             kinds = []
@@ -206,17 +230,16 @@ def best_segments(weights: dict, n_atoms: int, cands: list[tuple]) -> list[tuple
 def found_spans(weights: dict, text: str, base: list[Span]) -> list[Span]:
     """Spans the model adds to the base spans of the text."""
     out = []
-    fixed = [(s, e) for _, s, e in base]
+    fixed = Taken(base)
     for m in _ISLAND.finditer(text):
         if m.end() - m.start() < 8:
             continue
-        inside = [(s, e) for s, e in fixed if s < m.end() and m.start() < e] if fixed else []
-        atoms, cands = candidates(text, m.start(), m.end(), inside)
+        atoms, cands = candidates(text, m.start(), m.end(), fixed)
         out += [(c[2], c[3], c[4]) for c in best_segments(weights, len(atoms), cands)] if cands else []
     if "(at)" in text or "[at]" in text or "(AT)" in text or "[AT]" in text:
         out += [("email", m.start(), m.end()) for m in _SPELLED.finditer(text)
                 if score(weights, features("email", text, m.start(), m.end(), [])) > 0]
-    return [(k, s, e) for k, s, e in out if not any(a < e and s < b for a, b in fixed)]
+    return [(k, s, e) for k, s, e in out if not fixed.overlap(s, e)]
 
 
 def all_spans(weights: dict, text: str) -> tuple[list[Span], list[Span]]:
@@ -226,29 +249,44 @@ def all_spans(weights: dict, text: str) -> tuple[list[Span], list[Span]]:
 
 
 def gold_islands(text: str) -> list[tuple[int, list[tuple], list[tuple]]]:
-    """(atoms, candidates, gold candidates) of the islands that the rules explain wholly."""
-    base, out = base_spans(text), []
+    """(atoms, candidates, gold candidates) of the islands that the rules
+    explain wholly, those of at most ``TRAIN_ATOMS`` atoms."""
+    base, out = sorted(base_spans(text), key=lambda x: x[1]), []
+    near: list[Span] = []  # spans that reach into the island or beyond; swept along
+    at = 0
     for m in _ISLAND.finditer(text):
+        while at < len(base) and base[at][1] < m.end():
+            near.append(base[at])
+            at += 1
+        near = [x for x in near if x[2] > m.start()]
         if m.end() - m.start() < 8:
             continue
-        inside = {(k, s, e) for k, s, e in base if s < m.end() and m.start() < e}
-        atoms, cands = candidates(text, m.start(), m.end())
+        inside, taken = set(near), Taken(near)
+        atoms = sum(1 for _ in _GROUP.finditer(text, m.start(), m.end()))
+        if atoms > TRAIN_ATOMS:
+            continue
+        groups, cands = candidates(text, m.start(), m.end())
         gold = [c for c in cands if (c[2], c[3], c[4]) in inside]
-        loose = [1 for a, b in atoms if b - a >= 6 and not any(s <= a and b <= e for _, s, e in inside)]
+        loose = [1 for a, b in groups if b - a >= 6 and not taken.overlap(a, b)]
         if cands and not loose and len(gold) == len(inside):
-            out.append((len(atoms), [c[:3] + (0, 0, c[5]) for c in cands], [c[:3] + (0, 0, c[5]) for c in gold]))
+            out.append((len(groups), [c[:3] + (0, 0, c[5]) for c in cands], [c[:3] + (0, 0, c[5]) for c in gold]))
     return out
 
 
 def _expected(weights: dict, n: int, cands: list[tuple]) -> dict:
     """Expected feature counts of an island under the model (forward-backward over segments)."""
     s = [score(weights, c[5]) for c in cands]
+    by_start: list[list[int]] = [[] for _ in range(n + 1)]
+    by_end: list[list[int]] = [[] for _ in range(n + 1)]
+    for k, c in enumerate(cands):
+        by_start[c[0]].append(k)
+        by_end[c[1]].append(k)
     add = lambda xs: (m := max(xs)) + math.log(sum(math.exp(x - m) for x in xs))
     f, b = [0.0] * (n + 1), [0.0] * (n + 1)
     for j in range(1, n + 1):
-        f[j] = add([f[j - 1], *(f[c[0]] + s[k] for k, c in enumerate(cands) if c[1] == j)])
+        f[j] = add([f[j - 1], *(f[cands[k][0]] + s[k] for k in by_end[j])])
     for i in range(n - 1, -1, -1):
-        b[i] = add([b[i + 1], *(b[c[1]] + s[k] for k, c in enumerate(cands) if c[0] == i)])
+        b[i] = add([b[i + 1], *(b[cands[k][1]] + s[k] for k in by_start[i])])
     out: dict = {}
     for k, c in enumerate(cands):
         p = math.exp(f[c[0]] + s[k] + b[c[1]] - f[n])
@@ -257,27 +295,29 @@ def _expected(weights: dict, n: int, cands: list[tuple]) -> dict:
     return out
 
 
-def fit(islands: list[tuple]) -> dict:
+def fit(islands: list[tuple], times: list[int] | None = None) -> dict:
     """Weights that maximise the mean log-likelihood of the gold segmentations,
-    with a Gaussian prior around ``PRIOR``; equal islands are counted, not repeated."""
+    with a Gaussian prior around ``PRIOR``.  ``times``: how often each island
+    counts (once)."""
     weights = dict(PRIOR)
     if not islands:
         return weights
     counted: dict = {}
-    for n, cands, gold in islands:
+    for (n, cands, gold), m in zip(islands, times or [1] * len(islands)):
         key = (n, tuple((c[0], c[1], tuple(c[5])) for c in cands), tuple((c[0], c[1], tuple(c[5])) for c in gold))
-        counted.setdefault(key, [0, (n, cands, gold)])[0] += 1
+        counted.setdefault(key, [0, (n, cands, gold)])[0] += m
+    total = sum(m for m, _ in counted.values())
     for _ in range(STEPS):
         step: dict = {}
-        for times, (n, cands, gold) in counted.values():
+        for m, (n, cands, gold) in counted.values():
             for c in gold:
                 for name in c[5]:
-                    step[name] = step.get(name, 0.0) + times
+                    step[name] = step.get(name, 0.0) + m
             for name, v in _expected(weights, n, cands).items():
-                step[name] = step.get(name, 0.0) - times * v
+                step[name] = step.get(name, 0.0) - m * v
         for name, g in step.items():
             pull = PRIOR_STRENGTH * (weights.get(name, 0.0) - PRIOR.get(name, 0.0))
-            weights[name] = weights.get(name, 0.0) + RATE * (20 * g / len(islands) - pull)
+            weights[name] = weights.get(name, 0.0) + RATE * (20 * g / total - pull)
     return weights
 
 
@@ -290,14 +330,14 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
         return dict(PRIOR)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             some = [pickle.dumps(g) for t in batch.column(0).to_pylist() for g in gold_islands(t or "")]
             yield pa.RecordBatch.from_arrays([pa.array(some, pa.binary())], ["island"])
     at = unit_hash(docs[id_col], seed="pii-train")
     sample = docs.where(at < sample_docs / total).select(docs[text_col].alias("text"))
-    rows = sample.where(F.col("text").rlike("[0-9]{2}")).mapInArrow(run, "island binary").groupBy("island").count().collect()
-    islands = [pickle.loads(bytes(r["island"])) for r in sorted(rows, key=lambda r: bytes(r["island"])) for _ in range(r["count"])]
-    return fit(islands)
+    found = sample.where(F.col("text").rlike("[0-9]{2}")).mapInArrow(run, "island binary").groupBy("island").count()
+    rows = sorted(found.orderBy(F.xxhash64("island"), "island").limit(TRAIN_ISLANDS).collect(), key=lambda r: bytes(r["island"]))
+    return fit([pickle.loads(bytes(r["island"])) for r in rows], [r["count"] for r in rows])
 
 
 def tag(spans: list[Span]) -> str:
@@ -311,7 +351,7 @@ def find(docs: DataFrame, weights: dict | None = None, id_col: str = "doc_id", t
     span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             both = [all_spans(weights, t or "") for t in batch.column(1).to_pylist()]
             named = [[[{"kind": k, "start": s, "end": e} for k, s, e in x] for x in side] for side in zip(*both)] or [[], []]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, span) for x in named)], ["doc_id", "base", "spans"])
@@ -337,7 +377,7 @@ def redact(docs: DataFrame, weights: dict | None = None, id_col: str = "doc_id",
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = [None if t is None else masked(t, all_spans(weights, t)[1]) for t in batch.column(at).to_pylist()]
             columns = list(batch.columns)
             columns[at] = pa.array(texts, pa.string())

@@ -2,6 +2,9 @@
 
 import random
 import re
+import time
+
+import pytest
 
 import helpers as H
 from lectern.llm import pii
@@ -36,9 +39,57 @@ def test_rules_equal_plain_patterns():
         assert pii.base_spans(text) == plain(text), text
 
 
-def test_long_runs_take_linear_time():
-    text = "9" * 200_000 + " " + "a" * 200_000 + " " + "1." * 100_000 + "@" * 1000
-    assert pii.base_spans(text) == [s for s in pii.base_spans(text) if s[2] <= len(text)]
+def dense(chars):
+    r = random.Random(3)
+    parts = [CARD, "+1 (269) 555-3296", "+49 30 1234567 ", "10.0.0.1", "2023-10-12", "4524 1326 5264 8763", "x9@b.c", "7", "bob (at) x (dot) y", "1.2.3.4.5"]
+    out, n = [], 0
+    while n < chars:
+        out.append(r.choice(parts) + r.choice([" ", " ", "; ", "\n", "-"]))
+        n += len(out[-1])
+    return "".join(out)
+
+
+def seconds(work, *args):
+    return min(_timed(work, *args) for _ in range(2))
+
+
+def _timed(work, *args):
+    at = time.process_time()
+    work(*args)
+    return time.process_time() - at
+
+
+@pytest.mark.parametrize("make", [
+    dense, lambda n: (CARD + " ") * (n // 17), lambda n: "9" * n, lambda n: "a" * n + " (at) b", lambda n: "1." * (n // 2),
+    lambda n: "+1 " * (n // 3), lambda n: "12345678a" * (n // 9) + "@x.y", lambda n: "@" * n])
+def test_long_texts_take_linear_time(make):
+    weights = pii.fit([])
+    small, large = (seconds(pii.all_spans, weights, make(n)) for n in (40_000, 320_000))
+    assert large < 8 * 2 * small + 0.2
+
+
+def test_training_takes_linear_time():
+    weights = dict(pii.PRIOR)
+
+    def expected(n):
+        atoms, cands = pii.candidates(text := (CARD + " ") * n, 0, len(text))
+        return seconds(pii._expected, weights, len(atoms), cands)
+    assert expected(8_000) < 8 * 2 * expected(1_000) + 0.2
+    small, large = (seconds(pii.gold_islands, dense(n)) for n in (40_000, 320_000))
+    assert large < 8 * 2 * small + 0.2
+
+
+def test_all_spans_of_random_texts_by_plain_overlap():
+    """Sweeping and bisecting change nothing: candidates that overlap a base span are out, as by comparing all pairs."""
+    r, weights = random.Random(11), pii.fit([])
+    for _ in range(2_000):
+        text = dense(r.randint(5, 120))[r.randint(0, 9):]
+        base, spans = pii.all_spans(weights, text)
+        assert set(base) <= set(spans)
+        more = [s for s in spans if s not in base]
+        assert not any(a < y and x < b for _, a, b in more for _, x, y in base)
+        inside = pii.Taken(base)
+        assert all(inside.overlap(a, a + 1) == any(x <= a < y for _, x, y in base) for a in range(len(text)))
 
 
 def found(text, weights=None):
