@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from lectern.llm.bpe import pretoken_pattern, vocabulary_path
 from lectern.llm.chunks import PieceCache, UnsafeCut, safe_parts, without_gc, word_cutter
-from lectern.llm.common import written
+from lectern.llm.common import kept, written
 from lectern.llm.token_output import JsonBpe
 
 A_VOCABULARY, B_VOCABULARY = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -164,14 +164,9 @@ class Aligner:
         return self.chunk(" " + chunk)
 
 
-_WORKER: dict[tuple, Aligner] = {}
-
-
 def worker_model(a: str, b: str) -> Aligner:
-    """One model per Python worker and pair of vocabularies."""
-    if (a, b) not in _WORKER:
-        _WORKER[a, b] = Aligner(vocabulary_path(a), vocabulary_path(b), pretoken_pattern())
-    return _WORKER[a, b]
+    """The model of both vocabularies, kept by a Python worker."""
+    return kept(("Aligner", a, b), lambda: Aligner(vocabulary_path(a), vocabulary_path(b), pretoken_pattern()))
 
 
 class TaskCounts:

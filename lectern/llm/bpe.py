@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from lectern.llm.chunks import ChunkCache, groups, pre_token_cutter
+from lectern.llm.common import kept, slices
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -94,14 +95,9 @@ class ByteBpe:
         return b"".join(map(self.pieces.__getitem__, ids))
 
 
-_WORKER: dict[tuple[str, str], ByteBpe] = {}
-
-
 def worker_model(path: str, pattern: str) -> ByteBpe:
-    """One model per Python worker and vocabulary."""
-    if (path, pattern) not in _WORKER:
-        _WORKER[path, pattern] = ByteBpe(path, pattern)
-    return _WORKER[path, pattern]
+    """The vocabulary's model, kept by a Python worker."""
+    return kept(("ByteBpe", path, pattern), lambda: ByteBpe(path, pattern))
 
 
 def vocabulary_path(name: str) -> str:
@@ -153,15 +149,13 @@ def with_ids(docs: DataFrame, keep: list[str], vocabulary: str = VOCABULARY, tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = worker_model(vocabulary_path(vocabulary), pretoken_pattern())
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                ids = [i.astype("int32") for i in model.encode(part.column(len(keep)).to_pylist())]
-                ends = np.cumsum([0] + [len(i) for i in ids], dtype="int32")
-                back = [hashlib.sha256(model.decode(i.tolist())).hexdigest() for i in ids]
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids))),
-                     pa.array(np.diff(ends).astype("int64")), pa.array(back, pa.string())], [*keep, "ids", "n_tokens", "decoded_sha256"])
+        for part in slices(batches, 256):
+            ids = [i.astype("int32") for i in model.encode(part.column(len(keep)).to_pylist())]
+            ends = np.cumsum([0] + [len(i) for i in ids], dtype="int32")
+            back = [hashlib.sha256(model.decode(i.tolist())).hexdigest() for i in ids]
+            yield pa.RecordBatch.from_arrays(
+                [*part.columns[:-1], pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids))),
+                 pa.array(np.diff(ends).astype("int64")), pa.array(back, pa.string())], [*keep, "ids", "n_tokens", "decoded_sha256"])
     return docs.select(*[docs[c] for c in keep], docs[text_col].cast("string").alias("_bpe_text")).mapInArrow(run, schema)
 
 

@@ -3,6 +3,10 @@ word splitting, hash fractions and tables written once to the shared folder."""
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Hashable, Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,3 +54,39 @@ def written(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFram
         return materialize(spark, df, name)
     finally:
         spark.conf.set(BATCH_ROWS, before)
+
+
+SLICE_ROWS = 512        # rows with texts that a Python worker unpacks at a time
+
+
+def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in slices of few rows, so that little is unpacked at a
+    time; at the end of the task freed memory goes back to the system, since
+    Spark keeps the worker for later tasks."""
+    try:
+        for batch in batches:
+            for at in range(0, batch.num_rows, rows):
+                yield batch.slice(at, rows)
+    finally:
+        give_back()
+
+
+def give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+_KEPT: dict[Hashable, object] = {}
+
+
+def kept(key: Hashable, make: Callable[[], object]):
+    """A model that a Python worker keeps from task to task.  Only the last one
+    asked for is kept, so stages that follow one another do not add up."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        give_back()
+        _KEPT[key] = make()
+    return _KEPT[key]

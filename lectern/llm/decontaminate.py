@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import written
+from lectern.llm.common import kept, slices, written
 
 WINDOW = 10                 # words
 SEGMENT = 5_000             # windows of one item row that stay together
@@ -111,15 +111,9 @@ class _Numbers(dict):
         return 0
 
 
-_WORKER: dict[str, Matcher] = {}
-
-
 def worker_matcher(key: str, shard, size: int) -> Matcher:
-    """The shard's automaton, built once per Python worker; one is kept."""
-    if key not in _WORKER:
-        _WORKER.clear()
-        _WORKER[key] = Matcher(shard.value, size)
-    return _WORKER[key]
+    """The shard's automaton, kept by a Python worker."""
+    return kept(("Matcher", key), lambda: Matcher(shard.value, size))
 
 
 def merged(hits: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -151,7 +145,7 @@ def _scan(docs: DataFrame, rows: list, size: int, first: bool, last: bool) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scan = worker_matcher(key, shard, size).scan
-        for batch in batches:
+        for batch in slices(batches):
             texts, n, intervals, items, spans = batch.column(1).to_pylist(), [], [], [], []
             before = [[]] * len(texts) if first else batch.column("hits").to_pylist()
             named = [[]] * len(texts) if first else batch.column("items").to_pylist()

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.llm.chunks import groups
-from lectern.llm.common import unit_hash, written
+from lectern.llm.common import slices, unit_hash, written
 
 # Families of common languages by ISO 639-1 code.
 FAMILIES = {
@@ -193,7 +193,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 def identify(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, lang_pred, score) of every document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             got = predict(model, batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([g[0] for g in got], pa.string()),
                                               pa.array([g[1] for g in got], pa.float64())],
@@ -209,7 +209,7 @@ def keep_identified(docs: DataFrame, model: dict, least: float = 0.5, text_col:
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(at).to_pylist()
             if model["langs"]:
                 ok = [lang != UNDETERMINED and s >= least for lang, s in predict(model, texts)]

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from lectern.llm.bpe import byte_characters, pretoken_pattern, vocabulary_path
 from lectern.llm.chunks import PieceCache, UnsafeCut, pre_token_cutter, safe_parts, without_gc
-from lectern.llm.common import written
+from lectern.llm.common import kept, written
 from lectern.session import ensure_checkpoint_dir
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -91,15 +91,9 @@ class JsonBpe:
         return (self.ids(t or "") for t in texts)
 
 
-_WORKER: dict[tuple, JsonBpe] = {}
-
-
 def worker_model(path: str, special_as_text: bool = False) -> JsonBpe:
-    """One model per Python worker, vocabulary and reading of special tokens."""
-    key = path, special_as_text
-    if key not in _WORKER:
-        _WORKER[key] = JsonBpe(path, pretoken_pattern(), special_as_text)
-    return _WORKER[key]
+    """The vocabulary's model, kept by a Python worker."""
+    return kept(("JsonBpe", path, special_as_text), lambda: JsonBpe(path, pretoken_pattern(), special_as_text))
 
 
 def encode_in_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
