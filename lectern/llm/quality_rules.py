@@ -9,8 +9,9 @@ source costs one row per bucket and task, and the result does not depend on
 the order of merging.  The merged quartiles give each group an upper and a
 lower fence; documents are then joined with the fences of their group.
 
-A group of fewer than ``MIN_DOCS`` documents takes the fences of its language,
-and if that is small too, those of all documents.
+Every group has fences of its own, whatever its size: a small source unlike its
+language is judged by its own documents, and one to three documents, which are
+their own quartiles, are all inside.
 
 Edge cases: NULL or blank texts have no words and fail the base rule; NULL
 languages and sources are groups of their own; repeated rows are judged alike,
@@ -31,7 +32,6 @@ WINDOW = 8              # words of a window that counts as repeated text
 MIN_WORDS = 20          # base rule
 MAX_REPEAT_PCT = 30     # base rule: per cent of the words in repeated windows
 SKETCH_BITS = 8         # leading bits a bucket keeps
-MIN_DOCS = 100          # documents below which a group borrows its fences
 SPREAD = 3              # fences lie this many interquartile ranges outside the quartiles
 SYMBOLS = "[#*$%&|<>]+"
 
@@ -136,13 +136,7 @@ def quartiles(sk: DataFrame, keys: list[str]) -> DataFrame:
 
 def fences(sk: DataFrame) -> DataFrame:
     """(lang, source, lo_<measure>, hi_<measure>...): one row per group of the sketch."""
-    own, by_lang, overall = (quartiles(sk, k) for k in (["lang", "source"], ["lang"], []))
-    b, o = by_lang.alias("b"), overall.alias("o")
-    j = (own.alias("a").join(b, F.col("a.lang").eqNullSafe(F.col("b.lang")) & (F.col("a.measure") == F.col("b.measure")))
-         .join(o, F.col("a.measure") == F.col("o.measure")))
-    pick = lambda c: (F.when(F.col("a.docs") >= MIN_DOCS, F.col(f"a.{c}"))
-                      .when(F.col("b.docs") >= MIN_DOCS, F.col(f"b.{c}")).otherwise(F.col(f"o.{c}")))
-    j = j.select("a.lang", "a.source", "a.measure", pick("q1").alias("q1"), pick("q3").alias("q3"))
+    j = quartiles(sk, ["lang", "source"])
     least = F.create_map(*[x for name, (_, d) in MEASURES.items() for x in (F.lit(name), F.lit(d))])[F.col("measure")]
     width = F.greatest((F.col("q3") - F.col("q1")) * SPREAD, least)
     j = j.select("lang", "source", "measure", (F.col("q1") - width).alias("lo"), (F.col("q3") + width).alias("hi"))

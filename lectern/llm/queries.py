@@ -35,9 +35,6 @@ def sql_op1() -> str:
                    FROM (SELECT *, sum(n) OVER (PARTITION BY {by} ORDER BY bucket) AS upto,
                                 sum(n) OVER (PARTITION BY {by}) AS docs
                          FROM (SELECT {by}, bucket, sum(n) AS n FROM sk GROUP BY {by}, bucket)) GROUP BY {by}"""
-
-    def pick(c: str) -> str:
-        return (f"CASE WHEN a.docs >= {Q.MIN_DOCS} THEN a.{c} WHEN g.docs >= {Q.MIN_DOCS} THEN g.{c} ELSE o.{c} END")
     return rf"""
 WITH t AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS text, {_SQL_WORDS} AS w,
                   [x FOR x IN string_split(coalesce(text, ''), chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS l
@@ -56,9 +53,7 @@ b AS (SELECT *, n_words < {Q.MIN_WORDS} OR 100 * n_repeat_words > {Q.MAX_REPEAT_
 m AS ({melted}),
 x AS (SELECT *, (2 ** greatest(length(bin(v)) - {Q.SKETCH_BITS}, 0))::BIGINT AS step FROM m),
 sk AS (SELECT lang, source, measure, v // step * step AS bucket, count(*) AS n FROM x GROUP BY ALL),
-f AS (SELECT a.lang, a.source, a.measure, {pick('q1')} AS q1, {pick('q3')} AS q3
-      FROM ({quart('lang, source')}) a JOIN ({quart('lang')}) g ON a.lang IS NOT DISTINCT FROM g.lang AND a.measure = g.measure
-      JOIN ({quart('')}) o ON a.measure = o.measure),
+f AS ({quart('lang, source')}),
 v AS (SELECT lang, source, measure, q1 - greatest((q3 - q1) * {Q.SPREAD}, {least}) AS lo,
              q3 + greatest((q3 - q1) * {Q.SPREAD}, {least}) AS hi FROM f),
 e AS (SELECT b.rid, bool_or(q < lo OR q > hi) AS outside

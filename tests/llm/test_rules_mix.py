@@ -41,6 +41,17 @@ def test_judge_keeps_clean_and_drops_symbols(spark):
     assert not any(got[i] for i, *_ in junk)
 
 
+def test_small_odd_source_keeps_its_own_fences(spark):
+    clean = [(i, t, "en", "web") for i, t in enumerate(H.prose(400, seed=3)) if len(t.split()) >= 25]
+    code = [(10_000 + i, " ".join(w + "<%>" for w in t.split()), "en", "code") for i, t in enumerate(H.prose(30, seed=4)) if len(t.split()) >= 25]
+    odd = [(20_000, " ".join(w + "%%%%%%%%%%%%%%%%%%%%" for w in H.prose(1, seed=9)[0].split() * 9), "en", "code")]
+    for few in (code[:1], code[:5], code):  # no size at which a source goes over to other fences
+        got = dict(H.by_id(quality_rules.judge(H.table(spark, clean + few)), "doc_id", "kept"))
+        assert all(got.values())
+    got = dict(H.by_id(quality_rules.judge(H.table(spark, clean + code + odd)), "doc_id", "kept"))
+    assert got.pop(20_000) is False and all(got.values())
+
+
 def test_judge_odd_and_empty(spark):
     got = quality_rules.judge(H.table(spark, H.odd_rows()))
     assert got.count() == len(H.odd_rows()) and got.where("kept IS NULL").count() == 0
