@@ -159,11 +159,12 @@ def build_records(spark: SparkSession, inputs: ExamInputs, canary: str, profiles
 
 
 def write_records(spark: SparkSession, result: BuildResult, path: str, rewrite: bool = False,
-                  append: bool = False) -> None:
+                  append: bool = False, batch_id: str | None = None) -> bool:
     """K2 + K1: start (or, with ``append``, extend) a data set folder and write
     the records as JSON lines in the reference order (language, section,
-    question position)."""
+    question position).  With a ``batch_id`` a repeated call adds nothing
+    (False is returned)."""
     from lectern.sources import sinks
     if not append:
         sinks.create_dataset(spark, path, rewrite=rewrite)
-    sinks.append_records(R.sample_columns(R.in_reference_order(result.records)), path)
+    return sinks.append_records(R.sample_columns(R.in_reference_order(result.records)), path, batch_id=batch_id)

@@ -9,10 +9,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lectern import schemas
 from lectern.operators.assets import edited_key
 from lectern.operators.records import parse_document_path
+from lectern.sources.sinks import committed
 
 
 def read_table(spark: SparkSession, path: str, schema, fmt: str = "parquet") -> DataFrame:
@@ -64,8 +66,31 @@ def exam_catalogue_from_paths(paths: DataFrame, path_col: str = "path") -> DataF
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """JSON-lines records with the fixed record schema."""
-    return spark.read.schema(schemas.RECORD).json(path)
+    """JSON-lines records with the fixed record schema: those of the
+    committed batches, or of all files of a folder that has no manifest."""
+    folders = sorted(committed(spark, path).values())
+    return spark.read.schema(schemas.RECORD).json(folders or path)
+
+
+def read_records_checked(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """S7 with quarantine: (records, rejects).  A line that is not JSON, does
+    not fit the record schema or lacks the id, the input or the metadata is a
+    reject: (file, raw, problem).  Nothing is dropped: every line that is not
+    blank is in one of the two.  Both share one permissive read; the caller
+    may persist it by writing either."""
+    schema = T.StructType([*schemas.RECORD.fields, T.StructField("_raw", T.StringType())])
+    folders = sorted(committed(spark, path).values())
+    lines = (spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_raw").json(folders or path)
+             .select("*", F.col("_metadata.file_name").alias("_file")))
+    problem = (F.when(F.col("_raw").isNotNull(), "not a record")
+               .when(F.col("id").isNull(), "no id").when(F.col("input").isNull(), "no input")
+               .when(F.col("metadata").isNull(), "no metadata"))
+    marked = lines.withColumn("_problem", problem)
+    records = marked.where(F.col("_problem").isNull()).select(*[f.name for f in schemas.RECORD.fields])
+    rejects = marked.where(F.col("_problem").isNotNull()).select(
+        F.col("_file").alias("file"),
+        F.coalesce("_raw", F.to_json(F.struct(*[f.name for f in schemas.RECORD.fields]))).alias("raw"), F.col("_problem").alias("problem"))
+    return records, rejects
 
 
 def read_completions(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:

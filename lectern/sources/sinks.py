@@ -1,11 +1,24 @@
 """Sinks (K1-K5): records as JSON lines, images and their metadata.
 
-Writes are partitioned and parallel; a data set is a folder of part files,
-so appending adds files and never rewrites earlier ones.
+Writes are partitioned and parallel.  A data set is a folder:
+
+    data/<batch>.<attempt>/part-*    the part files of one attempt to append a batch
+    _manifest/<batch>.json           one small file per batch: the attempt that counts
+
+Appending stages an attempt's part files in a folder of their own and then
+creates the batch's manifest file, by a rename that fails if it is there.
+Readers (``readers.read_records``) take the attempts that the manifest names, so
+a batch is seen whole or not at all, and a retried job adds nothing twice; what
+a failed attempt left behind is never read.
 """
 
 from __future__ import annotations
 
+import json
+import re
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,17 +46,67 @@ def create_dataset(spark, path: str, rewrite: bool = False) -> str:
     return path
 
 
-def append_records(records: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
-    """K1 + U1: append records as JSON lines (UTF-8, not escaped); adding the
-    same records twice stores them twice.  With ``partition_by`` (e.g.
-    ``("subject", "year")``, taken from the metadata) the folder is laid out
-    by those values, so readers can prune whole exams."""
+MANIFEST = "_manifest"
+
+
+def _file_system(spark, path: str):
+    """(Hadoop classes, the path's file system)."""
+    fs = spark.sparkContext._jvm.org.apache.hadoop.fs
+    return fs, fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def committed(spark, path: str) -> dict[str, str]:
+    """Batches of the data set with the folder of the attempt that counts."""
+    fs, files = _file_system(spark, path)
+    if not files.exists(fs.Path(f"{path}/{MANIFEST}")):
+        return {}
+    names = [f.getPath().toString() for f in files.listStatus(fs.Path(f"{path}/{MANIFEST}")) if f.getPath().getName().endswith(".json")]
+    rows = [json.loads(r["value"]) for r in spark.read.text(names).collect()] if names else []
+    return {r["batch"]: f"{path}/{r['folder']}" for r in rows}
+
+
+def _commit(spark, path: str, batch: str, folder: str) -> bool:
+    """Create the batch's manifest file; False if another attempt was first."""
+    fs, files = _file_system(spark, path)
+    staged, final = (fs.Path(f"{path}/{MANIFEST}/{n}") for n in (f".{uuid.uuid4().hex}", f"{batch}.json"))
+    out = files.create(staged, False)
+    out.write(bytearray(json.dumps({"batch": batch, "folder": folder}), "utf-8"))
+    out.close()
+    context = fs.FileContext.getFileContext(files.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    no_overwrite = spark.sparkContext._gateway.new_array(getattr(fs, "Options$Rename"), 0)
+    try:
+        context.rename(files.makeQualified(staged), files.makeQualified(final), no_overwrite)
+    except Py4JJavaError as e:
+        files.delete(staged, False)
+        if "FileAlreadyExistsException" in e.java_exception.toString():
+            return False
+        raise
+    return True
+
+
+def append_records(records: DataFrame, path: str, partition_by: tuple[str, ...] = (), batch_id: str | None = None) -> bool:
+    """K1 + U1: append records as JSON lines (UTF-8, not escaped), all or none.
+
+    ``batch_id`` names what is appended: a batch that is already in the data
+    set is not added again (False is returned).  Without it every call is a
+    batch of its own, and adding the same records twice stores them twice.
+    With ``partition_by`` (e.g. ``("subject", "year")``, taken from the
+    metadata) an attempt is laid out by those values, so readers can prune
+    whole exams."""
+    spark = records.sparkSession
+    if batch_id is not None and not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9._-]*", batch_id):
+        raise ValueError(f"batch id {batch_id!r} must be made of letters, digits, dots, underscores and hyphens")
+    batch = batch_id or uuid.uuid4().hex
+    if batch_id is not None and batch in committed(spark, path):
+        return False
+    folder = f"data/{batch}.{uuid.uuid4().hex}"
     out = records.select(*RECORD_COLUMNS)
     if partition_by:
         out = out.select("*", *[F.col(f"metadata.{c}").alias(f"_{c}") for c in partition_by])
-        out.write.mode("append").partitionBy(*[f"_{c}" for c in partition_by]).json(path)
+        out.write.mode("errorifexists").partitionBy(*[f"_{c}" for c in partition_by]).json(f"{path}/{folder}")
     else:
-        out.write.mode("append").json(path)
+        out.write.mode("errorifexists").json(f"{path}/{folder}")
+    return _commit(spark, path, batch, folder)
 
 
 def _exam_partitions(images: DataFrame) -> list[str]:
