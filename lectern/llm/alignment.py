@@ -50,7 +50,7 @@ A_VOCABULARY, B_VOCABULARY = "byte_bpe_50k.json", "piece_bpe_32k.model"
 HOT_PAIRS = 300_000         # pair counts that are broadcast (16 bytes each)
 FLUSH_PAIRS = 400_000       # distinct pairs that a task counts before it hands them on
 CACHED_CHARS = 200          # longer chunks are not cached
-PART_CACHE, CHUNK_CACHE = 60_000, 90_000
+PART_CACHE, CHUNK_CACHE = 120_000, 150_000
 BATCH_ROWS = 1_000
 SPACE = "▁"            # a space in B's pieces
 
@@ -89,80 +89,92 @@ class Aligner:
         of_bytes.update((b, i) for i, b in enumerate(self.b_bytes) if b is not None and model.pieces[i].type != kind.BYTE)
         self.same = np.array([of_bytes.get(b, -1) for b in self.a_bytes], "int64")
         self.n_b = len(self.b_bytes)
-        self.parts = PieceCache(self.align, PART_CACHE, cut=False)
+        self.a_sizes = np.array([len(b) for b in self.a_bytes])
+        self.b_sizes = np.array([len(b or b"") for b in self.b_bytes])
+        # every id as text with what may follow it: a comma, or the end of its side of a group
+        self.a_text, self.b_text = (np.array([[f"{i}{end}" for i in range(n)] for end in ends], object)
+                                    for n, ends in ((len(self.a_bytes), ",|"), (self.n_b, ",;")))
+        self.parts = PieceCache(self.part, PART_CACHE, cut=False)
         self.chunks = PieceCache(lambda c: self.chunk(" " + c), CHUNK_CACHE)
 
-    def align(self, part: str) -> tuple:
-        """(groups as text, n_a, n_b, n_groups, n_links, A ids of identity groups,
-        ((pair, links), ...) of the others); a single None if the bytes differ."""
-        a, b = list(array("I", self.a.pieces(part))), self.b.encode(part)
+    def part(self, part: str) -> tuple[bytes | None, bytes | None]:
+        """A and B ids as 32-bit bytes; two None if either does not spell the part."""
+        a, b, raw = self.a.pieces(part), array("I", self.b.encode(part)), part.encode()
         b_bytes = [self.b_bytes[i] for i in b]
-        if None in b_bytes or b"".join(b_bytes) != (raw := part.encode()) or b"".join(map(self.a_bytes.__getitem__, a)) != raw:
-            return (None,)
-        groups, ones, pairs, links = [], [], {}, 0
-        i = k = start_i = start_k = at_a = at_b = 0
-        while i < len(a):
-            at_a += len(self.a_bytes[a[i]])
-            i += 1
-            while at_b < at_a:
-                at_b += len(b_bytes[k])
-                k += 1
-            if at_a != at_b:
-                continue
-            some_a, some_b = a[start_i:i], b[start_k:k]
-            groups.append(f"{','.join(map(str, some_a))}|{','.join(map(str, some_b))}")
-            links += len(some_a) * len(some_b)
-            if len(some_a) == len(some_b) == 1 and self.same[some_a[0]] == some_b[0]:
-                ones.append(some_a[0])
-            else:
-                many_b = Counter(some_b).items()
-                for x, m in Counter(some_a).items():
-                    for y, n in many_b:
-                        pairs[x * self.n_b + y] = pairs.get(x * self.n_b + y, 0) + m * n
-            start_i, start_k = i, k
-        return ";".join(groups), len(a), len(b), len(groups), links, tuple(ones), tuple(pairs.items())
-
-    def chunk(self, chunk: str) -> tuple:
-        """``align`` of a chunk with its space, put together from its parts."""
+        if None in b_bytes or b"".join(b_bytes) != raw or b"".join([self.a_bytes[i] for i in array("I", a)]) != raw:
+            return None, None
+        return a, b.tobytes()
+
+    def chunk(self, chunk: str) -> tuple[bytes | None, bytes | None]:
+        """``part`` of a chunk with its space, put together from its parts."""
         cut = self.cut(chunk)
         if len(cut) == 1:
-            return self.parts[chunk] if len(chunk) <= CACHED_CHARS else self.align(chunk)
-        parts = [self.parts[p] if len(p) <= CACHED_CHARS else self.align(p) for p in cut]
+            return self.parts[chunk] if len(chunk) <= CACHED_CHARS else self.part(chunk)
+        parts = [self.parts[p] if len(p) <= CACHED_CHARS else self.part(p) for p in cut]
         if any(p[0] is None for p in parts):
-            return (None,)
-        text, na, nb, ng, nl, ones, pairs = zip(*parts)
-        return ";".join(text), sum(na), sum(nb), sum(ng), sum(nl), sum(ones, ()), sum(pairs, ())
+            return None, None
+        return b"".join([p[0] for p in parts]), b"".join([p[1] for p in parts])
 
-    def document(self, text: str | None) -> tuple | None:
-        """(n_a, n_b, n_groups, n_links, digest, Counter of identity A ids, Counter of pairs), or None."""
-        if not text:
-            return None
-        chunks = text.split(" ")
-        try:
-            known = [self.chunks[c] if len(c) <= CACHED_CHARS else self.long(c) for c in chunks]
-        except UnsafeCut:
-            chunks = safe_parts(text)
-            known = [self.chunk(" " + c) for c in chunks]
-        times = Counter(chunks)
-        of = dict(zip(chunks, known))
-        if any(v[0] is None for v in of.values()):
-            return None
-        na = nb = ng = nl = 0
-        ones, pairs = {}, {}
-        for c, m in times.items():
-            _, a, b, g, n, o, p = of[c]
-            na, nb, ng, nl = na + m * a, nb + m * b, ng + m * g, nl + m * n
-            for x in o:
-                ones[x] = ones.get(x, 0) + m
-            for x, k in p:
-                pairs[x] = pairs.get(x, 0) + m * k
-        return na, nb, ng, nl, hashlib.sha256(";".join([v[0] for v in known]).encode()).hexdigest(), ones, pairs
-
-    def long(self, chunk: str) -> tuple:
+    def long(self, chunk: str) -> tuple[bytes | None, bytes | None]:
         if chunk[0].isspace() or chunk[-1].isspace():
             raise UnsafeCut
         return self.chunk(" " + chunk)
 
+    def ids(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
+        """A and B ids of a space and the text; None if they do not spell it."""
+        try:
+            known = [self.chunks[c] if len(c) <= CACHED_CHARS else self.long(c) for c in text.split(" ")]
+        except UnsafeCut:
+            known = [self.chunk(" " + c) for c in safe_parts(text)]
+        try:
+            return tuple(np.frombuffer(b"".join([k[side] for k in known]), "<u4").astype("int64") for side in (0, 1))
+        except TypeError:  # a None among them
+            return None
+
+    def document(self, text: str | None) -> tuple | None:
+        """(n_a, n_b, n_groups, n_links, digest, identity A ids, how often, pairs, how often), or None."""
+        ids = self.ids(text) if text else None
+        if ids is None:
+            return None
+        a, b = ids
+        a_ends, b_ends = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+        # the tokens after which a group ends
+        a_last = b_ends[np.minimum(np.searchsorted(b_ends, a_ends), len(b) - 1)] == a_ends
+        b_last = a_ends[np.minimum(np.searchsorted(a_ends, b_ends), len(a) - 1)] == b_ends
+        a_to, b_to = np.flatnonzero(a_last) + 1, np.flatnonzero(b_last) + 1
+        a_from, b_from = np.append(0, a_to[:-1]), np.append(0, b_to[:-1])
+        a_many, b_many = a_to - a_from, b_to - b_from
+
+        group = np.concatenate([2 * (np.cumsum(a_last) - a_last), 2 * (np.cumsum(b_last) - b_last) + 1])
+        text_of = np.concatenate([self.a_text[a_last.astype("int8"), a], self.b_text[b_last.astype("int8"), b]])
+        digest = hashlib.sha256("".join(text_of[np.argsort(group, kind="stable")].tolist())[:-1].encode()).hexdigest()
+
+        identity = (a_many == 1) & (b_many == 1)
+        identity[identity] = self.same[a[a_from[identity]]] == b[b_from[identity]]
+        ones, ones_n = np.unique(a[a_from[identity]], return_counts=True)
+        pairs, pairs_n = self.pairs_of(a, b, *(x[~identity] for x in (a_from, a_many, b_from, b_many)))
+        return len(a), len(b), len(a_to), int(a_many @ b_many), digest, ones, ones_n, pairs, pairs_n
+
+    def pairs_of(self, a, b, a_from, a_many, b_from, b_many) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct id pairs of groups, and how often they are linked.  Groups of
+        very many links count their ids first, so none is written out link by link."""
+        some, times = [], []
+        wide = a_many * b_many > 4_096
+        for af, an, bf, bn in zip(*(x[wide].tolist() for x in (a_from, a_many, b_from, b_many))):
+            (x, m), (y, n) = np.unique(a[af:af + an], return_counts=True), np.unique(b[bf:bf + bn], return_counts=True)
+            some.append((x[:, None] * self.n_b + y[None, :]).ravel())
+            times.append((m[:, None] * n[None, :]).ravel())
+        a_from, a_many, b_from, b_many = (x[~wide] for x in (a_from, a_many, b_from, b_many))
+        links = a_many * b_many
+        at = np.arange(links.sum()) - np.repeat(np.cumsum(links) - links, links)
+        per_b = np.repeat(b_many, links)
+        some.append(a[np.repeat(a_from, links) + at // per_b] * self.n_b + b[np.repeat(b_from, links) + at % per_b])
+        times.append(np.ones(len(at), "int64"))
+        pairs, place = np.unique(np.concatenate(some), return_inverse=True)
+        count = np.zeros(len(pairs), "int64")
+        np.add.at(count, place.ravel(), np.concatenate(times))
+        return pairs, count
+
 
 def worker_model(a: str, b: str) -> Aligner:
     """The model of both vocabularies, kept by a Python worker."""
@@ -170,25 +182,30 @@ def worker_model(a: str, b: str) -> Aligner:
 
 
 class TaskCounts:
-    """Documents per pair in one task: a vector over A for identity pairs, a bounded dictionary for the others."""
+    """Documents per pair in one task: a vector over A for identity pairs, a
+    bounded dictionary for the others."""
 
     def __init__(self, model: Aligner):
         self.model, self.vector, self.pairs = model, np.zeros(len(model.a_bytes), "int64"), Counter()
 
-    def add(self, ones: dict, pairs: dict) -> None:
-        if ones:
-            self.vector[list(ones)] += 1
-        same, n_b = self.model.same, self.model.n_b
-        self.pairs.update([p for p in pairs if not (p // n_b in ones and same[p // n_b] == p % n_b)])
-
-    def flush(self, last: bool) -> tuple[list[int], list[int]]:
+    def add(self, ones: np.ndarray, pairs: np.ndarray) -> None:
+        """A document's distinct identity ids and other pairs; a pair that is both counts once."""
+        self.vector[ones] += 1
+        a, b = pairs // self.model.n_b, pairs % self.model.n_b
+        twice = self.model.same[a] == b
+        if twice.any():
+            twice[twice] = np.isin(a[twice], ones)
+            pairs = pairs[~twice]
+        self.pairs.update(pairs.tolist())
+
+    def flush(self, last: bool) -> tuple[np.ndarray, np.ndarray]:
         """Pairs with their counts, handed on and forgotten; the vector only at the end."""
-        pairs, n = list(self.pairs), list(self.pairs.values())
+        pairs, n = np.fromiter(self.pairs, "int64", len(self.pairs)), np.fromiter(self.pairs.values(), "int64", len(self.pairs))
         self.pairs = Counter()
         if last:
             a = np.flatnonzero(self.vector)
-            pairs += (a * self.model.n_b + self.model.same[a]).tolist()
-            n += self.vector[a].tolist()
+            pairs = np.concatenate([pairs, a * self.model.n_b + self.model.same[a]])
+            n = np.concatenate([n, self.vector[a]])
         return pairs, n
 
 
@@ -210,9 +227,8 @@ def links(docs: DataFrame, a: str = A_VOCABULARY, b: str = B_VOCABULARY, id_col:
                     if found is None:
                         rows.append((0, rid, i, 0, 0, 0, 0, "", [], [], [], []))
                     else:
-                        *figures, ones, pairs = found
-                        counts.add(ones, pairs)
-                        rows.append((0, rid, i, *figures, list(ones), list(ones.values()), list(pairs), list(pairs.values())))
+                        counts.add(found[5], found[7])
+                        rows.append((0, rid, i, *found))
                     rid += 1
                 yield batch_of(rows)
                 if len(counts.pairs) > FLUSH_PAIRS:
