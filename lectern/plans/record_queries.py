@@ -316,3 +316,46 @@ def q_jsonl_roundtrip(spark: SparkSession, sf_dir: str):
 def sql_jsonl_roundtrip() -> str:
     one = sql_chat_records()
     return f"SELECT * FROM ({one}) UNION ALL SELECT * FROM ({one})"
+
+
+# --------------------------------------------------------------- quarantine
+# conversations: every turn is a line of JSON, written as text to a fresh folder;
+# by (conv_id * 31 + turn) % 10 a line is cut short (0), lacks its id (1), has
+# text as input (2), or lacks its metadata (3) or input (4).  Read back with the
+# record schema: good lines as records, the others as rejects with their problem.
+
+def q_quarantine(spark: SparkSession, sf_dir: str):
+    import uuid
+
+    from lectern.session import ensure_checkpoint_dir
+    from lectern.sources import readers
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", ((F.col("conv_id") * 31 + F.col("turn")) % 10).alias("kind"))
+    kind = F.col("kind")
+    field = lambda k, text: F.when(kind == k, F.lit(None).cast("string")).otherwise(text)
+    body = F.concat_ws(",", F.when(kind == 2, '"input":"text"').otherwise(field(4, F.lit('"input":[]'))),
+                       F.concat(F.lit('"target":"t'), F.col("turn"), F.lit('"')),
+                       field(1, F.concat(F.lit('"id":"'), F.col("conv_id"), F.lit("-"), F.col("turn"), F.lit('"'))),
+                       field(3, F.concat(F.lit('"metadata":{"points":'), F.col("turn"), F.lit("}"))))
+    line = F.concat(F.lit("{"), body, F.lit("}"))
+    line = F.when(kind == 0, line.substr(F.lit(1), F.length(line) - 3)).otherwise(line)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lectern-lines-{uuid.uuid4().hex}"
+    c.select(line.alias("value")).write.text(path)
+    records, rejects = readers.read_records_checked(spark, path)
+    none = F.lit(None).cast("string")
+    return records.select("id", F.col("metadata.points").cast("bigint").alias("points"), none.alias("problem"), none.alias("raw")).unionByName(
+        rejects.select(none.alias("id"), F.lit(None).cast("bigint").alias("points"), "problem", "raw"))
+
+
+def sql_quarantine() -> str:
+    def line(k: int) -> str:
+        parts = [None if k == 4 else "'\"input\":\"text\"'" if k == 2 else "'\"input\":[]'", "'\"target\":\"t' || turn || '\"'",
+                 None if k == 1 else "'\"id\":\"' || conv_id || '-' || turn || '\"'",
+                 None if k == 3 else "'\"metadata\":{\"points\":' || turn || '}'"]
+        return "'{' || " + " || ',' || ".join(p for p in parts if p) + " || '}'"
+    cut = f"left({line(0)}, length({line(0)}) - 3)"
+    problems = {0: "not a record", 1: "no id", 2: "not a record", 3: "no metadata", 4: "no input"}
+    problem = " ".join(f"WHEN {k} THEN '{p}'" for k, p in problems.items())
+    raw = " ".join(f"WHEN {k} THEN {cut if k == 0 else line(k)}" for k in problems)
+    return f"""SELECT CASE WHEN kind >= 5 THEN conv_id || '-' || turn END AS id, CASE WHEN kind >= 5 THEN turn END::BIGINT AS points,
+       CASE kind {problem} END AS problem, CASE kind {raw} END AS raw
+FROM (SELECT conv_id, turn, (conv_id * 31 + turn) % 10 AS kind FROM conversations)"""

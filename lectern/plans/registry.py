@@ -5,6 +5,7 @@ from __future__ import annotations
 from lectern.plans import asset_queries as AQ
 from lectern.plans import block_queries as BQ
 from lectern.plans import build_queries as BDQ
+from lectern.plans import exam_queries as EQ
 from lectern.plans import record_queries as RQ
 from lectern.plans import score_queries as SQ
 from lectern.plans import table_queries as TBQ
@@ -46,6 +47,9 @@ QUERIES = {
     "build_records": BDQ.q_build_records,
     "build_problems": BDQ.q_build_problems,
     "build_images": BDQ.q_build_images,
+    "exam_dataset": EQ.q_exam_dataset,
+    "exam_reports": EQ.q_exam_reports,
+    "quarantine": RQ.q_quarantine,
 }
 
 ORACLE = {
@@ -84,4 +88,7 @@ ORACLE = {
     "build_records": BDQ.sql_build_records,
     "build_problems": BDQ.sql_build_problems,
     "build_images": BDQ.sql_build_images,
+    "exam_dataset": EQ.sql_exam_dataset,
+    "exam_reports": EQ.sql_exam_reports,
+    "quarantine": RQ.sql_quarantine,
 }
