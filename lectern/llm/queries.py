@@ -144,12 +144,12 @@ def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sql_op8() -> str:
     return f"""
-WITH e AS (SELECT vec_id, [floor({topk.SCALE} * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings
+WITH e AS (SELECT row_number() OVER () AS rid, vec_id, [floor({topk.SCALE} * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings
            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
              AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
-s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum([x[1] * x[2] FOR x IN list_zip(q.v, c.v)])::BIGINT AS score
-      FROM e q JOIN e c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
-r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+s AS (SELECT q.rid, q.vec_id AS query_id, c.vec_id, list_sum([x[1] * x[2] FOR x IN list_zip(q.v, c.v)])::BIGINT AS score
+      FROM e q JOIN e c ON q.rid <> c.rid WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10"""
 
 

@@ -22,9 +22,11 @@ and each query keeps at most k rows per scored block.
 
 Edge cases: NULL vectors and vectors holding NULL, NaN or infinity take no
 part; shorter vectors count as padded with zeros; ids may repeat (each row is a
-candidate, the query's own id is not); fewer candidates than k gives all; an
-empty table gives an empty result.  Sums are exact while the products stay
-below 2**53 in total, else Python integers are used.
+query or candidate of its own, only a query's own row is none of its candidates);
+fewer candidates than k gives all; an empty table gives an empty result.  Sums
+are exact while the products stay below 2**53 in total, else Python integers are
+used; components and scores beyond 64 bits count as the greatest (least) number,
+so such scores tie and the smaller id goes first.
 """
 
 from __future__ import annotations
@@ -39,6 +41,7 @@ from pyspark.sql import functions as F
 from lectern.llm.common import written
 
 SCALE = 1024
+LARGEST = 2 ** 63 - 1
 BLOCK_ROWS = 512
 QUERY_ROWS = 64
 FIRST = 2
@@ -47,12 +50,12 @@ _HASH_DIMS = 1 << 16
 
 
 def integer_vectors(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = SCALE) -> DataFrame:
-    """(vec_id, v array<long>): floor(scale * x) of the vectors that take part."""
+    """(vec_id, v array<long>, rid): floor(scale * x) of the vectors that take part, and the number of the row."""
     v = F.transform(F.col(vector_col), lambda x: x.cast("double"))
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return (table.select(F.col(id_col).cast("long").alias("vec_id"), v.alias("x"), fine.alias("fine"))
             .where("vec_id IS NOT NULL AND x IS NOT NULL AND fine")
-            .select("vec_id", F.transform("x", lambda x: F.floor(x * scale)).alias("v")))
+            .select("vec_id", F.transform("x", lambda x: F.floor(x * scale)).alias("v"), F.monotonically_increasing_id().alias("rid")))
 
 
 def _matrix(lists: pa.ListArray, dims: int) -> np.ndarray:
@@ -71,7 +74,8 @@ def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     top = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * a.shape[1]
     if top < 2.0 ** 53:
         return (a.astype("float64") @ b.T.astype("float64")).astype("int64")
-    return np.array(a.astype(object) @ b.T.astype(object))
+    exact = a.astype(object) @ b.T.astype(object)
+    return np.minimum(np.maximum(exact, -LARGEST), LARGEST).astype("int64")
 
 
 def locality(vectors: DataFrame, bits: int = KEY_BITS, seed: int = KEY_SEED) -> DataFrame:
@@ -83,38 +87,38 @@ def locality(vectors: DataFrame, bits: int = KEY_BITS, seed: int = KEY_SEED) ->
             plane = np.random.default_rng(seed).standard_normal((_HASH_DIMS, bits))[:dims] if dims <= _HASH_DIMS else \
                 np.random.default_rng(seed).standard_normal((dims, bits))
             signs = (_matrix(lists, dims).astype("float64") @ plane) > 0
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(signs @ (1 << np.arange(bits)), pa.int64())],
-                                             ["vec_id", "v", "key"])
-    return vectors.mapInArrow(run, "vec_id long, v array<long>, key long")
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists, batch.column(2), pa.array(signs @ (1 << np.arange(bits)), pa.int64())],
+                                             ["vec_id", "v", "rid", "key"])
+    return vectors.select("vec_id", "v", "rid").mapInArrow(run, "vec_id long, v array<long>, rid long, key long")
 
 
 def blocks(vectors: DataFrame, dims: int, rows: int = BLOCK_ROWS) -> DataFrame:
-    """(block, ids, matrix, lo, hi): forward indexes and component bounds of
+    """(block, ids, rids, matrix, lo, hi): forward indexes and component bounds of
     runs of neighbouring documents.  Written once, as later passes must see the
     same blocks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, rows):
                 part = batch.slice(at, rows)
-                m, ids = _matrix(part.column(1), dims), part.column(0).to_numpy().astype("int64")
+                m, ids, rids = _matrix(part.column(1), dims), *(part.column(c).to_numpy().astype("int64") for c in (0, 2))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([x.tobytes()], pa.binary()) for x in (ids, m, m.min(0), m.max(0))], ["ids", "matrix", "lo", "hi"])
+                    [pa.array([x.tobytes()], pa.binary()) for x in (ids, rids, m, m.min(0), m.max(0))], ["ids", "rids", "matrix", "lo", "hi"])
     ordered = locality(vectors).repartitionByRange("key", "vec_id").sortWithinPartitions("key", "vec_id")
-    b = ordered.select("vec_id", "v").mapInArrow(run, "ids binary, matrix binary, lo binary, hi binary")
+    b = ordered.select("vec_id", "v", "rid").mapInArrow(run, "ids binary, rids binary, matrix binary, lo binary, hi binary")
     return written(b.select(F.monotonically_increasing_id().alias("block"), "*"), "topk-blocks")
 
 
 def query_groups(vectors: DataFrame, dims: int, is_query, rows: int = QUERY_ROWS) -> DataFrame:
-    """(group, ids, matrix) of the queries, ``rows`` at a time."""
+    """(group, ids, rids, matrix) of the queries, ``rows`` at a time."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, rows):
                 part = batch.slice(at, rows)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([part.column(0).to_numpy().astype("int64").tobytes()], pa.binary()),
-                     pa.array([_matrix(part.column(1), dims).tobytes()], pa.binary())], ["ids", "matrix"])
-    q = vectors.where(is_query).repartitionByRange("vec_id").sortWithinPartitions("vec_id")
-    q = q.mapInArrow(run, "ids binary, matrix binary")
+                    [*(pa.array([part.column(c).to_numpy().astype("int64").tobytes()], pa.binary()) for c in (0, 2)),
+                     pa.array([_matrix(part.column(1), dims).tobytes()], pa.binary())], ["ids", "rids", "matrix"])
+    q = vectors.where(is_query).select("vec_id", "v", "rid").repartitionByRange("vec_id").sortWithinPartitions("vec_id")
+    q = q.mapInArrow(run, "ids binary, rids binary, matrix binary")
     return written(q.select(F.monotonically_increasing_id().alias("group"), "*"), "topk-queries")
 
 
@@ -147,7 +151,7 @@ def bounds(groups: DataFrame, block_bounds: DataFrame, dims: int, floors: DataFr
                 b = row["b"].as_py()
                 lo, hi = (np.stack([np.frombuffer(x[s], "int64") for x in b]).astype("float64") for s in ("lo", "hi"))
                 up = np.maximum(q, 0) @ hi.T + np.minimum(q, 0) @ lo.T
-                up += np.abs(up) * 1e-9  # never below the true bound, whatever the rounding
+                up += np.abs(q) @ np.maximum(np.abs(lo), np.abs(hi)).T * 1e-9  # never below the true bound: rounding is relative to the products
                 block = np.array([x["block"] for x in b])
                 if starting:
                     top = min(first, len(block))
@@ -184,8 +188,8 @@ def _packs(block_bounds: DataFrame) -> int:
 
 def scored(sent: DataFrame, groups: DataFrame, block_table: DataFrame, dims: int, k: int) -> DataFrame:
     """(group, row, query_id, vec_id, score, block): the k best of each block for the queries sent to it."""
-    j = (sent.join(groups.select("group", F.col("ids").alias("q_ids"), F.col("matrix").alias("q")), "group")
-         .join(block_table.select("block", "ids", "matrix"), "block"))
+    j = (sent.join(groups.select("group", F.col("ids").alias("q_ids"), F.col("rids").alias("q_rids"), F.col("matrix").alias("q")), "group")
+         .join(block_table.select("block", "ids", "rids", "matrix"), "block"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["group", "row", "query_id", "vec_id", "score", "block"]
@@ -193,15 +197,15 @@ def scored(sent: DataFrame, groups: DataFrame, block_table: DataFrame, dims: int
             for r in range(batch.num_rows):
                 row = {n: batch.column(n)[r] for n in batch.schema.names}
                 at = np.array(row["rows"].as_py(), "int64")
-                q_ids, q = _int64(row["q_ids"])[at], _int64(row["q"], dims)[at]
-                ids, m = _int64(row["ids"]), _int64(row["matrix"], dims)
+                q_ids, q_rids, q = _int64(row["q_ids"])[at], _int64(row["q_rids"])[at], _int64(row["q"], dims)[at]
+                ids, rids, m = _int64(row["ids"]), _int64(row["rids"]), _int64(row["matrix"], dims)
                 s = _product(q, m)
                 order = np.argsort(ids, kind="stable")  # then a stable sort by score leaves ties by id
-                ids, s = ids[order], s[:, order]
+                ids, rids, s = ids[order], rids[order], s[:, order]
                 out = [[], [], [], []]
                 for x in range(len(at)):
-                    own = np.flatnonzero(ids != q_ids[x])
-                    best = own[np.argsort(-s[x][own], kind="stable")[:k]]
+                    others = np.flatnonzero(rids != q_rids[x])
+                    best = others[np.argsort(-s[x][others], kind="stable")[:k]]
                     out[0].append(np.full(len(best), at[x]))
                     out[1].append(np.full(len(best), q_ids[x]))
                     out[2].append(ids[best])

@@ -16,9 +16,9 @@ def brute_topk(rows, k):
     v = [(i, [math.floor(1024 * x) for x in e]) for i, e in rows
          if i is not None and e is not None and all(x is not None and math.isfinite(x) for x in e)]
     out = []
-    for q, a in v:
+    for at, (q, a) in enumerate(v):
         if q % 100 == 0:
-            s = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in v if i != q)[:k]
+            s = sorted((-sum(x * y for x, y in zip(a, b)), i) for n, (i, b) in enumerate(v) if n != at)[:k]
             out += [(q, n + 1, i, -x) for n, (x, i) in enumerate(s)]
     return sorted(out)
 
@@ -44,9 +44,39 @@ def test_topk_few_and_none(spark):
     assert topk.search(df.limit(0), F.lit(True)).count() == 0
 
 
+def test_topk_repeated_ids_are_rows_of_their_own(spark):
+    rows = [(0, [1.0, 2.0]), (0, [2.0, 1.0]), (0, [1.0, 2.0]), (1, [3.0, 0.0]), (100, [0.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    assert H.by_id(topk.search(df, F.col("vec_id") % 100 == 0), "query_id", "rank", "vec_id", "score") == sorted(brute_topk(rows, 10), key=repr)
+
+
+def test_topk_huge_components_have_a_result(spark):
+    rows = [(0, [1e12, -1e12]), (1, [1e12, 0.0]), (2, [1e300, 1.0]), (3, [-1e12, 0.0]), (4, [1e12, -1e12]), (5, [-1e300, 0.0]), (6, [0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = H.by_id(topk.search(df, F.col("vec_id") % 100 == 0), "rank", "vec_id", "score")
+    top = 2 ** 63 - 1  # scores beyond 64 bits tie at the ends of the range
+    assert got == [(1, 1, top), (2, 2, top), (3, 4, top), (4, 6, 0), (5, 3, -top), (6, 5, -top)]
+
+
+def test_topk_bounds_where_large_terms_cancel(spark, monkeypatch):
+    """Rounding of large cancelling products never hides a block that holds a result."""
+    r = np.random.default_rng(8)
+    rows = []
+    for i in range(400):
+        big = float(r.integers(1, 50)) * 2.0 ** 40
+        rows.append((i, [big, -big, float(r.integers(-3, 4)), 1.0]))
+    rows[0] = (0, [2.0 ** 45, 2.0 ** 45, 1.0, 1.0])
+    monkeypatch.setattr(topk.blocks, "__defaults__", (8,))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = H.by_id(topk.search(df, F.col("vec_id") == 0), "query_id", "rank", "vec_id", "score")
+    assert got == sorted((x for x in brute_topk(rows, 10) if x[0] == 0), key=repr)
+
+
 def test_topk_large_components_stay_exact():
     a, b = np.array([[2 ** 40, 3]]), np.array([[2 ** 41, 7]])
-    assert topk._product(a, b)[0, 0] == 2 ** 81 + 21
+    assert topk._product(a, b)[0, 0] == 2 ** 63 - 1  # 2 ** 81 + 21, beyond 64 bits
+    a, b = np.array([[2 ** 30, 3]]), np.array([[2 ** 30, 7]])
+    assert topk._product(a, b)[0, 0] == 2 ** 60 + 21
 
 
 def brute_classes(rows, n, num, den=100):
