@@ -40,10 +40,11 @@ FAMILIES = {
     "slavic": ("be", "bg", "cs", "hr", "mk", "pl", "ru", "sk", "sl", "sr", "uk"),
 }
 BUCKETS = 1 << 13
-PER_LANGUAGE = 250
+PER_LANGUAGE, IN_ALL = 250, 1_500   # sampled documents: of a language, and of all languages together
 EXCERPTS, EXCERPT_CHARS = 3, 60
 COST, EPOCHS = 1.0, 15
 UNDETERMINED = "und"
+MOST_GATHERED = 20_000_000      # weights (trigrams x machines) summed row by row
 
 _LETTER = re.compile(r"[^\W\d_]")
 # ASCII other than letters becomes a space; bytes of longer characters stay.
@@ -129,7 +130,12 @@ def predict(model: dict, texts: list[str | None]) -> list[tuple[str, float]]:
         if lettered:
             codes, starts = trigrams(lettered)
             n = np.diff(np.append(starts, len(codes)))
-            total = np.add.reduceat(model["weights"][codes], starts, axis=0) if len(model["jobs"]) else np.zeros((len(n), 0))
+            if not model["jobs"]:
+                total = np.zeros((len(n), 0))
+            elif len(codes) * len(model["jobs"]) > MOST_GATHERED:  # count buckets first: no row of weights for every trigram
+                total = np.stack([np.bincount(c, minlength=BUCKETS) @ model["weights"] for c in np.split(codes, starts[1:])])
+            else:
+                total = np.add.reduceat(model["weights"][codes], starts, axis=0)
             margins = iter(total / n[:, None] + model["constants"])
         out += [_decide(model, next(margins)) if model["langs"] and _LETTER.search(t) else (UNDETERMINED, 0.0) for t in some]
     return out
@@ -159,11 +165,15 @@ def held_out(key: Column) -> Column:
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          per_language: int = PER_LANGUAGE) -> dict:
-    """Model from the documents that are not held out."""
+          per_language: int = PER_LANGUAGE, in_all: int = IN_ALL) -> dict:
+    """Model from the documents that are not held out: a hash sample of about
+    ``per_language`` of each language, fewer where there are so many languages
+    that all together would be more than ``in_all``, so what reaches the driver
+    (and its matrix of products) does not grow with the languages."""
     d = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.col(lang_col).alias("_lang"))
     d = d.where(F.col("_lang").isNotNull() & ~held_out(F.col("_id")))
-    rate = written(d.groupBy("_lang").agg((F.lit(float(per_language)) / F.count("*")).alias("_rate")), "langid-rates")
+    sizes = written(d.groupBy("_lang").agg(F.count("*").alias("_n")), "langid-sizes")
+    rate = sizes.select("_lang", (F.lit(min(float(per_language), in_all / max(sizes.count(), 1))) / F.col("_n")).alias("_rate"))
     at = unit_hash(F.col("_id"), seed="langid-train")
     sample = d.join(rate, "_lang").where(at < F.col("_rate")).select("_id", "_lang", "_text")
 
