@@ -30,6 +30,7 @@ ones are ignored.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 from array import array
 from collections import Counter
@@ -41,10 +42,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.bpe import pretoken_pattern, vocabulary_path
+from lectern.llm.bpe import byte_characters, pretoken_pattern, vocabulary_path
 from lectern.llm.chunks import PieceCache, UnsafeCut, safe_parts, without_gc, word_cutter
 from lectern.llm.common import kept, written
-from lectern.llm.token_output import JsonBpe
 
 A_VOCABULARY, B_VOCABULARY = "byte_bpe_50k.json", "piece_bpe_32k.model"
 HOT_PAIRS = 300_000         # pair counts that are broadcast (16 bytes each)
@@ -63,14 +63,22 @@ class Aligner:
 
     def __init__(self, a_path: str, b_path: str, pattern: str):
         import sentencepiece
+        import tiktoken
         from sentencepiece import sentencepiece_model_pb2 as pb
 
-        self.a = JsonBpe(a_path, pattern, special_as_text=True)
-        byte_of = {c: b for b, c in self.a.to_chars.items()}
-        vocabulary = self.a.tokenizer.get_vocab()
-        self.a_bytes: list[bytes] = [b""] * (max(vocabulary.values()) + 1)
-        for token, i in vocabulary.items():
-            self.a_bytes[i] = bytes(byte_of[c] for c in token) if all(c in byte_of for c in token) else token.encode()
+        # A as ranks: where every merge makes the next id, merging by rank gives the ids of the file's own merges.
+        with open(a_path, encoding="utf-8") as f:
+            a = json.load(f)
+        added = {t["content"] for t in a.get("added_tokens", ())}
+        merges = [m.split(" ") if isinstance(m, str) else m for m in a["model"]["merges"]]
+        if a.get("normalizer") or any(a["model"]["vocab"][x + y] != 256 + k for k, (x, y) in enumerate(merges)):
+            raise ValueError("vocabulary A changes texts, or its ids do not follow its merges")
+        byte_of = {c: b for b, c in enumerate(byte_characters())}
+        ranks = {bytes(byte_of[c] for c in t): i for t, i in a["model"]["vocab"].items() if t not in added}
+        self.a = tiktoken.Encoding("A", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.a_bytes: list[bytes] = [b""] * (max(ranks.values()) + 1)
+        for token, i in ranks.items():
+            self.a_bytes[i] = token
         model = pb.ModelProto()
         with open(b_path, "rb") as f:
             model.ParseFromString(f.read())
@@ -98,12 +106,23 @@ class Aligner:
         self.chunks = PieceCache(lambda c: self.chunk(" " + c), CHUNK_CACHE)
 
     def part(self, part: str) -> tuple[bytes | None, bytes | None]:
-        """A and B ids as 32-bit bytes; two None if either does not spell the part."""
-        a, b, raw = self.a.pieces(part), array("I", self.b.encode(part)), part.encode()
+        """A and B ids as 32-bit bytes; two None if B does not spell the part."""
+        return self.spelled(part, self.b.encode(part))
+
+    def spelled(self, part: str, b: list[int]) -> tuple[bytes | None, bytes | None]:
         b_bytes = [self.b_bytes[i] for i in b]
-        if None in b_bytes or b"".join(b_bytes) != raw or b"".join([self.a_bytes[i] for i in array("I", a)]) != raw:
+        if None in b_bytes or b"".join(b_bytes) != part.encode():  # A has every byte and spells anything
             return None, None
-        return a, b.tobytes()
+        return array("I", self.a.encode_ordinary(part)).tobytes(), array("I", b).tobytes()
+
+    def learn(self, texts: list[str | None]) -> None:
+        """Parts of new chunks through B in one call, which costs half of single calls."""
+        chunks = self.chunks.unknown(set().union(*[t.split(" ") for t in texts if t]))
+        parts = self.parts.unknown({p for c in chunks if c and len(c) < CACHED_CHARS and not (c[0].isspace() or c[-1].isspace())
+                                    for p in self.cut(" " + c)})
+        new = list(parts)[:PART_CACHE]
+        for p, b in zip(new, self.b.encode(new, num_threads=1) if new else []):
+            self.parts.put(p, self.spelled(p, b))
 
     def chunk(self, chunk: str) -> tuple[bytes | None, bytes | None]:
         """``part`` of a chunk with its space, put together from its parts."""
@@ -145,9 +164,10 @@ class Aligner:
         a_from, b_from = np.append(0, a_to[:-1]), np.append(0, b_to[:-1])
         a_many, b_many = a_to - a_from, b_to - b_from
 
-        group = np.concatenate([2 * (np.cumsum(a_last) - a_last), 2 * (np.cumsum(b_last) - b_last) + 1])
-        text_of = np.concatenate([self.a_text[a_last.astype("int8"), a], self.b_text[b_last.astype("int8"), b]])
-        digest = hashlib.sha256("".join(text_of[np.argsort(group, kind="stable")].tolist())[:-1].encode()).hexdigest()
+        text_of = np.empty(len(a) + len(b), object)  # an A token stands behind the B tokens of earlier groups, a B token behind the A tokens so far
+        text_of[np.arange(len(a)) + np.repeat(b_from, a_many)] = self.a_text[a_last.astype("int8"), a]
+        text_of[np.arange(len(b)) + np.repeat(a_to, b_many)] = self.b_text[b_last.astype("int8"), b]
+        digest = hashlib.sha256("".join(text_of.tolist())[:-1].encode()).hexdigest()
 
         identity = (a_many == 1) & (b_many == 1)
         identity[identity] = self.same[a[a_from[identity]]] == b[b_from[identity]]
@@ -158,22 +178,22 @@ class Aligner:
     def pairs_of(self, a, b, a_from, a_many, b_from, b_many) -> tuple[np.ndarray, np.ndarray]:
         """Distinct id pairs of groups, and how often they are linked.  Groups of
         very many links count their ids first, so none is written out link by link."""
-        some, times = [], []
         wide = a_many * b_many > 4_096
-        for af, an, bf, bn in zip(*(x[wide].tolist() for x in (a_from, a_many, b_from, b_many))):
-            (x, m), (y, n) = np.unique(a[af:af + an], return_counts=True), np.unique(b[bf:bf + bn], return_counts=True)
-            some.append((x[:, None] * self.n_b + y[None, :]).ravel())
-            times.append((m[:, None] * n[None, :]).ravel())
-        a_from, a_many, b_from, b_many = (x[~wide] for x in (a_from, a_many, b_from, b_many))
+        pairs, count = self.narrow_pairs(a, b, *(x[~wide] for x in (a_from, a_many, b_from, b_many)))
+        if wide.any():
+            total = Counter(dict(zip(pairs.tolist(), count.tolist())))
+            for af, an, bf, bn in zip(*(x[wide].tolist() for x in (a_from, a_many, b_from, b_many))):
+                (x, m), (y, n) = np.unique(a[af:af + an], return_counts=True), np.unique(b[bf:bf + bn], return_counts=True)
+                total.update(dict(zip((x[:, None] * self.n_b + y[None, :]).ravel().tolist(), (m[:, None] * n[None, :]).ravel().tolist())))
+            pairs, count = np.fromiter(total, "int64", len(total)), np.fromiter(total.values(), "int64", len(total))
+        return pairs, count
+
+    def narrow_pairs(self, a, b, a_from, a_many, b_from, b_many) -> tuple[np.ndarray, np.ndarray]:
         links = a_many * b_many
         at = np.arange(links.sum()) - np.repeat(np.cumsum(links) - links, links)
         per_b = np.repeat(b_many, links)
-        some.append(a[np.repeat(a_from, links) + at // per_b] * self.n_b + b[np.repeat(b_from, links) + at % per_b])
-        times.append(np.ones(len(at), "int64"))
-        pairs, place = np.unique(np.concatenate(some), return_inverse=True)
-        count = np.zeros(len(pairs), "int64")
-        np.add.at(count, place.ravel(), np.concatenate(times))
-        return pairs, count
+        return np.unique(a[np.repeat(a_from, links) + at // per_b] * self.n_b + b[np.repeat(b_from, links) + at % per_b],
+                         return_counts=True)
 
 
 def worker_model(a: str, b: str) -> Aligner:
@@ -222,7 +242,9 @@ def links(docs: DataFrame, a: str = A_VOCABULARY, b: str = B_VOCABULARY, id_col:
         for batch in without_gc(batches):
             for at in range(0, batch.num_rows, 256):
                 some, rows = batch.slice(at, 256), []
-                for i, text in zip(some.column(0).to_pylist(), some.column(1).to_pylist()):
+                texts = some.column(1).to_pylist()
+                model.learn(texts)
+                for i, text in zip(some.column(0).to_pylist(), texts):
                     found = model.document(text)
                     if found is None:
                         rows.append((0, rid, i, 0, 0, 0, 0, "", [], [], [], []))

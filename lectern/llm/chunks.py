@@ -115,11 +115,17 @@ class PieceCache(dict):
             if self.cut and (not chunk or chunk[0].isspace() or chunk[-1].isspace()):
                 raise UnsafeCut
             value = self.make(chunk)
+        self.put(chunk, value)
+        return value
+
+    def put(self, chunk: str, value) -> None:
         if len(self) >= self.limit:
             self.old = dict(self)
             self.clear()
         self[chunk] = value
-        return value
+
+    def unknown(self, chunks: set[str]) -> set[str]:
+        return {c for c in chunks if c not in self and c not in self.old}
 
 
 def safe_parts(text: str) -> list[str]:
