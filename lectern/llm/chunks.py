@@ -17,6 +17,7 @@ from collections.abc import Callable, Iterable, Iterator
 # A chunk that is one word of Latin letters, with or without a comma or full stop after it, or two such with a newline between.
 _WORD = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+"
 _PLAIN = re.compile(f"( ?{_WORD})([.,]?)(?:(\n)({_WORD})([.,]?))?").fullmatch
+latin_word = re.compile(_WORD).fullmatch
 _SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
 
 

@@ -29,13 +29,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lectern.llm.bpe import byte_characters, pretoken_pattern, vocabulary_path
-from lectern.llm.chunks import PieceCache, UnsafeCut, pre_token_cutter, safe_parts, without_gc
+from lectern.llm.chunks import PieceCache, UnsafeCut, latin_word, pre_token_cutter, safe_parts, without_gc
 from lectern.llm.common import kept, written
 from lectern.session import ensure_checkpoint_dir
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
-TOKEN_CACHE, CHUNK_CACHE = 250_000, 350_000     # entries of a generation, two are kept
+TOKEN_CACHE, CHUNK_CACHE = 350_000, 450_000     # entries of a generation, two are kept
 ROW_INDEX = 1_000
 STRIPE_BYTES = 64 << 20
 ORC_OPTIONS = {"compression": "zstd", "orc.stripe.size": str(STRIPE_BYTES), "orc.row.index.stride": str(ROW_INDEX),
@@ -64,12 +64,24 @@ class JsonBpe:
         self.cut = pre_token_cutter(pattern)
         self.to_chars = dict(enumerate(byte_characters()))
         self.tokens = PieceCache(self.token_ids, TOKEN_CACHE, cut=False)
-        self.chunks = PieceCache(lambda c: self.pieces(" " + c), CHUNK_CACHE)
+        self.chunks = PieceCache(self.chunk, CHUNK_CACHE)
+        self.space = self.to_chars[0x20]
 
     def token_ids(self, token: str) -> bytes:
-        mapped = token.encode("utf-8").decode("latin-1").translate(self.to_chars)
+        if token.isascii() and token.isprintable():  # of these only the space has a character of its own
+            mapped = token.replace(" ", self.space)
+        else:
+            mapped = token.encode("utf-8").decode("latin-1").translate(self.to_chars)
         return array("I", [t.id for t in self.tokenizer.model.tokenize(mapped)]).tobytes()
 
+    def chunk(self, chunk: str) -> bytes:
+        """Ids of a chunk behind a space.  Letters are one pre-token, with or without a mark behind them."""
+        if latin_word(chunk):
+            return self.tokens[" " + chunk]
+        if chunk[-1] in ".,!?" and latin_word(word := chunk[:-1]):
+            return self.tokens[" " + word] + self.tokens[chunk[-1]]
+        return self.pieces(" " + chunk)
+
     def pieces(self, chunk: str) -> bytes:
         """Ids of a chunk with its leading space."""
         return b"".join([self.tokens[t] for t in self.cut(chunk)])
@@ -100,18 +112,19 @@ def encode_in_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     vocabulary: str = VOCABULARY, end_id: int = END_ID, special_as_text: bool = False) -> DataFrame:
     """(doc_id, part, before, n_tokens, ids) in ascending id order over the partitions;
     ``before`` counts the ids of the earlier documents of the same partition."""
-    end = np.array([end_id], "int32")
+    end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, part, before = worker_model(vocabulary_path(vocabulary), special_as_text), TaskContext.get().partitionId(), 0
         for batch in without_gc(batches):
             for at in range(0, batch.num_rows, 512):
                 some = batch.slice(at, 512)
-                ids = [np.append(np.frombuffer(b, "<u4").astype("int32"), end) for b in model.encode(some.column(1).to_pylist())]
-                ends = np.cumsum([0] + [len(i) for i in ids])
+                ids = list(model.encode(some.column(1).to_pylist()))
+                ends = np.cumsum([0] + [len(b) // 4 + 1 for b in ids])
+                flat = np.frombuffer(end.join([*ids, b""]), "<i4")
                 yield pa.RecordBatch.from_arrays(
                     [some.column(0), pa.array(np.full(len(ids), part, "int32")), pa.array(before + ends[:-1]),
-                     pa.array(np.diff(ends).astype("int32")), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids)))],
+                     pa.array(np.diff(ends).astype("int32")), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))],
                     ["doc_id", "part", "before", "n_tokens", "ids"])
                 before += int(ends[-1])
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
