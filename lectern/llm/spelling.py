@@ -45,6 +45,8 @@ MAX_LEAVES = 16_384         # boxes of all top trees together (they are broadcas
 SAMPLE_WORDS = 50_000       # words that the top trees are grown from
 GROUP_ROWS = 20_000         # points, and askers, of one task's group
 GROUP_CHARS = 4_000_000
+FEW_PAIRS = 64              # word pairs of two vectors that are compared in bulk
+SPLIT_LETTERS = 8           # letters that vary most, among which a node of a tree is split
 BUCKET = 96                 # letter-count vectors of a bucket of a task's tree
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -84,10 +86,10 @@ def letter_counts(words: list[str]) -> np.ndarray:
 
 
 def best_split(v: np.ndarray) -> tuple[int, int] | None:
-    """(letter, count) so that counts up to it hold as near to half of the rows
-    as any; None if all rows are equal."""
-    best = None
-    for d in np.flatnonzero(v.min(0) != v.max(0)).tolist():
+    """(letter, count), of the letters that vary most, so that counts up to it
+    hold as near to half of the rows as any; None if all rows are equal."""
+    best, spread = None, v.var(0)
+    for d in [d for d in np.argsort(-spread, kind="stable")[:SPLIT_LETTERS].tolist() if spread[d] > 0]:
         upto = np.cumsum(np.bincount(v[:, d]))[:-1]
         t = int(np.abs(upto - len(v) / 2).argmin())
         off = abs(int(upto[t]) - len(v) / 2)
@@ -143,27 +145,37 @@ def search(points: np.ndarray, asked: np.ndarray, minus: int) -> Iterator[tuple[
     p, q = points[:, used].astype(exact), asked[:, used].astype(exact)
     p2, q2 = np.einsum("ij,ij->i", p, p), np.einsum("ij,ij->i", q, q)
 
-    def walk(rows: np.ndarray, ask: np.ndarray):
+    def node(rows: np.ndarray) -> tuple:
+        """(least counts, greatest counts, (low side, high side) or (rows, points, squares))."""
+        box = p[rows].min(0), p[rows].max(0)
+        split = best_split(points[rows]) if len(rows) > BUCKET else None
+        if split is None:
+            return *box, None, (rows, p[rows].T.copy(), p2[rows])
+        low = points[rows, split[0]] <= split[1]
+        return *box, (node(rows[low]), node(rows[~low])), None
+
+    def walk(at: tuple, ask: np.ndarray):
+        lo, hi, sides, bucket = at
         some = q[ask]
-        off = some - np.clip(some, p[rows].min(0), p[rows].max(0))
+        off = some - np.clip(some, lo, hi)
         ask = ask[np.einsum("ij,ij->i", off, off) <= 1 + minus]
         if not len(ask):
             return
-        split = best_split(points[rows]) if len(rows) > BUCKET else None
-        if split is None:
-            for at in range(0, len(ask), 1_024):
-                one = ask[at:at + 1_024]
-                i, k = np.nonzero(q2[one][:, None] + p2[rows][None, :] - 2 * (q[one] @ p[rows].T) == 1 + minus)
-                if len(i):
-                    yield one[i], rows[k]
+        if sides:
+            yield from walk(sides[0], ask)
+            yield from walk(sides[1], ask)
             return
-        low = points[rows, split[0]] <= split[1]
-        yield from walk(rows[low], ask)
-        yield from walk(rows[~low], ask)
+        rows, columns, squares = bucket
+        for k in range(0, len(ask), 1_024):
+            one = ask[k:k + 1_024]
+            i, j = np.nonzero(q2[one][:, None] + squares[None, :] - 2 * (q[one] @ columns) == 1 + minus)
+            if len(i):
+                yield one[i], rows[j]
 
     if len(points) and len(asked):
+        tree = node(np.arange(len(points)))
         for at in range(0, len(asked), 8_192):
-            yield from walk(np.arange(len(points)), np.arange(at, min(at + 8_192, len(asked))))
+            yield from walk(tree, np.arange(at, min(at + 8_192, len(asked))))
 
 
 def one_edit(short: str, long: str) -> bool:
@@ -206,28 +218,30 @@ def edited_once(short: np.ndarray, long: np.ndarray) -> np.ndarray:
 def near_in_group(points: list[str], asking: list[str], minus: int) -> Iterator[tuple[str, str]]:
     """Near pairs (asking, point); all points have one length, all asking words
     that length or, for ``minus`` 0, one less."""
-    def distinct(words: list[str]) -> tuple[np.ndarray, list[list[str]], np.ndarray, np.ndarray]:
-        vectors, place = np.unique(letter_counts(words), axis=0, return_inverse=True)
-        of: list[list[str]] = [[] for _ in range(len(vectors))]
-        for w, k in zip(words, place.ravel().tolist()):
-            of[k].append(w)
-        return vectors, of, letters([ws[0] for ws in of]), np.array([len(ws) == 1 for ws in of])
+    def by_vector(words: list[str]) -> tuple:
+        """Distinct vectors; the words in their order; each vector's first word and number of words."""
+        vectors, place, many = np.unique(letter_counts(words), axis=0, return_inverse=True, return_counts=True)
+        ordered = np.array(words, object)[np.argsort(place.ravel(), kind="stable")]
+        return vectors, ordered, letters(ordered.tolist()), np.cumsum(many) - many, many
     if not points or not asking:
         return
-    (pv, p_of, p_letters, p_one), (qv, q_of, q_letters, q_one) = distinct(points), distinct(asking)
+    (pv, p_words, p_letters, p_at, p_many), (qv, q_words, q_letters, q_at, q_many) = by_vector(points), by_vector(asking)
     step = max(1, GROUP_CHARS // len(points[0]))
     for qs, ps in search(pv, qv, minus):
-        single = q_one[qs] & p_one[ps]  # one word each: compared in bulk
-        q1, p1 = qs[single], ps[single]
+        pairs = q_many[qs] * p_many[ps]
+        few = pairs <= FEW_PAIRS  # compared in bulk
+        n, q0, p0, per = (x[few] for x in (pairs, q_at[qs], p_at[ps], p_many[ps]))
+        of = np.repeat(np.arange(len(n)), n)
+        k = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+        q1, p1 = q0[of] + k // per[of], p0[of] + k % per[of]
         for at in range(0, len(q1), step):
             q, p = q1[at:at + step], p1[at:at + step]
             near = edited_once(q_letters[q], p_letters[p])
-            yield from ((q_of[x][0], p_of[y][0]) for x, y in zip(q[near].tolist(), p[near].tolist()))
-        qs, ps = qs[~single], ps[~single]
-        diff = pv[ps] - qv[qs]
-        more, fewer = diff.argmax(1), diff.argmin(1)
-        for q, p, m, f in zip(qs.tolist(), ps.tolist(), more.tolist(), fewer.tolist()):
-            yield from in_order(q_of[q], p_of[p], chr(LETTERS[f]) if minus else None, chr(LETTERS[m]))
+            yield from zip(q_words[q[near]].tolist(), p_words[p[near]].tolist())
+        for q, p in zip(qs[~few].tolist(), ps[~few].tolist()):
+            diff = pv[p] - qv[q]
+            yield from in_order(q_words[q_at[q]:q_at[q] + q_many[q]].tolist(), p_words[p_at[p]:p_at[p] + p_many[p]].tolist(),
+                                chr(LETTERS[diff.argmin()]) if minus else None, chr(LETTERS[diff.argmax()]))
 
 
 # --- the distributed join ----------------------------------------------------------------------
