@@ -27,6 +27,7 @@ from bisect import bisect_left, insort
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +35,7 @@ from lectern.session import materialize
 
 PART_ROWS = 4_096            # questions of a document that meet its anchors in one task
 PART_CHARS = 16_000_000
+OUT_ROWS = 4_096             # rows of an Arrow batch that goes back to Spark
 QUESTION = ["section_order", "pos", "section", "question_id", "text"]
 _QUESTION_DDL = "doc_id {id}, section_order int, pos bigint, section string, question_id string, text string"
 
@@ -125,8 +127,18 @@ def place(texts: list[str | None], tables: list[tuple[int, str | None, str | Non
     return texts, unplaced
 
 
-def fields(structs: pa.StructArray, *names: str) -> list[list]:
-    return [structs.field(n).to_pylist() for n in names]
+def each(lists: pa.ListArray, *names: str) -> Iterator[list[list]]:
+    """The named fields of every list's structs; a NULL list has none."""
+    cols, at = [c for n, c in zip([f.name for f in lists.type.value_type], lists.flatten().flatten()) if n in names], 0
+    for n in pc.fill_null(pc.list_value_length(lists), 0).to_pylist():
+        yield [c.slice(at, n).to_pylist() for c in cols]
+        at += n
+
+
+def in_slices(batch: pa.RecordBatch, rows: int = OUT_ROWS) -> Iterator[pa.RecordBatch]:
+    """One batch for many documents, in slices that bound what Spark unpacks at a time."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
 
 
 def place_anchored(questions: DataFrame, tables: DataFrame, part_rows: int = PART_ROWS) -> tuple[DataFrame, DataFrame]:
@@ -151,11 +163,13 @@ def place_anchored(questions: DataFrame, tables: DataFrame, part_rows: int = PAR
 
     def flag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc, qs, ts in zip(batch.column(0), batch.column("qs"), batch.column("ts")):
-                rows, (a, z) = qs.values, fields(ts.values, "a", "z")
-                marks = candidates(rows.field("text").to_pylist(), [x for x in zip(a, z) if None not in x])
-                yield pa.RecordBatch.from_arrays([pa.array([doc.as_py()] * len(rows), batch.schema.field("doc_id").type),
-                                                  *rows.flatten(), pa.array(marks, pa.bool_())], ["doc_id", *QUESTION, "candidate"])
+            docs, qs, ts = (batch.column(c) for c in ("doc_id", "qs", "ts"))
+            marks: list[bool] = []
+            for (texts,), (a, z) in zip(each(qs, "text"), each(ts, "a", "z")):
+                marks += candidates(texts, [x for x in zip(a, z) if None not in x])
+            yield from in_slices(pa.RecordBatch.from_arrays(
+                [docs.take(pc.list_parent_indices(qs)), *qs.flatten().flatten(), pa.array(marks, pa.bool_())],
+                ["doc_id", *QUESTION, "candidate"]))
     flagged = parts.join(pairs, "doc_id").select("doc_id", "qs", "ts").mapInArrow(flag, ddl + ", candidate boolean")
     flagged = materialize(spark, flagged, "flagged-questions")
 
@@ -165,18 +179,20 @@ def place_anchored(questions: DataFrame, tables: DataFrame, part_rows: int = PAR
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc, qs, ts in zip(batch.column(0), batch.column("qs"), batch.column("ts")):
-                rows = qs.values if qs.is_valid else None
-                texts, unplaced = place(rows.field("text").to_pylist() if qs.is_valid else [],
-                                        list(zip(*fields(ts.values, "table_no", "a", "z", "md"))))
-                n, m = len(texts), len(unplaced)
-                kept = [rows.field(c).to_pylist() if qs.is_valid else [] for c in QUESTION[:-1]]
-                types = [pa.int32(), pa.int64(), pa.string(), pa.string(), pa.string()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([doc.as_py()] * (n + m), batch.schema.field("doc_id").type),
-                     *[pa.array(c + [None] * m, x) for c, x in zip([*kept, texts], types)],
-                     pa.array(["q"] * n + ["u"] * m, pa.string()), pa.array([None] * n + unplaced, pa.int64())],
-                    ["doc_id", *QUESTION, "kind", "table_no"])
+            docs, qs, ts = (batch.column(c) for c in ("doc_id", "qs", "ts"))
+            texts, unplaced, of = [], [], []
+            for i, ((some,), tables) in enumerate(zip(each(qs, "text"), each(ts, "table_no", "a", "z", "md"))):
+                some, left = place(some, list(zip(*tables)))
+                texts += some
+                unplaced += left
+                of += [i] * len(left)
+            rows, n, m = qs.flatten().flatten(), len(texts), len(unplaced)
+            yield from in_slices(pa.RecordBatch.from_arrays(
+                [docs.take(pc.list_parent_indices(qs)), *rows[:-1], pa.array(texts, pa.string()), pa.array(["q"] * n, pa.string()),
+                 pa.nulls(n, pa.int64())], ["doc_id", *QUESTION, "kind", "table_no"]))
+            yield from in_slices(pa.RecordBatch.from_arrays(
+                [docs.take(pa.array(of, pa.int64())), *[pa.nulls(m, c.type) for c in rows], pa.array(["u"] * m, pa.string()),
+                 pa.array(unplaced, pa.int64())], ["doc_id", *QUESTION, "kind", "table_no"]))
     tagged = by_doc.join(cands, "doc_id", "left").select("doc_id", "qs", "ts").mapInArrow(fold, ddl + ", kind string, table_no bigint")
     tagged = materialize(spark, tagged, "placed-tables")
 

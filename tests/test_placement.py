@@ -92,3 +92,14 @@ def test_both_results_read_one_table(spark, tmp_path):
     for df in TB.place_tables(qs, tabs):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "CoGroup" not in plan and any("placed-tables" in f for f in df.inputFiles())
+
+
+def test_lists_of_a_batch_with_empty_and_null_ones():
+    import pyarrow as pa
+    from lectern.operators.placement import each, in_slices
+    kind = pa.list_(pa.struct([("a", pa.string()), ("n", pa.int64()), ("z", pa.string())]))
+    lists = pa.array([[{"a": "x", "n": 1, "z": "y"}], [], None, [{"a": None, "n": 2, "z": ""}, {"a": "p", "n": 3, "z": "q"}]], kind)
+    want = [[["x"], ["y"]], [[], []], [[], []], [[None, "p"], ["", "q"]]]
+    assert list(each(lists, "a", "z")) == want and list(each(lists.slice(1), "a", "z")) == want[1:]
+    sizes = [b.num_rows for b in in_slices(pa.RecordBatch.from_arrays([pa.array(range(10))], ["i"]), 4)]
+    assert sizes == [4, 4, 2]  # one batch for many documents
