@@ -14,7 +14,7 @@ instead of stopping the job (V1-V6).
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,8 +73,9 @@ def build_records(spark: SparkSession, inputs: ExamInputs, canary: str, profiles
                   materialize: bool = True) -> BuildResult:
     """Build records for every exam in ``inputs.exam_docs``.
 
-    With ``materialize`` the tables that several outputs read (segments,
-    placed questions, answers, image metadata; no bytes) are written once as
+    With ``materialize`` the tables that several steps or outputs read (documents,
+    lines, segments, placed questions, blocks, answers, image metadata in three
+    steps, so that no stage holds many sorts; no bytes) are written once as
     Parquet to the session's checkpoint folder and read back: nothing is run
     once per output, and a lost executor later in the job does not send Spark
     back to the page text.
@@ -85,10 +86,15 @@ def build_records(spark: SparkSession, inputs: ExamInputs, canary: str, profiles
     tests = (docs.where(F.col("kind") == "test").groupBy("doc_id", "subject", "year", "language")
              .agg(F.count(F.lit(1)).cast("int").alias("times")))
     consults = docs.where(F.col("kind") == "consult").select("doc_id", "subject", "year").distinct()
+    if materialize:
+        tests, consults = write_table(spark, tests, "tests"), write_table(spark, consults, "consults")
 
     # Questions and section info of every test document.
     pages = inputs.page_text.join(tests.select("doc_id"), "doc_id", "left_semi")
-    segs = SEG.segments(SEG.classify_lines(SEG.page_lines(pages), rules))
+    lines = SEG.page_lines(pages)
+    if materialize:
+        lines = write_table(spark, lines, "page-lines")
+    segs = SEG.segments(SEG.classify_lines(lines, rules))
     if materialize:
         segs = write_table(spark, segs, "segments")
     questions = SEG.items_of(segs)
@@ -112,7 +118,10 @@ def build_records(spark: SparkSession, inputs: ExamInputs, canary: str, profiles
         questions = write_table(spark, questions, "questions")
 
     # Answers: one consult document per (subject, year), shared by both languages.
-    attributed = BL.attribute_blocks(inputs.blocks.join(consults.select("doc_id"), "doc_id", "left_semi"), bands)
+    blocks = inputs.blocks.join(consults.select("doc_id"), "doc_id", "left_semi")
+    if materialize:
+        blocks = write_table(spark, blocks, "consult-blocks")
+    attributed = BL.attribute_blocks(blocks, bands)
     answers = attributed.join(consults, "doc_id").select("subject", "year", "question_id", "answer", "comment")
     if materialize:
         answers = write_table(spark, answers, "answers")
@@ -125,10 +134,14 @@ def build_records(spark: SparkSession, inputs: ExamInputs, canary: str, profiles
         rus = tests.where(F.col("language") == "rus").select("doc_id", "subject", "year").distinct()
         meta = inputs.images.drop("content").join(rus, "doc_id").withColumn(
             "filename", AS.image_file_name("page_no", "img_no", "format"))
+        if materialize:
+            meta = write_table(spark, meta, "image-catalogue")
         spans = inputs.blocks.select("doc_id", "page_no", F.col("block_no").alias("span_id"),
                                      "x0", "y0", "x1", "y1", "text")
         near = AS.nearby_text(meta.select("doc_id", "page_no", F.col("img_no").alias("img_id"),
                                           "x0", "y0", "x1", "y1"), spans)
+        if materialize:
+            near = write_table(spark, near, "image-near-text")
         meta = meta.join(near.withColumnRenamed("img_id", "img_no"), ["doc_id", "page_no", "img_no"], "left")
         if profiles.position_map is not None:
             meta = AS.assign_by_position(meta, profiles.position_map, ["subject", "year"])
@@ -167,4 +180,8 @@ def write_records(spark: SparkSession, result: BuildResult, path: str, rewrite:
     from lectern.sources import sinks
     if not append:
         sinks.create_dataset(spark, path, rewrite=rewrite)
+    elif batch_id is not None and batch_id in sinks.committed(spark, path):
+        return False
+    # written once: the sort looks at its rows twice
+    result = replace(result, records=write_table(spark, result.records, "records"))
     return sinks.append_records(R.sample_columns(R.in_reference_order(result.records)), path, batch_id=batch_id)

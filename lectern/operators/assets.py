@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions.text import data_uri, image_file_name
 from lectern.operators.scan import prefix_scan, row_chunks
+from lectern.session import materialize
 
 GRID = 64.0          # cell size of the grid used by the range join
 MARGIN = 20.0        # how far around an image "near" reaches
@@ -43,6 +44,7 @@ def attach_uris(meta: DataFrame, images: DataFrame, keys: tuple[str, ...] = ("do
     if edited is not None:
         swapped = meta.where(F.col("question_id").isNotNull()).select(*keys, "filename").join(
             edited.select("doc_id", "filename"), ["doc_id", "filename"], "left_semi")
+        swapped = materialize(meta.sparkSession, swapped, "replaced-images")
         new = swapped.join(edited.select("doc_id", "filename", "content"), ["doc_id", "filename"]).select(*keys, "content")
         b = b.join(swapped.select(*keys), list(keys), "left_anti").unionByName(new)
     return (meta.join(b, list(keys))

@@ -13,13 +13,12 @@ sparse page numbers, a thousand blocks at one height):
 
 1. one shuffle by ``(keys, chunk)`` and a window inside each chunk give the
    local running values; tasks are bounded by the chunk size, not the key;
-2. the chunk totals are aggregated from the running columns, grouped by the
-   same ``(keys, chunk)``; like any two-pass parallel scan this branch reads
-   the source a second time, but only the narrow marker columns travel;
-3. a window over the small table of chunk totals gives each chunk its
-   carry-in from the chunks before it;
-4. the carry-in is joined back on ``(keys, chunk)``; the big side keeps its
-   partitioning, only the small side moves (or is broadcast by AQE).
+2. only keys of several chunks need a carry-in.  They are listed first, in a
+   table written once; where there are none, step 1 is the whole scan;
+3. for the listed keys the chunk totals are aggregated from the running columns,
+   and a window over them gives each chunk its carry-in from the chunks before;
+4. the carry-in, written once too, is joined back on ``(keys, chunk)``; its size
+   is known, so the planner moves only the small side.
 """
 
 from __future__ import annotations
@@ -30,6 +29,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lectern.session import materialize
 
 CHUNK_ROWS = 65536     # rows of a chunk
 MAX_CHUNKS = 4096      # chunks of one key; a longer key gets longer chunks
@@ -47,7 +47,8 @@ def row_chunks(df: DataFrame, keys: Sequence[str], order: str | Column, rows: in
     the rows alone, not on how they are partitioned (a recomputed task agrees
     with the others).  Only keys longer than a chunk have cuts; their sorted
     cuts, at most ``max_chunks``, are joined by key and searched in two steps.
-    Nothing but keys and order is read for the sample.
+    Nothing but keys and order is read for the sample.  The cuts are written
+    once: where no key has any, the rows are not moved at all.
     """
     keys, order_col = list(keys), F.col(order) if isinstance(order, str) else order
     rate = min(1.0, SAMPLED / rows)
@@ -60,6 +61,9 @@ def row_chunks(df: DataFrame, keys: Sequence[str], order: str | Column, rows: in
         *keys, F.filter("_s", lambda _, i: (i + 1) % every == 0).alias("_cuts"))
     step = max(2, math.isqrt(max_chunks))
     cuts = cuts.select(*keys, "_cuts", F.filter("_cuts", lambda _, i: i % step == 0).alias("_heads"))
+    cuts = materialize(df.sparkSession, cuts, "scan-cuts")
+    if cuts.isEmpty():
+        return df.select("*", F.lit(0).cast("long").alias(name))
     upto = lambda some, o: F.size(F.filter(some, lambda c: c <= o))
     j = df.withColumn("_o", order_col).join(cuts, keys, "left")
     j = j.withColumn("_h", F.when(F.col("_cuts").isNotNull(), upto(F.col("_heads"), F.col("_o"))).otherwise(0))
@@ -95,18 +99,22 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], order: str | Column, chunk:
     base = df.select("*", *[e.alias(n) for n, e in {**marks, **adds}.items()])
 
     upto = Window.partitionBy(*part).orderBy(order_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = base.select("*", *[F.max(n).over(upto).alias(f"{n}_run") for n in marks],
-                        *[F.sum(n).over(upto).alias(f"{n}_run") for n in adds])
-
-    # Totals are read off the running columns (not the inputs), so this branch
-    # shares the window and its exchange with ``local`` instead of re-reading
-    # the source; the grouping keys match the window's partitioning.
-    totals = local.groupBy(*part).agg(*[F.max(f"{n}_run").alias(n) for n in marks],
+    def running(rows: DataFrame) -> DataFrame:
+        return rows.select("*", *[F.max(n).over(upto).alias(f"{n}_run") for n in marks],
+                           *[F.sum(n).over(upto).alias(f"{n}_run") for n in adds])
+
+    local = running(base)
+    several = materialize(df.sparkSession, df.where(F.col(chunk) != 0).select(*keys).distinct(), "scan-long-keys")
+    if several.isEmpty():  # every key is one chunk
+        return local.select(*df.columns, *[F.col(f"__m_{n}_run")["v"].alias(n) for n in last],
+                            *[F.col(f"__s_{n}_run").alias(n) for n in sums])
+    totals = running(base.join(several, keys, "left_semi")).groupBy(*part).agg(*[F.max(f"{n}_run").alias(n) for n in marks],
                                       *[F.max_by(f"{n}_run", order_col).alias(n) for n in adds])
     before = Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select(*part, *[F.max(n).over(before).alias(f"{n}_in") for n in marks],
                           *[F.sum(n).over(before).alias(f"{n}_in") for n in adds])
 
+    carry = materialize(df.sparkSession, carry, "scan-carry")
     out = local.join(carry, part, "left").select(
         *df.columns,
         *[F.coalesce(F.col(f"__m_{n}_run"), F.col(f"__m_{n}_in"))["v"].alias(n) for n in last],
