@@ -17,7 +17,7 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rule and adaptive fences for every document."""
     j = quality_rules.judge(documents(spark, sf_dir))
     return j.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                    "base_failed", "kept")
+                    "base_failed", "kept", "kept_lang", "kept_all")
 
 
 def sql_op1() -> str:
@@ -35,6 +35,8 @@ def sql_op1() -> str:
                    FROM (SELECT *, sum(n) OVER (PARTITION BY {by} ORDER BY bucket) AS upto,
                                 sum(n) OVER (PARTITION BY {by}) AS docs
                          FROM (SELECT {by}, bucket, sum(n) AS n FROM sk GROUP BY {by}, bucket)) GROUP BY {by}"""
+    fenced = ", ".join(f"{x}_q1 - greatest(({x}_q3 - {x}_q1) * {Q.SPREAD}, {least}) AS {x}_lo, "
+                       f"{x}_q3 + greatest(({x}_q3 - {x}_q1) * {Q.SPREAD}, {least}) AS {x}_hi" for x in "ago")
     return rf"""
 WITH t AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS text, {_SQL_WORDS} AS w,
                   [x FOR x IN string_split(coalesce(text, ''), chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS l
@@ -53,17 +55,21 @@ b AS (SELECT *, n_words < {Q.MIN_WORDS} OR 100 * n_repeat_words > {Q.MAX_REPEAT_
 m AS ({melted}),
 x AS (SELECT *, (2 ** greatest(length(bin(v)) - {Q.SKETCH_BITS}, 0))::BIGINT AS step FROM m),
 sk AS (SELECT lang, source, measure, v // step * step AS bucket, count(*) AS n FROM x GROUP BY ALL),
-f AS ({quart('lang, source')}),
-v AS (SELECT lang, source, measure, q1 - greatest((q3 - q1) * {Q.SPREAD}, {least}) AS lo,
-             q3 + greatest((q3 - q1) * {Q.SPREAD}, {least}) AS hi FROM f),
-e AS (SELECT b.rid, bool_or(q < lo OR q > hi) AS outside
+f AS (SELECT a.lang, a.source, a.measure, {', '.join(f'{x}.{c} AS {x}_{c}' for x in 'ago' for c in ('q1', 'q3'))}
+      FROM ({quart('lang, source')}) a JOIN ({quart('lang')}) g ON a.lang IS NOT DISTINCT FROM g.lang AND a.measure = g.measure
+      JOIN ({quart('')}) o ON a.measure = o.measure),
+v AS (SELECT lang, source, measure, {fenced} FROM f),
+e AS (SELECT b.rid, bool_or(q < a_lo OR q > a_hi) AS outside, bool_or(q < g_lo OR q > g_hi) AS outside_lang,
+             bool_or(q < o_lo OR q > o_hi) AS outside_all
       FROM (SELECT rid, lang, source, unnest([{', '.join(f"'{m}'" for m in ms)}]) AS measure,
                    unnest([{', '.join(f'{x} // n_words' for x in ms.values())}]) AS q
             FROM b WHERE NOT base_failed AND n_words > 0) b
       JOIN v ON b.lang IS NOT DISTINCT FROM v.lang AND b.source IS NOT DISTINCT FROM v.source AND b.measure = v.measure
       GROUP BY b.rid)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND NOT coalesce(outside, false) AS kept
+       NOT base_failed AND NOT coalesce(outside, false) AS kept,
+       NOT base_failed AND NOT coalesce(outside_lang, false) AS kept_lang,
+       NOT base_failed AND NOT coalesce(outside_all, false) AS kept_all
 FROM b LEFT JOIN e USING (rid)"""
 
 

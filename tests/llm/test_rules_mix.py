@@ -52,6 +52,16 @@ def test_small_odd_source_keeps_its_own_fences(spark):
     assert got.pop(20_000) is False and all(got.values())
 
 
+def test_small_groups_are_held_against_language_and_whole_table(spark):
+    clean = [(i, t, "en", "web") for i, t in enumerate(H.prose(400, seed=3)) if len(t.split()) >= 25]
+    junk = " ".join(w + "%%%" for w in next(t for t in H.prose(40, seed=4) if len(t.split()) >= 25).split())
+    rows = clean + [(10_000, junk, "en", "one"), (10_001, junk, "xx", "one"), (10_002, junk, None, None)]
+    got = {r[0]: r[1:] for r in H.by_id(quality_rules.judge(H.table(spark, rows)), "doc_id", "kept", "kept_lang", "kept_all")}
+    assert got[10_000] == (True, False, False)
+    assert got[10_001] == got[10_002] == (True, True, False)
+    assert all(got[i] == (True, True, True) for i, *_ in clean)
+
+
 def test_judge_odd_and_empty(spark):
     got = quality_rules.judge(H.table(spark, H.odd_rows()))
     assert got.count() == len(H.odd_rows()) and got.where("kept IS NULL").count() == 0
