@@ -6,6 +6,7 @@ import zlib
 import numpy as np
 
 import helpers as H
+from pyspark.sql import functions as F
 from lectern.llm import langid, quality_rank
 
 SYLLABLES = {"en": ["the", "ing", "tion", "ou", "sh"], "de": ["sch", "ung", "ein", "ü", "ß"], "fr": ["eau", "é", "que", "ou", "ç"],
@@ -82,3 +83,36 @@ def test_pairs_take_every_row_of_the_rarer_class():
     good, bad = np.arange(50, dtype=float)[:, None], -np.arange(1, 8, dtype=float)[:, None]
     d = quality_rank.pairs(good, bad, 4)
     assert d.shape == (28, 1) and (d > 0).all()
+
+
+def test_rank_learns_from_every_labelled_row(spark):
+    n = 30_000  # more than any bound on the rows
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.lit("some plain words "), F.when(F.col("id") % 3 == 0, "# $ % ").otherwise(""),
+                                                                      F.col("id").cast("string")).alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 3 != 0).cast("int").alias("quality"))
+    seen, real = [], quality_rank.fit
+    quality_rank.fit = lambda rows: seen.append(rows.count()) or real(rows)
+    try:
+        model = quality_rank.train(docs, labels)
+    finally:
+        quality_rank.fit = real
+    assert seen == [sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(n))]
+    got = quality_rank.score(docs, model)
+    assert got.join(labels, "doc_id").where("predicted != quality").count() < 0.01 * n
+
+
+def test_rank_order_statistics(spark):
+    r = random.Random(3)
+    values = [r.gauss(0, 1) for _ in range(30_000)] + [0.25] * 12_000 + [1e9]
+    df, want = spark.createDataFrame([(v,) for v in values], "s double").repartition(4), sorted(values)
+    for at in (0, 17_000, 20_000, len(values) - 1):
+        assert quality_rank.order_statistic(df, at, len(values)) == (want[at], want[min(at + 1, len(values) - 1)])
+
+
+def test_rank_pairs_by_join_equal_those_at_hand(spark):
+    names, r = quality_rank.NAMES, np.random.default_rng(4)
+    x, label = r.integers(0, 9, (50, len(names))).astype(float), np.arange(50) % 3 == 0
+    rows = spark.createDataFrame([(i, int(b), *map(float, v)) for i, (v, b) in enumerate(zip(x, label))],
+                                 ", ".join(["_id long", "_label int", *[f"{n} double" for n in names]])).repartition(3)
+    got = quality_rank.paired(quality_rank.numbered(rows), int(label.sum()), int((~label).sum()), 4)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, quality_rank.pairs(x[label], x[~label], 4).tolist()))
