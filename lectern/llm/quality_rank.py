@@ -14,7 +14,8 @@ of the other class in turn, never all pairs; the pairs meet in a join on these
 numbers and are written once.  A Newton step sums gradient and Hessian over the
 pairs in the tasks, and the threshold is the exact quantile of all their scores,
 found by counting in ever narrower ranges, so the driver sees sums and counts
-only.  Features and scores are built-in expressions over whole texts.
+only.  Features and scores are built-in expressions over whole texts; labels
+meet the features, never the texts, so no text crosses a shuffle.
 
 Edge cases: NULL and empty texts have all features 0 words and are scored like
 any other; NULL ids are not held out; labels other than 0 and 1 and NULL
@@ -169,21 +170,44 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string")) % 5 == 0, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> dict:
-    """Model from all labelled rows that are not held out."""
+def featured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``_id`` and ``NAMES`` of every row, written once: no later step reads or moves a text."""
+    rows = docs.select(F.col(id_col).alias("_id"), features(F.col(text_col)).alias("f"))
+    return written(rows.select("_id", *[F.col("f")[i].alias(f) for i, f in enumerate(NAMES)]), "rank-features")
+
+
+def train_featured(rows: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> dict:
+    """Model from all labelled rows of :func:`featured` that are not held out."""
     usable = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label"))
     usable = usable.where(F.col("_id").isNotNull() & F.col("_label").isin(0, 1) & ~held_out(F.col("_id")))
-    rows = (docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(usable, "_id")
-            .select("_id", "_label", features(F.col("_text")).alias("f")))
-    return fit(written(rows.select("_id", "_label", *[F.col("f")[i].alias(f) for i, f in enumerate(NAMES)]), "rank-rows"))
+    return fit(written(rows.join(usable, "_id").select("_id", "_label", *NAMES), "rank-rows"))
 
 
-def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text", cut: float = CUT) -> DataFrame:
-    """(doc_id, held_out, score, predicted) of every document."""
-    d = docs.select(F.col(id_col).alias("doc_id"), features(F.col(text_col)).alias("f"))
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> dict:
+    """Model from all labelled rows that are not held out."""
+    return train_featured(featured(docs, id_col, text_col), labels, id_col, label_col)
+
+
+def score_featured(rows: DataFrame, model: dict, cut: float = CUT) -> DataFrame:
+    """(doc_id, held_out, score, predicted) of every row of :func:`featured`."""
     shift = math.log(cut / (1 - cut)) - model["threshold"]
     s = F.lit(shift)
-    for i, w in enumerate(model["weights"]):
-        s = s + F.col("f")[i] * F.lit(w)
+    for f, w in zip(NAMES, model["weights"]):
+        s = s + F.col(f) * F.lit(w)
+    d = rows.select(F.col("_id").alias("doc_id"), s.alias("_s"))
+    s = F.col("_s")
     d = d.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), (1 / (1 + F.exp(-s))).alias("score"))
     return d.withColumn("predicted", (F.col("score") >= cut).cast("int"))
+
+
+def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text", cut: float = CUT) -> DataFrame:
+    """(doc_id, held_out, score, predicted) of every document."""
+    rows = docs.select(F.col(id_col).alias("_id"), features(F.col(text_col)).alias("f"))
+    return score_featured(rows.select("_id", *[F.col("f")[i].alias(f) for i, f in enumerate(NAMES)]), model, cut)
+
+
+def rank(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
+         cut: float = CUT) -> DataFrame:
+    """:func:`score` of every document by the model of :func:`train`, with each text read once."""
+    rows = featured(docs, id_col, text_col)
+    return score_featured(rows, train_featured(rows, labels, id_col, label_col), cut)

@@ -108,8 +108,7 @@ SELECT doc_id, size, source_size, target, size * copies AS taken, copies, rate F
 
 def op4_quality_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bradley-Terry quality score of every document."""
-    docs = documents(spark, sf_dir)
-    return quality_rank.score(docs, quality_rank.train(docs, read_table(spark, sf_dir, "labels")))
+    return quality_rank.rank(documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -116,3 +116,14 @@ def test_rank_pairs_by_join_equal_those_at_hand(spark):
                                  ", ".join(["_id long", "_label int", *[f"{n} double" for n in names]])).repartition(3)
     got = quality_rank.paired(quality_rank.numbered(rows), int(label.sum()), int((~label).sum()), 4)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, quality_rank.pairs(x[label], x[~label], 4).tolist()))
+
+
+def test_rank_moves_features_and_no_texts(spark, monkeypatch):
+    rows = [(i, t + (" %%% ###" if i % 3 else ""), "en", "a") for i, t in enumerate(H.prose(60))]
+    docs = H.table(spark, rows + H.odd_rows(), clash=False)
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i, *_ in rows], "doc_id long, quality int")
+    plans, real = [], quality_rank.written
+    monkeypatch.setattr(quality_rank, "written", lambda df, *a: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or real(df, *a))
+    got = H.by_id(quality_rank.rank(docs, labels), "doc_id", "held_out", "score", "predicted")
+    assert plans and not any("Join" in p and "text" in p for p in plans)
+    assert got == H.by_id(quality_rank.score(docs, quality_rank.train(docs, labels)), "doc_id", "held_out", "score", "predicted")
