@@ -12,12 +12,17 @@ from __future__ import annotations
 import gc
 import re
 from collections.abc import Callable, Iterable, Iterator
+from itertools import filterfalse
 
 # Python's white space holds every character that any of the tokenisers' white-space classes holds.
 # A chunk that is one word of Latin letters, with or without a comma or full stop after it, or two such with a newline between.
 _WORD = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+"
 _PLAIN = re.compile(f"( ?{_WORD})([.,]?)(?:(\n)({_WORD})([.,]?))?").fullmatch
-latin_word = re.compile(_WORD).fullmatch
+# A word of Latin letters and any ASCII marks behind it, to the end of the chunk: two pre-tokens, since no match goes from letters on to marks.
+word_and_marks = re.compile(f"({_WORD})([!-/:-@\\[-`{{-~]*)").fullmatch
+# Chunks of Latin words, ASCII digits, ASCII marks but the apostrophe (which may begin a contraction) and single newlines: the runs are the pre-tokens.
+_PLAIN_RUNS = re.compile(" ?[{0}]++(?:\n[{0}]++)*+".format("!-&(-~" + _WORD[1:-2])).fullmatch
+_RUNS = re.compile(f" ?(?:{_WORD}|[0-9]+|[!-&(-/:-@\\[-`{{-~]+)|\n").findall
 _SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -74,6 +79,14 @@ def pre_token_cutter(pattern: str) -> Callable[[str], list[str]]:
     return word_cutter(regex.compile(pattern).findall)
 
 
+def run_cutter(pattern: str) -> Callable[[str], list[str]]:
+    """Pre-tokens of a chunk: runs of plain characters by a cheaper match that gives what the pattern would."""
+    import regex
+
+    otherwise = regex.compile(pattern).findall
+    return lambda chunk: _RUNS(chunk) if _PLAIN_RUNS(chunk) else otherwise(chunk)
+
+
 def word_cutter(otherwise: Callable[[str], list[str]]) -> Callable[[str], list[str]]:
     """Words, commas, full stops and newlines of a chunk made of these; ``otherwise`` of any other chunk."""
     def cut(chunk: str) -> list[str]:
@@ -113,20 +126,25 @@ class PieceCache(dict):
     def __missing__(self, chunk: str):
         value = self.old.get(chunk)
         if value is None:
-            if self.cut and (not chunk or chunk[0].isspace() or chunk[-1].isspace()):
+            if self.cut and (not chunk or chunk.strip() != chunk):
                 raise UnsafeCut
             value = self.make(chunk)
-        self.put(chunk, value)
+        if len(self) >= self.limit:
+            self.turn()
+        self[chunk] = value
         return value
 
     def put(self, chunk: str, value) -> None:
         if len(self) >= self.limit:
-            self.old = dict(self)
-            self.clear()
+            self.turn()
         self[chunk] = value
 
+    def turn(self) -> None:
+        self.old = dict(self)
+        self.clear()
+
     def unknown(self, chunks: set[str]) -> set[str]:
-        return {c for c in chunks if c not in self and c not in self.old}
+        return set(filterfalse(self.old.__contains__, filterfalse(self.__contains__, chunks)))
 
 
 def safe_parts(text: str) -> list[str]:

@@ -17,10 +17,12 @@ them, or as ordinary text with ``special_as_text``.
 
 from __future__ import annotations
 
+import codecs
 import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -29,17 +31,18 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lectern.llm.bpe import byte_characters, pretoken_pattern, vocabulary_path
-from lectern.llm.chunks import PieceCache, UnsafeCut, latin_word, pre_token_cutter, safe_parts, without_gc
+from lectern.llm.chunks import PieceCache, UnsafeCut, run_cutter, safe_parts, without_gc, word_and_marks
 from lectern.llm.common import kept, written
 from lectern.session import ensure_checkpoint_dir
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
-TOKEN_CACHE, CHUNK_CACHE = 350_000, 450_000     # entries of a generation, two are kept
+TOKEN_CACHE, CHUNK_CACHE = 200_000, 550_000     # entries of a generation, two are kept
 ROW_INDEX = 1_000
 STRIPE_BYTES = 64 << 20
 ORC_OPTIONS = {"compression": "zstd", "orc.stripe.size": str(STRIPE_BYTES), "orc.row.index.stride": str(ROW_INDEX),
                "orc.create.index": "true", "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01"}
+ID = attrgetter("id")
 SCHEMA = "doc_id long, part int, before long, n_tokens int, ids array<int>"
 
 
@@ -48,8 +51,9 @@ class JsonBpe:
     ``encode(text, add_special_tokens=False)``, fed with new words only.
 
     A text is cut into chunks before single spaces and a chunk into pre-tokens;
-    each new pre-token goes through the library's BPE model, and both levels are
-    cached.  Texts that hold a special token's string, which the plain call
+    each new pre-token goes through the library's BPE model.  Chunks are cached,
+    and so are pre-tokens that are no word behind a space: such a word is a chunk
+    of its own, and most new ones never come back.  Texts that hold a special token's string, which the plain call
     reads as that token, go through the library whole, unless
     ``special_as_text`` makes them ordinary text.
     """
@@ -61,26 +65,28 @@ class JsonBpe:
         self.tokenizer.encode_special_tokens = special_as_text
         self.special = () if special_as_text else tuple(
             t.content for t in self.tokenizer.get_added_tokens_decoder().values())
-        self.cut = pre_token_cutter(pattern)
-        self.to_chars = dict(enumerate(byte_characters()))
+        self.cut = run_cutter(pattern)
+        self.to_chars = "".join(byte_characters())
+        self.tokenize = self.tokenizer.model.tokenize
         self.tokens = PieceCache(self.token_ids, TOKEN_CACHE, cut=False)
         self.chunks = PieceCache(self.chunk, CHUNK_CACHE)
         self.space = self.to_chars[0x20]
 
+    def mapped_ids(self, mapped: str) -> bytes:
+        return array("I", list(map(ID, self.tokenize(mapped)))).tobytes()
+
     def token_ids(self, token: str) -> bytes:
-        if token.isascii() and token.isprintable():  # of these only the space has a character of its own
-            mapped = token.replace(" ", self.space)
-        else:
-            mapped = token.encode("utf-8").decode("latin-1").translate(self.to_chars)
-        return array("I", [t.id for t in self.tokenizer.model.tokenize(mapped)]).tobytes()
+        return self.mapped_ids(codecs.charmap_decode(token.encode(), "strict", self.to_chars)[0])
 
     def chunk(self, chunk: str) -> bytes:
-        """Ids of a chunk behind a space.  Letters are one pre-token, with or without a mark behind them."""
-        if latin_word(chunk):
-            return self.tokens[" " + chunk]
-        if chunk[-1] in ".,!?" and latin_word(word := chunk[:-1]):
-            return self.tokens[" " + word] + self.tokens[chunk[-1]]
-        return self.pieces(" " + chunk)
+        """Ids of a chunk behind a space.  Letters are one pre-token, and so are the marks behind them."""
+        if chunk.isascii() and chunk.isalpha():  # letters stand for themselves
+            return self.mapped_ids(self.space + chunk)
+        m = word_and_marks(chunk)
+        if m is None:
+            return self.pieces(" " + chunk)
+        word, marks = m.groups()
+        return self.chunks[word] + self.tokens[marks] if marks else self.token_ids(" " + word)
 
     def pieces(self, chunk: str) -> bytes:
         """Ids of a chunk with its leading space."""

@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 
 import helpers as H
 from lectern.llm import bpe, token_output
-from lectern.llm.chunks import groups
+from lectern.llm.chunks import groups, run_cutter, word_and_marks
 
 
 @pytest.fixture(scope="module")
@@ -65,6 +65,27 @@ def test_small_caches_give_the_same_ids(hug, monkeypatch):
         assert np.frombuffer(ids, "<u4").tolist() == hug.encode(text, add_special_tokens=False).ids
 
 
+def test_plain_runs_equal_the_pattern():
+    import regex
+
+    r, cut, pattern = random.Random(3), run_cutter(P.PATTERN), regex.compile(P.PATTERN).findall
+    parts = ["a", "B", "é", "×", "1", "23", "٣", "!", "#", "'", "'s", "s", "t", "\n", "\t", "_", "~", "漢", "ª", "²", "\x7f"]
+    for _ in range(20_000):
+        chunk = "".join(r.choice(parts) for _ in range(r.randint(1, 7))).strip()
+        if chunk:
+            assert cut(chunk) == pattern(chunk) and cut(" " + chunk) == pattern(" " + chunk)
+            if m := word_and_marks(chunk):
+                assert [" " + m[1], *filter(None, [m[2]])] == pattern(" " + chunk)
+    assert cut("a" * 50_000 + "漢") == ["a" * 50_000 + "漢"]
+
+
+def test_a_word_is_kept_in_one_cache():
+    model = token_output.JsonBpe(P.path(token_output.VOCABULARY), P.PATTERN)
+    list(model.encode(H.prose(50) + ["some, words! with### marks", "marks some with words"]))
+    assert {"some", "with", "marks", "words"} <= set(model.chunks)
+    assert not {" " + c for c in model.chunks} & set(model.tokens)
+
+
 def test_cache_limit_does_not_change_ids(tik):
     model = bpe.ByteBpe(P.path(bpe.VOCABULARY), P.PATTERN)
     model.cache.limit = 50
