@@ -50,7 +50,7 @@ A_VOCABULARY, B_VOCABULARY = "byte_bpe_50k.json", "piece_bpe_32k.model"
 HOT_PAIRS = 300_000         # pair counts that are broadcast (16 bytes each)
 FLUSH_PAIRS = 400_000       # distinct pairs that a task counts before it hands them on
 CACHED_CHARS = 200          # longer chunks are not cached
-PART_CACHE, CHUNK_CACHE = 120_000, 150_000
+PART_CACHE, CHUNK_CACHE = 60_000, 250_000     # entries of a generation, two are kept
 BATCH_ROWS = 1_000
 SPACE = "▁"            # a space in B's pieces
 
@@ -110,26 +110,38 @@ class Aligner:
         return self.spelled(part, self.b.encode(part))
 
     def spelled(self, part: str, b: list[int]) -> tuple[bytes | None, bytes | None]:
-        b_bytes = [self.b_bytes[i] for i in b]
-        if None in b_bytes or b"".join(b_bytes) != part.encode():  # A has every byte and spells anything
+        try:
+            if b"".join(map(self.b_bytes.__getitem__, b)) != part.encode():  # A has every byte and spells anything
+                return None, None
+        except TypeError:  # a piece without bytes
             return None, None
         return array("I", self.a.encode_ordinary(part)).tobytes(), array("I", b).tobytes()
 
     def learn(self, texts: list[str | None]) -> None:
-        """Parts of new chunks through B in one call, which costs half of single calls."""
+        """New chunks, their parts through B in one call, which costs half of single calls."""
         chunks = self.chunks.unknown(set().union(*[t.split(" ") for t in texts if t]))
-        parts = self.parts.unknown({p for c in chunks if c and len(c) < CACHED_CHARS and not (c[0].isspace() or c[-1].isspace())
-                                    for p in self.cut(" " + c)})
-        new = list(parts)[:PART_CACHE]
+        chunks = {c: self.cut(" " + c) for c in chunks if c and len(c) < CACHED_CHARS and c.strip() == c}
+        parts = set().union(*chunks.values())
+        new = [" " + c for c in self.chunks.unknown({p[1:] for p in parts if p[0] == " "})]
+        new += self.parts.unknown({p for p in parts if p[0] != " "})
+        new = new[:CHUNK_CACHE]
         for p, b in zip(new, self.b.encode(new, num_threads=1) if new else []):
-            self.parts.put(p, self.spelled(p, b))
+            if p[0] == " ":  # a chunk of its own
+                self.chunks.put(p[1:], self.spelled(p, b))
+            else:
+                self.parts.put(p, self.spelled(p, b))
+        for c, cut in chunks.items():
+            if len(cut) > 1:
+                self.chunks.put(c, self.joined(cut))
 
     def chunk(self, chunk: str) -> tuple[bytes | None, bytes | None]:
         """``part`` of a chunk with its space, put together from its parts."""
         cut = self.cut(chunk)
-        if len(cut) == 1:
-            return self.parts[chunk] if len(chunk) <= CACHED_CHARS else self.part(chunk)
-        parts = [self.parts[p] if len(p) <= CACHED_CHARS else self.part(p) for p in cut]
+        return self.part(chunk) if len(cut) == 1 else self.joined(cut)
+
+    def joined(self, cut: list[str]) -> tuple[bytes | None, bytes | None]:
+        """Ids of several parts, of which the first, behind a space, is a chunk of its own."""
+        parts = [self.part(p) if len(p) > CACHED_CHARS else self.chunks[p[1:]] if p[0] == " " else self.parts[p] for p in cut]
         if any(p[0] is None for p in parts):
             return None, None
         return b"".join([p[0] for p in parts]), b"".join([p[1] for p in parts])
@@ -141,12 +153,16 @@ class Aligner:
 
     def ids(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
         """A and B ids of a space and the text; None if they do not spell it."""
+        chunks = text.split(" ")
         try:
-            known = [self.chunks[c] if len(c) <= CACHED_CHARS else self.long(c) for c in text.split(" ")]
+            if max(map(len, chunks)) <= CACHED_CHARS:
+                known = list(map(self.chunks.__getitem__, chunks))
+            else:
+                known = [self.chunks[c] if len(c) <= CACHED_CHARS else self.long(c) for c in chunks]
         except UnsafeCut:
             known = [self.chunk(" " + c) for c in safe_parts(text)]
         try:
-            return tuple(np.frombuffer(b"".join([k[side] for k in known]), "<u4").astype("int64") for side in (0, 1))
+            return tuple(np.frombuffer(b"".join(side), "<u4").astype("int64") for side in zip(*known))
         except TypeError:  # a None among them
             return None
 

@@ -99,3 +99,15 @@ def test_long_text_and_empty_table(spark, libraries):
     some = [(1, H.LONG), (2, "x" * 30_000 + " y"), (3, "word " * 20_000)]
     assert got(A.align(H.table(spark, [(i, t, "en", "a") for i, t in some]))) == brute(some, libraries)
     assert A.align(H.empty(spark)).collect() == []
+
+
+def test_new_chunks_are_cut_and_kept_at_once(libraries):
+    model = A.Aligner(P.path(A.A_VOCABULARY), P.path(A.B_VOCABULARY), P.PATTERN)
+    texts = ["one two, three", "two,\nthree one.", None, "", "a\u2581b one"]
+    model.learn(texts)
+    assert model.chunks.unknown({c for t in texts if t for c in t.split(" ")}) == set()
+    for t in texts:
+        want = groups_of(t, libraries)
+        ids = model.ids(t) if t else None
+        assert (ids is None) == (want is None)
+        assert want is None or [i.tolist() for i in ids] == [[x for g in want for x in g[side]] for side in (0, 1)]
