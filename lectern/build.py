@@ -25,7 +25,7 @@ from lectern.operators import blocks as BL
 from lectern.operators import records as R
 from lectern.operators import segment as SEG
 from lectern.operators import tables as TB
-from lectern.session import materialize as write_table
+from lectern.session import materialize as write_table, shuffled
 
 
 @dataclass
@@ -90,7 +90,7 @@ def build_records(spark: SparkSession, inputs: ExamInputs, canary: str, profiles
         tests, consults = write_table(spark, tests, "tests"), write_table(spark, consults, "consults")
 
     # Questions and section info of every test document.
-    pages = inputs.page_text.join(tests.select("doc_id"), "doc_id", "left_semi")
+    pages = shuffled(inputs.page_text).join(tests.select("doc_id"), "doc_id", "left_semi")
     lines = SEG.page_lines(pages)
     if materialize:
         lines = write_table(spark, lines, "page-lines")
@@ -118,11 +118,11 @@ def build_records(spark: SparkSession, inputs: ExamInputs, canary: str, profiles
         questions = write_table(spark, questions, "questions")
 
     # Answers: one consult document per (subject, year), shared by both languages.
-    blocks = inputs.blocks.join(consults.select("doc_id"), "doc_id", "left_semi")
+    blocks = shuffled(inputs.blocks).join(consults.select("doc_id"), "doc_id", "left_semi")
     if materialize:
         blocks = write_table(spark, blocks, "consult-blocks")
     attributed = BL.attribute_blocks(blocks, bands)
-    answers = attributed.join(consults, "doc_id").select("subject", "year", "question_id", "answer", "comment")
+    answers = shuffled(attributed).join(consults, "doc_id").select("subject", "year", "question_id", "answer", "comment")
     if materialize:
         answers = write_table(spark, answers, "answers")
 
@@ -132,7 +132,7 @@ def build_records(spark: SparkSession, inputs: ExamInputs, canary: str, profiles
     image_info = None
     if inputs.images is not None:
         rus = tests.where(F.col("language") == "rus").select("doc_id", "subject", "year").distinct()
-        meta = inputs.images.drop("content").join(rus, "doc_id").withColumn(
+        meta = shuffled(inputs.images.drop("content")).join(rus, "doc_id").withColumn(
             "filename", AS.image_file_name("page_no", "img_no", "format"))
         if materialize:
             meta = write_table(spark, meta, "image-catalogue")
@@ -142,7 +142,7 @@ def build_records(spark: SparkSession, inputs: ExamInputs, canary: str, profiles
                                           "x0", "y0", "x1", "y1"), spans)
         if materialize:
             near = write_table(spark, near, "image-near-text")
-        meta = meta.join(near.withColumnRenamed("img_id", "img_no"), ["doc_id", "page_no", "img_no"], "left")
+        meta = shuffled(meta).join(near.withColumnRenamed("img_id", "img_no"), ["doc_id", "page_no", "img_no"], "left")
         if profiles.position_map is not None:
             meta = AS.assign_by_position(meta, profiles.position_map, ["subject", "year"])
         else:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions.text import data_uri, image_file_name
 from lectern.operators.scan import prefix_scan, row_chunks
-from lectern.session import materialize
+from lectern.session import materialize, shuffled
 
 GRID = 64.0          # cell size of the grid used by the range join
 MARGIN = 20.0        # how far around an image "near" reaches
@@ -42,12 +42,12 @@ def attach_uris(meta: DataFrame, images: DataFrame, keys: tuple[str, ...] = ("do
     """
     b = images.select(*keys, "content")
     if edited is not None:
-        swapped = meta.where(F.col("question_id").isNotNull()).select(*keys, "filename").join(
+        swapped = shuffled(meta.where(F.col("question_id").isNotNull()).select(*keys, "filename")).join(
             edited.select("doc_id", "filename"), ["doc_id", "filename"], "left_semi")
         swapped = materialize(meta.sparkSession, swapped, "replaced-images")
-        new = swapped.join(edited.select("doc_id", "filename", "content"), ["doc_id", "filename"]).select(*keys, "content")
-        b = b.join(swapped.select(*keys), list(keys), "left_anti").unionByName(new)
-    return (meta.join(b, list(keys))
+        new = shuffled(swapped).join(edited.select("doc_id", "filename", "content"), ["doc_id", "filename"]).select(*keys, "content")
+        b = shuffled(b).join(swapped.select(*keys), list(keys), "left_anti").unionByName(new)
+    return (shuffled(meta).join(b, list(keys))
             .withColumn("image_url", data_uri("content", "format"))
             .withColumn("size", F.octet_length("content")).drop("content"))
 
@@ -69,11 +69,12 @@ def assign_by_position(images: DataFrame, position_map: DataFrame, exam_keys: li
     """The n-th image of an exam gets the question listed at position n.
     Images past the end of the list keep a NULL question (they are reported,
     not dropped).  ``position_map``: map_keys (default: exam_keys) + position,
-    question_id.  No broadcast hint: the planner broadcasts it only when its
-    measured size is under the broadcast threshold."""
+    question_id.  A map with keys grows with the exams and is shuffled, unless
+    it carries a broadcast hint; one without keys (a list for all exams) is left
+    to the planner."""
     numbered = images if "position" in images.columns else number_images(images, exam_keys)
-    keys = (exam_keys if map_keys is None else map_keys) + ["position"]
-    return numbered.join(position_map, keys, "left")
+    map_keys = exam_keys if map_keys is None else map_keys
+    return (shuffled(numbered) if map_keys else numbered).join(position_map, map_keys + ["position"], "left")
 
 
 def override_images(images: DataFrame, edited: DataFrame, keep_original_size: bool = False) -> DataFrame:
@@ -144,11 +145,12 @@ def near_pairs(images: DataFrame, spans: DataFrame, margin: float = MARGIN, grid
     touched = g.select("*", F.inline(cells))
     levels = g.select("doc_id", "page_no", "level").distinct()
     sp = spans.select("doc_id", "page_no", "span_id", "text", F.col("x0").alias("sx0"), F.col("y0").alias("sy0"),
-                      F.col("x1").alias("sx1"), F.col("y1").alias("sy1")).join(levels, ["doc_id", "page_no"])
+                      F.col("x1").alias("sx1"), F.col("y1").alias("sy1"))
+    sp = shuffled(sp).join(levels, ["doc_id", "page_no"])
     sp = sp.withColumn("cx", cell("sx0")).withColumn("cy", cell("sy0"))
     inside = ((F.col("sx0") >= F.col("gx0")) & (F.col("sx1") <= F.col("gx1")) &
               (F.col("sy0") >= F.col("gy0")) & (F.col("sy1") <= F.col("gy1")))
-    return (touched.join(sp, ["doc_id", "page_no", "level", "cx", "cy"]).where(inside)
+    return (shuffled(touched).join(sp, ["doc_id", "page_no", "level", "cx", "cy"]).where(inside)
             .select("doc_id", "page_no", "img_id", "span_id", "text", "sx0", "sy0"))
 
 
@@ -159,5 +161,5 @@ def nearby_text(images: DataFrame, spans: DataFrame, margin: float = MARGIN, gri
     agg = pairs.groupBy("doc_id", "page_no", "img_id").agg(F.array_join(F.transform(
         F.array_sort(F.collect_list(F.struct("sy0", "sx0", "span_id", "text"))), lambda s: s["text"]),
         "\n").alias("nearby_text"))
-    return images.select("doc_id", "page_no", "img_id").join(agg, ["doc_id", "page_no", "img_id"], "left") \
+    return shuffled(images.select("doc_id", "page_no", "img_id")).join(agg, ["doc_id", "page_no", "img_id"], "left") \
         .withColumn("nearby_text", F.coalesce("nearby_text", F.lit("")))

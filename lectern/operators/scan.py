@@ -12,7 +12,8 @@ a chunk holds about so many rows whatever the order's values (one-line pages,
 sparse page numbers, a thousand blocks at one height):
 
 1. one shuffle by ``(keys, chunk)`` and a window inside each chunk give the
-   local running values; tasks are bounded by the chunk size, not the key;
+   local running values; tasks are bounded by the chunk size, not the key (rows
+   that a join has dealt by the keys stay where they are if no key has several);
 2. only keys of several chunks need a carry-in.  They are listed first, in a
    table written once; where there are none, step 1 is the whole scan;
 3. for the listed keys the chunk totals are aggregated from the running columns,
@@ -103,12 +104,13 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], order: str | Column, chunk:
         return rows.select("*", *[F.max(n).over(upto).alias(f"{n}_run") for n in marks],
                            *[F.sum(n).over(upto).alias(f"{n}_run") for n in adds])
 
-    local = running(base)
     several = materialize(df.sparkSession, df.where(F.col(chunk) != 0).select(*keys).distinct(), "scan-long-keys")
     if several.isEmpty():  # every key is one chunk
-        return local.select(*df.columns, *[F.col(f"__m_{n}_run")["v"].alias(n) for n in last],
+        return running(base).select(*df.columns, *[F.col(f"__m_{n}_run")["v"].alias(n) for n in last],
                             *[F.col(f"__s_{n}_run").alias(n) for n in sums])
-    totals = running(base.join(several, keys, "left_semi")).groupBy(*part).agg(*[F.max(f"{n}_run").alias(n) for n in marks],
+    # Dealt by chunk: rows that come from a join on the keys would suit the window as they are, a whole key in one task.
+    local = running(base.repartition(*part))
+    totals = running(base.join(several, keys, "left_semi").repartition(*part)).groupBy(*part).agg(*[F.max(f"{n}_run").alias(n) for n in marks],
                                       *[F.max_by(f"{n}_run", order_col).alias(n) for n in adds])
     before = Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select(*part, *[F.max(n).over(before).alias(f"{n}_in") for n in marks],

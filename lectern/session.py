@@ -75,6 +75,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or current
 
 
+def shuffled(df):
+    """``df`` for a join with another table that grows with the corpus: a
+    sort-merge join at every size.  The planner would go by the size of
+    compressed files, and a few MB of Parquet make hundreds of MB of hash table
+    on the driver.  A broadcast hint on the other table still wins."""
+    return df.hint("merge")
+
+
 def materialize(spark: SparkSession, df, name: str):
     """Write ``df`` once as Parquet under the checkpoint folder and read it
     back: lineage is cut (a lost executor later does not rerun the plan) and,

@@ -1,6 +1,7 @@
 """Row-bounded prefix scans: equal results for any cut, and few rows in the carry step."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -73,3 +74,13 @@ def test_short_keys_are_scanned_without_a_join(spark):
     got = prefix_scan(df.withColumn("_o", order()), ["doc"], "_o", "_chunk", last={"run": F.col("mark")}, sums={"total": F.col("n")})
     assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
     assert sorted((tuple(r) for r in got.select("doc", "page", "y", "no", "run", "total").collect()), key=repr) == brute(data)
+
+
+def test_a_long_key_is_dealt_by_chunk_after_a_join_on_the_keys(spark):
+    df = spark.createDataFrame(rows(), SCHEMA)
+    df = df.hint("merge").join(df.select("doc").distinct(), "doc", "left_semi")  # now dealt by doc
+    df = row_chunks(df, ["doc"], order(), 100).withColumn("_o", order())
+    got = prefix_scan(df, ["doc"], "_o", "_chunk", last={"run": F.col("mark")}, sums={"total": F.col("n")})
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(doc#\d+, _chunk#\d+L?, \d+\)", plan)
+    assert sorted((tuple(r) for r in got.select("doc", "page", "y", "no", "run", "total").collect()), key=repr) == brute(rows())
