@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern import dims
+from lectern.session import shuffled
 
 
 # ------------------------------------------------------------------ catalogue
@@ -191,18 +192,18 @@ def validation_report(exams: DataFrame, questions: DataFrame, answers: DataFrame
     * ``no answer``: a question whose key has no answer row (anti join);
     * ``no questions`` / ``no answers`` / ``no images``: an exam with none.
     """
-    q = questions.join(exams, "doc_id")
+    q = shuffled(questions).join(exams, "doc_id")
     exam_keys = [k for k in answer_keys if k != "question_id"]
     none = F.lit(None).cast("string").alias("question_id")
-    missing = (q.join(answers.select(*answer_keys).distinct(), list(answer_keys), "left_anti")
+    missing = (shuffled(q).join(answers.select(*answer_keys).distinct(), list(answer_keys), "left_anti")
                .select("doc_id", "question_id", F.lit("no answer").alias("problem")))
     probs = [missing,
-             exams.join(questions.select("doc_id").distinct(), "doc_id", "left_anti")
+             shuffled(exams).join(questions.select("doc_id").distinct(), "doc_id", "left_anti")
              .select("doc_id", none, F.lit("no questions").alias("problem")),
-             exams.join(answers.select(*exam_keys).distinct(), exam_keys, "left_anti")
+             shuffled(exams).join(answers.select(*exam_keys).distinct(), exam_keys, "left_anti")
              .select("doc_id", none, F.lit("no answers").alias("problem"))]
     if images is not None:
-        probs.append(exams.join(images.select(*image_exam_keys).distinct(), list(image_exam_keys), "left_anti")
+        probs.append(shuffled(exams).join(images.select(*image_exam_keys).distinct(), list(image_exam_keys), "left_anti")
                      .select("doc_id", none, F.lit("no images").alias("problem")))
     out = probs[0]
     for p in probs[1:]:

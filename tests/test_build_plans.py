@@ -43,3 +43,10 @@ def test_steps_and_images_broadcast_no_table_that_grows(built):
     assert {k: v for k, v in found.items() if v} == {}
     assert file_broadcasts(result.images) == []
     assert result.images.count() == 3 * 60
+
+
+def test_problems_broadcast_no_table_that_grows(built):
+    _, result = built
+    assert file_broadcasts(result.problems) == []
+    none = result.problems.where("problem = 'no answer'").count()
+    assert none == 2 * 6  # В1 of every eleventh exam, in two languages
