@@ -141,15 +141,15 @@ def assemble_records(spark: SparkSession, exams: DataFrame, questions: DataFrame
     :func:`catalogue_rejects`.  Output: the record columns plus ordering
     columns (doc_id, lang_order, section_order, pos).
     """
-    q = (questions.join(exams, "doc_id")
-         .join(dims.subject_codes(spark), "subject")                                   # P1
-         .join(section_info, ["doc_id", "section"], "left")
+    q = (shuffled(questions).join(exams, "doc_id")
+         .join(dims.subject_codes(spark), "subject"))                                  # P1
+    q = (shuffled(q).join(section_info, ["doc_id", "section"], "left")
          .join(dims.letter_examples(spark), "language")                                # V5
          .join(dims.languages(spark), "language"))
-    q = q.join(answers, list(answer_keys))                                             # J1
+    q = shuffled(q).join(answers, list(answer_keys))                                   # J1
     q = translate_answers(spark, q)                                                    # P4
     if images is not None:
-        q = q.join(image_arrays(images, list(image_keys)), list(image_keys), "left")    # J2
+        q = shuffled(q).join(image_arrays(images, list(image_keys)), list(image_keys), "left")  # J2
     sec = dims.section_letters(spark)
     q = q.join(sec, "section", "left")
     section_lat = F.coalesce(F.col("section_lat"), F.col("section"))                   # P2

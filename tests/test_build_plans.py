@@ -50,3 +50,11 @@ def test_problems_broadcast_no_table_that_grows(built):
     assert file_broadcasts(result.problems) == []
     none = result.problems.where("problem = 'no answer'").count()
     assert none == 2 * 6  # В1 of every eleventh exam, in two languages
+
+
+def test_records_broadcast_no_table_that_grows(built):
+    _, result = built
+    assert file_broadcasts(result.records) == []
+    exams = [k for k in range(60) if k % len(BQ.SUBJECTS) != len(BQ.SUBJECTS) - 1]
+    want = sum((1 if k % 10 == 0 else 2) * (2 if k % 7 == 0 else 1) * (2 if k % 11 == 0 else 3) for k in exams)
+    assert result.records.count() == want
